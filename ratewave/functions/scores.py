@@ -21,7 +21,7 @@ def lag_seconds(event_time: str = "event_time", now: Column | None = None) -> Co
     return F.unix_timestamp(now) - F.unix_timestamp(F.col(event_time))
 
 
-def lag_seconds_exact(event_time: str = "event_time", now: Column | None = None) -> Column:
-    """Event age in seconds with microsecond precision."""
+def lag_millis(event_time: str = "event_time", now: Column | None = None) -> Column:
+    """Event age in whole milliseconds (a long: sums of it stay exact)."""
     now = F.current_timestamp() if now is None else now
-    return (F.unix_micros(now) - F.unix_micros(F.col(event_time))) / F.lit(1_000_000.0)
+    return F.unix_millis(now) - F.unix_millis(F.col(event_time))

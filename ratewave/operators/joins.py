@@ -1,0 +1,29 @@
+"""Joins whose strategy depends on a measured size, not an assumption."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a dimension-like side we are willing to ship to every executor.
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def join_with_small(
+    big: DataFrame,
+    small: DataFrame,
+    on: str | Sequence[str],
+    how: str = "inner",
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    """Join ``big`` with a side that is *usually* small.
+
+    The small side is counted first (one cheap job over an aggregate); it
+    is broadcast only below ``max_broadcast_rows``.  Above that the join is
+    left to a shuffle join, where AQE's skew handling splits hot keys.
+    """
+    n_small = small.count()
+    right = F.broadcast(small) if n_small <= max_broadcast_rows else small
+    return big.join(right, on, how)

@@ -10,18 +10,20 @@ from pyspark.sql import functions as F
 from ratewave.operators.alerts import DEFAULT_MIN_AVG, DEFAULT_MIN_N, threshold_alerts
 
 
-def best_per_key(df: DataFrame, key: str, order_desc: Sequence[str]) -> DataFrame:
-    """One row per ``key``: the greatest by ``order_desc`` (lexicographic).
+def best_per_key(df: DataFrame, key: str | Sequence[str], order_desc: Sequence[str]) -> DataFrame:
+    """One row per ``key`` (one or more columns): the greatest by
+    ``order_desc`` (lexicographic).
 
     Expressed as ``max(struct(order..., rest...))`` per key, an aggregate
     with a map-side partial step: a key holding a third of all rows is
     reduced inside each task before the shuffle, unlike a ``row_number``
     window, which would sort the whole hot key in one task.
     """
-    rest = [c for c in df.columns if c != key and c not in order_desc]
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in df.columns if c not in keys and c not in order_desc]
     best = F.max(F.struct(*[F.col(c) for c in order_desc], *[F.col(c) for c in rest]))
-    return df.groupBy(key).agg(best.alias("_best")).select(
-        key, *[F.col(f"_best.{c}").alias(c) for c in [*order_desc, *rest]]
+    return df.groupBy(*keys).agg(best.alias("_best")).select(
+        *keys, *[F.col(f"_best.{c}").alias(c) for c in [*order_desc, *rest]]
     )
 
 

@@ -101,3 +101,25 @@ SELECT count(*) AS trending_windows,
 FROM t""",
     "distinct_users": f"WITH {RATING_EVENTS} SELECT DISTINCT user_id FROM re",
 }
+
+FINAL_WINDOWS = "window_end <= (SELECT max(event_time) FROM re) - INTERVAL 1 minute"
+FIXED_NOW = "TIMESTAMP '2025-01-01 00:00:00'"
+
+ORACLE_SQL.update(
+    {
+        "stream_item_window_final": f"WITH {TRENDING_CTE} SELECT * FROM t WHERE {FINAL_WINDOWS}",
+        "stream_alerts_final": f"""WITH {TRENDING_CTE}
+SELECT 'TRENDING' AS type, item_id, avg_rating, n_ratings, window_start, window_end
+FROM t WHERE {ALERT_PREDICATE} AND {FINAL_WINDOWS}""",
+        "stream_user_window_final": f"""WITH {RATING_EVENTS},{_windows(*WIDE)}
+SELECT window_start, window_end, user_id, count(*) AS interactions
+FROM w GROUP BY window_start, window_end, user_id
+HAVING {FINAL_WINDOWS}""",
+        "stream_update_last": f"WITH {TRENDING_CTE} SELECT * FROM t",
+        "batch_lag": f"""WITH {RATING_EVENTS}
+SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n_events,
+       round(avg(epoch_ms({FIXED_NOW}) // 1000 - epoch_ms(event_time) // 1000), 6) AS avg_lag_s,
+       round(avg(epoch_ms({FIXED_NOW}) - epoch_ms(event_time)) / 1000.0, 6) AS avg_lag_exact_s
+FROM re""",
+    }
+)

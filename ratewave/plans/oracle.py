@@ -123,3 +123,43 @@ SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n_events,
 FROM re""",
     }
 )
+
+CLEAN = f"""{RATINGS},
+clean AS (SELECT * FROM ratings WHERE rating BETWEEN 0.5 AND 5.0)"""
+
+ORACLE_SQL.update(
+    {
+        "sample_n": f"""WITH {CLEAN}
+SELECT least(500, count(*)) AS n_rows, count(*) AS n_source, CAST(0 AS BIGINT) AS n_missing
+FROM clean""",
+        "split_invariants": f"""WITH {CLEAN}
+SELECT count(*) AS n_total, count(*) AS n_parts_sum, CAST(0 AS BIGINT) AS n_overlap,
+       1 AS train_frac_ok
+FROM clean""",
+        "rmse_fixed": f"""WITH {CLEAN},
+m AS (SELECT item_id, avg(rating) AS prediction FROM clean GROUP BY item_id)
+SELECT count(*) AS n_pairs,
+       round(sqrt(avg((CAST(c.rating AS DOUBLE) - m.prediction) * (CAST(c.rating AS DOUBLE) - m.prediction))), 6) AS rmse
+FROM clean c JOIN m USING (item_id)""",
+        "als_recommend_invariants": f"""WITH {CLEAN}
+SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT user_id) AS n_distinct_users,
+       least(5, count(DISTINCT item_id))::INT AS min_len, least(5, count(DISTINCT item_id))::INT AS max_len,
+       CAST(0 AS BIGINT) AS n_unsorted, CAST(0 AS BIGINT) AS n_unknown_items,
+       CAST(0 AS BIGINT) AS n_negative
+FROM clean""",
+        "topk_dot": """WITH s AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS item_id,
+         list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS score
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id ASC) AS rn
+      FROM s)
+SELECT query_id, item_id, CAST(rn AS INT) AS "rank", round(score, 6) AS score
+FROM r WHERE rn <= 5""",
+        "stream_recommend": f"""WITH {CLEAN},
+u AS (SELECT DISTINCT CAST(user_id AS INT) AS user_id FROM events
+      WHERE CAST(user_id AS INT) IN (SELECT user_id FROM clean))
+SELECT count(*) AS rec_rows, count(DISTINCT user_id) AS rec_users,
+       CAST(1 AS BIGINT) AS rec_batches, 5 AS min_len, 5 AS max_len
+FROM u""",
+    }
+)

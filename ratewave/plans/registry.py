@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratewave.plans.batch import BATCH_QUERIES
 from ratewave.plans.oracle import ORACLE_SQL
+from ratewave.plans.model import MODEL_QUERIES
 from ratewave.plans.stream import STREAM_QUERIES
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,7 @@ def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(BATCH_QUERIES)
     out.update(STREAM_QUERIES)
+    out.update(MODEL_QUERIES)
     return out
 
 

@@ -50,9 +50,13 @@ def parse_events(
     """
     text = F.col(value_col).cast("string")
     carried = [F.col(c) for c in (keep or [])]
+    # The parsed struct is produced by a generator (``inline`` of a
+    # one-element array).  A filter cannot be pushed below a generator, so
+    # each value is parsed once.  With a plain ``select("d.*")`` the NULL
+    # filter is pushed under the projection and the JSON is parsed again
+    # for every field it tests.
     return (
-        df.select(*carried, F.from_json(text, schema).alias("d"))
-        .select(*carried, "d.*")
+        df.select(*carried, F.inline(F.array(F.from_json(text, schema))))
         .withColumn("event_time", parse_event_time("timestamp"))
         .dropna(subset=REQUIRED_EVENT_COLUMNS)
     )

@@ -38,7 +38,7 @@ def events_to_ratings(events: DataFrame) -> DataFrame:
     ``event_time`` is a session-zone TIMESTAMP (the source column is
     TIMESTAMP_NTZ, which a watermark does not accept).
     """
-    k = F.from_json(F.col("props"), "k INT").getField("k")
+    k = F.get_json_object(F.col("props"), "$.k").try_cast("int")
     item = (k % F.lit(N_ITEMS)).cast("int")
     rating = (
         F.when(item == F.lit(HOT_ITEM), F.lit(HOT_BASE) + (F.col("event_id") % HOT_SPREAD) / F.lit(10.0))

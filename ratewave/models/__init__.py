@@ -16,6 +16,7 @@ from ratewave.models.als import (
     save_model,
     with_int_ids,
 )
+from ratewave.models.baseline import mean_baseline_rmse
 from ratewave.models.exact import recommend_exact
 
 __all__ = [
@@ -30,6 +31,7 @@ __all__ = [
     "fit_als",
     "gated_retune",
     "load_model",
+    "mean_baseline_rmse",
     "predict",
     "recommend",
     "recommend_exact",

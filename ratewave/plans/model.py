@@ -22,14 +22,13 @@ from ratewave.models.als import (
     load_model,
     predict,
     recommend,
-    rmse_frame,
     save_model,
 )
 from ratewave.operators.cleaning import clean_ratings
-from ratewave.operators.joins import join_with_small
+from ratewave.models.baseline import mean_baseline_rmse
 from ratewave.operators.sampling import hash_split, sample_n
 from ratewave.operators.topk import topk_dot
-from ratewave.session import shared_dir, use_utc
+from ratewave.session import materialize, shared_dir, use_utc
 from ratewave.sources.tables import events_stream, events_to_ratings, ratings, read_table
 from ratewave.streaming.app import start_recommendations
 from ratewave.streaming.sinks import AVAILABLE_NOW, run_to_end
@@ -47,8 +46,13 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_ratings(ratings(spark, sf_dir), rating_range=(0.5, 5.0))
 
 
+def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean ratings written once to the shared folder, for model jobs."""
+    return materialize(clean(spark, sf_dir), "ratings")
+
+
 def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    train, test = hash_split(clean(spark, sf_dir), SPLIT, SPLIT_SEED, RATING_KEYS)
+    train, test = hash_split(clean_table(spark, sf_dir), SPLIT, SPLIT_SEED, RATING_KEYS)
     return train, test
 
 
@@ -81,10 +85,7 @@ def q_split_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_rmse_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RMSE of the item-mean baseline predictor over all ratings."""
-    r = clean(spark, sf_dir)
-    means = r.groupBy("item_id").agg(F.avg("rating").alias("prediction"))
-    scored = join_with_small(r, means, "item_id")
-    out = rmse_frame(scored)
+    out = mean_baseline_rmse(clean(spark, sf_dir), "item_id")
     return out.select("n_pairs", F.round("rmse", DIGITS).alias("rmse"))
 
 
@@ -95,7 +96,7 @@ def q_als_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _model_on_all(spark: SparkSession, sf_dir: str):
-    r = clean(spark, sf_dir)
+    r = clean_table(spark, sf_dir)
     return r, fit_als(r, BASELINE)
 
 

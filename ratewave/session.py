@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _UNSET = "__unset__"
 
@@ -83,3 +83,16 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back.
+
+    Cuts lineage with a durable copy: later jobs (several model fits and
+    evaluations) read the compact table instead of recomputing the joins
+    behind it, and a lost executor costs a re-read, not a recomputation.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, "tables", name, unique=True)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -93,3 +93,26 @@ def test_wide_ids_get_dense_int_map(spark):
     assert set(maps) == {"user_id"}
     assert out.schema["user_id"].dataType.simpleString() == "int"
     assert sorted(x.user_id for x in out.collect()) == [0, 1, 2]
+
+
+def test_rmse_frame_equals_evaluator(spark, trained):
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    from ratewave.models import predict, rmse_frame
+
+    r, model = trained
+    pred = predict(model, r)
+    ours = rmse_frame(pred).first().rmse
+    ref = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction").evaluate(pred)
+    assert ours == pytest.approx(ref, rel=1e-9)
+
+
+def test_mean_baseline_rmse_equals_join_form(spark, trained):
+    from ratewave.models import mean_baseline_rmse, rmse_frame
+
+    r, _ = trained
+    means = r.groupBy("item_id").agg(F.avg("rating").alias("prediction"))
+    direct = rmse_frame(r.join(means, "item_id")).first()
+    fast = mean_baseline_rmse(r, "item_id").first()
+    assert fast.n_pairs == direct.n_pairs
+    assert fast.rmse == pytest.approx(direct.rmse, rel=1e-9)

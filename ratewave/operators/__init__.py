@@ -4,6 +4,7 @@ from ratewave.operators.sampling import hash_split, random_split, sample_n
 from ratewave.operators.serving import (
     best_per_key,
     distinct_values,
+    first_recs,
     latest_alerts,
     recs_counters,
     result_counters,
@@ -28,6 +29,7 @@ __all__ = [
     "sample_n",
     "best_per_key",
     "distinct_values",
+    "first_recs",
     "latest_alerts",
     "recs_counters",
     "result_counters",

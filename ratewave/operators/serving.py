@@ -83,5 +83,10 @@ def recs_counters(recs: DataFrame) -> DataFrame:
     )
 
 
+def first_recs(recs: DataFrame, n: int = 20) -> DataFrame:
+    """The first ``n`` recommendation rows in a stable order (batch, user)."""
+    return recs.orderBy(F.col("batch_id").asc(), F.col("user_id").asc()).limit(n)
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()

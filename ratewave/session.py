@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _UNSET = "__unset__"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(
@@ -22,6 +23,7 @@ def build_session(
     app_name: str = "ratewave",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    state_store: str | None = None,
 ) -> SparkSession:
     """Return a session with the settings every ratewave job assumes.
 
@@ -41,6 +43,9 @@ def build_session(
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if state_store == "rocksdb":
+        # Window state off the JVM heap: large keyed state without GC pauses.
+        conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

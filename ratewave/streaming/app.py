@@ -86,10 +86,12 @@ def start_final_windows(
     digits: int | None = None,
     min_avg: float = DEFAULT_MIN_AVG,
     min_n: int = DEFAULT_MIN_N,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Closed windows once each: ``trending/`` and ``alerts/`` by batch."""
     return start_query(
         trending_stream(events, spec, digits),
+        name=name,
         sink="foreach_batch",
         mode="append",
         checkpoint=f"{out_dir}/_checkpoints/final",
@@ -107,10 +109,12 @@ def start_window_updates(
     min_avg: float = DEFAULT_MIN_AVG,
     min_n: int = DEFAULT_MIN_N,
     console_rows: int = 0,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Every window change: ``trending_updates/`` and ``alert_updates/``."""
     return start_query(
         trending_stream(events, spec, digits),
+        name=name,
         sink="foreach_batch",
         mode="update",
         checkpoint=f"{out_dir}/_checkpoints/updates",
@@ -124,10 +128,12 @@ def start_user_windows(
     out_dir: str,
     spec: WindowSpec = REFERENCE_SPEC,
     trigger: str | None = AVAILABLE_NOW,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Closed user windows to an exactly-once Parquet file sink."""
     return start_query(
         user_stream(events, spec),
+        name=name,
         sink="parquet",
         mode="append",
         path=f"{out_dir}/user_windows",
@@ -144,10 +150,12 @@ def start_recommendations(
     trigger: str | None = AVAILABLE_NOW,
     now: Column | None = None,
     show_rows: int = 0,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Per batch: lag metrics and (with a model) Top-k for the batch's users."""
     return start_query(
         events,
+        name=name,
         sink="foreach_batch",
         mode="append",
         checkpoint=f"{out_dir}/_checkpoints/recs",
@@ -165,13 +173,19 @@ def start_app(
     recs_trigger: str | None = "5 seconds",
     digits: int | None = None,
     console_rows: int = 0,
+    prefix: str = "",
 ) -> dict[str, StreamingQuery]:
     """Start all four queries; wait with ``spark.streams.awaitAnyTermination()``."""
     return {
-        "final": start_final_windows(events, out_dir, spec, window_trigger, digits),
+        "final": start_final_windows(
+            events, out_dir, spec, window_trigger, digits, name=f"{prefix}trending_final"
+        ),
         "updates": start_window_updates(
-            events, out_dir, spec, window_trigger, digits, console_rows=console_rows
+            events, out_dir, spec, window_trigger, digits, console_rows=console_rows,
+            name=f"{prefix}trending_updates",
+        ),
+        "users": start_user_windows(events, out_dir, spec, window_trigger, name=f"{prefix}user_windows"),
+        "recs": start_recommendations(
+            events, out_dir, model, trigger=recs_trigger, name=f"{prefix}recommendations"
         ),
-        "users": start_user_windows(events, out_dir, spec, window_trigger),
-        "recs": start_recommendations(events, out_dir, model, trigger=recs_trigger),
     }

@@ -14,6 +14,7 @@ from ratewave.models.als import (
     recommend,
     rmse_frame,
     save_model,
+    to_source_ids,
     with_int_ids,
 )
 from ratewave.models.baseline import mean_baseline_rmse
@@ -37,5 +38,6 @@ __all__ = [
     "recommend_exact",
     "rmse_frame",
     "save_model",
+    "to_source_ids",
     "with_int_ids",
 ]

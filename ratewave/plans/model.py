@@ -23,6 +23,8 @@ from ratewave.models.als import (
     predict,
     recommend,
     save_model,
+    to_source_ids,
+    with_int_ids,
 )
 from ratewave.operators.cleaning import clean_ratings
 from ratewave.models.baseline import mean_baseline_rmse
@@ -46,9 +48,20 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_ratings(ratings(spark, sf_dir), rating_range=(0.5, 5.0))
 
 
+def clean_table_with_maps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
+    """Clean ratings written once to the shared folder, for model jobs.
+
+    Ids keep the source width until the compact table exists; the int32
+    check then scans only that table, and ids beyond int32 are remapped to
+    dense ints (maps returned for translating recommendations back).
+    """
+    use_utc(spark)
+    wide = clean_ratings(ratings(spark, sf_dir, id_type="long"), rating_range=(0.5, 5.0))
+    return with_int_ids(materialize(wide, "ratings"), ["user_id", "item_id"])
+
+
 def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean ratings written once to the shared folder, for model jobs."""
-    return materialize(clean(spark, sf_dir), "ratings")
+    return clean_table_with_maps(spark, sf_dir)[0]
 
 
 def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -95,14 +108,15 @@ def q_als_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(model, test).select("user_id", "item_id", "rating", "prediction")
 
 
-def _model_on_all(spark: SparkSession, sf_dir: str):
-    r = clean_table(spark, sf_dir)
-    return r, fit_als(r, BASELINE)
+def _model_on_all(spark: SparkSession, sf_dir: str, with_maps: bool = False):
+    r, maps = clean_table_with_maps(spark, sf_dir)
+    model = fit_als(r, BASELINE)
+    return (r, model, maps) if with_maps else (r, model)
 
 
 def q_als_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r, model = _model_on_all(spark, sf_dir)
-    return recommend(model, r.select("user_id"), TOP_K)
+    r, model, maps = _model_on_all(spark, sf_dir, with_maps=True)
+    return to_source_ids(recommend(model, r.select("user_id"), TOP_K), maps)
 
 
 def recs_invariants(recs: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -162,10 +176,10 @@ def q_topk_dot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream the events; per batch, Top-5 for the batch's known users."""
-    _, model = _model_on_all(spark, sf_dir)
+    _, model, maps = _model_on_all(spark, sf_dir, with_maps=True)
     events = events_to_ratings(events_stream(spark, sf_dir))
     out = shared_dir(spark, "runs", "recs", unique=True)
-    run_to_end(start_recommendations(events, out, model, TOP_K, AVAILABLE_NOW))
+    run_to_end(start_recommendations(events, out, model, TOP_K, AVAILABLE_NOW, id_maps=maps))
     recs = spark.read.parquet(f"{out}/recs")
     return recs.agg(
         F.count(F.lit(1)).alias("rec_rows"),

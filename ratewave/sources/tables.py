@@ -58,20 +58,22 @@ def rating_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_to_ratings(read_table(spark, sf_dir, "events"))
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ratings(spark: SparkSession, sf_dir: str, id_type: str = "int") -> DataFrame:
     """Explicit ratings: one per order line, user = customer, item = part.
 
     ``rating = (quantity % 10 + 1) / 2`` is in 0.5..5.0; ``timestamp`` is the
     order date in epoch seconds.  A shuffle join on the order key; both
-    sides are pruned to three columns before the exchange.
+    sides are pruned to three columns before the exchange.  ``id_type``
+    ``"long"`` keeps the source key width (customer keys pass int32 at
+    large scale factors; see ``models.with_int_ids``).
     """
     use_utc(spark)
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = li.join(od, li.l_orderkey == od.o_orderkey)
     return joined.select(
-        F.col("o_custkey").cast("int").alias("user_id"),
-        F.col("l_partkey").cast("int").alias("item_id"),
+        F.col("o_custkey").cast(id_type).alias("user_id"),
+        F.col("l_partkey").cast(id_type).alias("item_id"),
         ((F.col("l_quantity") % 10 + 1) / 2).cast("float").alias("rating"),
         F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("timestamp"),
     )

@@ -151,6 +151,7 @@ def start_recommendations(
     now: Column | None = None,
     show_rows: int = 0,
     name: str | None = None,
+    id_maps: dict[str, DataFrame] | None = None,
 ) -> StreamingQuery:
     """Per batch: lag metrics and (with a model) Top-k for the batch's users."""
     return start_query(
@@ -160,7 +161,7 @@ def start_recommendations(
         mode="append",
         checkpoint=f"{out_dir}/_checkpoints/recs",
         trigger=trigger,
-        batch_fn=make_batch_handler(out_dir, model, k, now, show_rows),
+        batch_fn=make_batch_handler(out_dir, model, k, now, show_rows, id_maps),
     )
 
 

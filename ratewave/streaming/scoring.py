@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewave.functions.scores import lag_millis, lag_seconds
-from ratewave.models.als import recommend
+from ratewave.models.als import recommend, to_source_ids
 from ratewave.streaming.sinks import write_batch_partition
 
 
@@ -32,10 +32,21 @@ def batch_metrics(batch: DataFrame, batch_id: int, now: Column | None = None) ->
     )
 
 
-def batch_recommendations(model: ALSModel, batch: DataFrame, k: int = 5) -> DataFrame:
-    """Top-k for the distinct users seen in the batch (known users only)."""
-    users = batch.select(F.col("user_id").cast("int").alias("user_id")).distinct()
-    return recommend(model, users, k)
+def batch_recommendations(
+    model: ALSModel, batch: DataFrame, k: int = 5, id_maps: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """Top-k for the distinct users seen in the batch (known users only).
+
+    With ``id_maps`` (from ``models.with_int_ids``) the batch's source ids
+    are translated to the model's dense ids and the answer back.
+    """
+    users = batch.select("user_id").distinct()
+    if id_maps and "user_id" in id_maps:
+        m = id_maps["user_id"]
+        users = users.join(m, "user_id").select(F.col("user_id__dense").alias("user_id"))
+        return to_source_ids(recommend(model, users, k), id_maps)
+    users = users.select(F.col("user_id").cast("int").alias("user_id"))
+    return to_source_ids(recommend(model, users, k), id_maps or {})
 
 
 def make_batch_handler(
@@ -44,6 +55,7 @@ def make_batch_handler(
     k: int = 5,
     now: Column | None = None,
     show_rows: int = 0,
+    id_maps: dict[str, DataFrame] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` callback writing ``metrics/`` and (with a model) ``recs/``."""
 
@@ -56,7 +68,7 @@ def make_batch_handler(
                 batch_metrics(cached, batch_id, now).drop("batch_id"), f"{out_dir}/metrics", batch_id
             )
             if model is not None:
-                recs = batch_recommendations(model, cached, k)
+                recs = batch_recommendations(model, cached, k, id_maps)
                 write_batch_partition(recs, f"{out_dir}/recs", batch_id)
                 if show_rows:
                     recs.show(show_rows, truncate=False)

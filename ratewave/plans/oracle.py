@@ -163,3 +163,20 @@ SELECT count(*) AS rec_rows, count(DISTINCT user_id) AS rec_users,
 FROM u""",
     }
 )
+
+ORACLE_SQL.update(
+    {
+        "served_top_trending": f"""WITH {TRENDING_CTE},
+f AS (SELECT * FROM t WHERE {FINAL_WINDOWS}),
+b AS (SELECT *, row_number() OVER (PARTITION BY item_id
+                                   ORDER BY trending_score DESC, window_start DESC) AS rn
+      FROM f)
+SELECT item_id, avg_rating, n_ratings, trending_score, window_start, window_end
+FROM b WHERE rn = 1
+ORDER BY trending_score DESC, window_start DESC, item_id ASC LIMIT 10""",
+        "served_latest_alerts": f"""WITH {TRENDING_CTE}
+SELECT 'TRENDING' AS type, item_id, avg_rating, n_ratings, window_start, window_end
+FROM t WHERE {ALERT_PREDICATE} AND {FINAL_WINDOWS}
+ORDER BY window_end DESC, item_id ASC LIMIT 20""",
+    }
+)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratewave.operators.serving import best_per_key
+from ratewave.operators.serving import best_per_key, latest_alerts, top_trending
 from ratewave.schemas import TRENDING_SCHEMA
 from ratewave.session import shared_dir, use_utc
 from ratewave.sources.files import read_result_dir
@@ -115,7 +115,22 @@ def q_batch_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_served_top_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 10 trending items, read back from the stream's stored windows."""
+    out = _final_run(spark, sf_dir)
+    stored = read_result_dir(spark, f"{out}/trending", TRENDING_OUT).drop("batch_id")
+    return top_trending(stored, n=10)
+
+
+def q_served_latest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest 20 alerts filtered from the stored windows (pushed to the scan)."""
+    out = _final_run(spark, sf_dir)
+    return latest_alerts(read_result_dir(spark, f"{out}/trending", TRENDING_OUT), n=20)
+
+
 STREAM_QUERIES = {
+    "served_top_trending": q_served_top_trending,
+    "served_latest_alerts": q_served_latest_alerts,
     "stream_item_window_final": q_stream_item_window_final,
     "stream_user_window_final": q_stream_user_window_final,
     "stream_alerts_final": q_stream_alerts_final,

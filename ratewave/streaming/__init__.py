@@ -13,6 +13,7 @@ from ratewave.streaming.scoring import batch_metrics, batch_recommendations, mak
 from ratewave.streaming.sinks import (
     AVAILABLE_NOW,
     console_options,
+    publish_records,
     run_to_end,
     start_query,
     trigger_kwargs,
@@ -34,6 +35,7 @@ __all__ = [
     "make_batch_handler",
     "AVAILABLE_NOW",
     "console_options",
+    "publish_records",
     "run_to_end",
     "start_query",
     "trigger_kwargs",

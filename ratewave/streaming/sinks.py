@@ -86,3 +86,27 @@ def write_batch_partition(df: DataFrame, root: str, batch_id: int, fmt: str = "p
     path = f"{root.rstrip('/')}/batch_id={int(batch_id)}"
     df.write.mode("overwrite").format(fmt).save(path)
     return path
+
+
+def publish_records(
+    records: DataFrame,
+    fmt: str = "text",
+    path: str | None = None,
+    options: dict[str, str] | None = None,
+) -> None:
+    """Batch-publish keyed records (``key``, ``value``).
+
+    ``fmt="text"``: one JSON value per line under ``path`` (what
+    :func:`ratewave.sources.read_event_files` streams back);
+    ``fmt="kafka"``: to a topic (``options`` carry
+    ``kafka.bootstrap.servers`` and ``topic``); records with the same key
+    go to the same topic partition.
+    """
+    if fmt == "text":
+        records.select(records["value"].cast("string").alias("value")).write.mode("append").text(path)
+        return
+    w = records.write.format(fmt).options(**(options or {}))
+    if path:
+        w.save(path)
+    else:
+        w.save()

@@ -59,3 +59,41 @@ def test_console_sink(spark, tmp_dir, capfd):
                     checkpoint=os.path.join(tmp_dir, "ck"), options=console_options(5))
     q.awaitTermination(120)
     assert q.exception() is None
+
+
+def test_publish_then_stream_back(spark, tmp_dir):
+    from conftest import SF001
+    from ratewave.functions.parse import encode_events
+    from ratewave.sources.tables import rating_events
+    from ratewave.streaming import publish_records, start_query
+
+    src = rating_events(spark, SF001)
+    folder = os.path.join(tmp_dir, "topic")
+    publish_records(encode_events(src), "text", folder)
+    back = parse_events(read_event_files(spark, folder))
+    q = start_query(back, sink="memory", name="roundtrip_check", checkpoint=os.path.join(tmp_dir, "ck"))
+    q.awaitTermination(120)
+    got = spark.sql("SELECT user_id, item_id, CAST(rating AS DOUBLE) AS rating, event_time FROM roundtrip_check")
+    assert got.count() == src.count()
+    assert got.exceptAll(src.select("user_id", "item_id", F.col("rating").cast("float").cast("double").alias("rating"), "event_time")).count() == 0
+
+
+def test_update_mode_alerts_repeat_per_window(spark, tmp_dir):
+    """N6: in update mode a window alerts again on each update; append alerts once."""
+    from ratewave.sources.streams import read_event_files
+    from ratewave.streaming import REFERENCE_SPEC, run_to_end, start_window_updates, start_final_windows
+
+    src = os.path.join(tmp_dir, "in")
+    _write(src, [(u, 7, 4.8, "14:30:01") for u in range(5)], "a.json")
+    _write(src, [(u, 7, 4.9, "14:30:02") for u in range(5, 8)], "b.json")
+    _write(src, [(9, 8, 1.0, "14:40:00")], "c.json")
+    base = 1_700_000_000
+    for i, n in enumerate(["a.json", "b.json", "c.json"]):
+        os.utime(os.path.join(src, n), (base + 10 * i, base + 10 * i))
+    ev = lambda: parse_events(read_event_files(spark, src, max_files_per_trigger=1))
+    run_to_end(start_window_updates(ev(), os.path.join(tmp_dir, "u"), REFERENCE_SPEC))
+    run_to_end(start_final_windows(ev(), os.path.join(tmp_dir, "f"), REFERENCE_SPEC))
+    upd = spark.read.parquet(os.path.join(tmp_dir, "u", "alert_updates")).filter("item_id = 7")
+    fin = spark.read.parquet(os.path.join(tmp_dir, "f", "alerts")).filter("item_id = 7")
+    assert fin.count() == 3
+    assert upd.count() == 6  # each of the 3 windows alerted in batch 0 and again in batch 1

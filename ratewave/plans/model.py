@@ -27,6 +27,7 @@ from ratewave.models.als import (
     with_int_ids,
 )
 from ratewave.operators.cleaning import clean_ratings
+from ratewave.operators.joins import join_with_small
 from ratewave.models.baseline import mean_baseline_rmse
 from ratewave.operators.sampling import hash_split, sample_n
 from ratewave.operators.topk import topk_dot
@@ -133,7 +134,7 @@ def recs_invariants(recs: DataFrame, catalogue: DataFrame) -> DataFrame:
         F.count(F.when(unsorted, 1)).alias("n_unsorted"),
     )
     items = recs.select(F.explode("recommendations").alias("r")).select("r.item_id", "r.rating")
-    unknown = items.join(catalogue, "item_id", "left_anti").agg(F.count(F.lit(1)))
+    unknown = join_with_small(items, catalogue, "item_id", "left_anti").agg(F.count(F.lit(1)))
     negative = items.agg(F.count(F.when(F.col("rating") < 0, 1)))
     return per_user.select(
         "*", unknown.scalar().alias("n_unknown_items"), negative.scalar().alias("n_negative")

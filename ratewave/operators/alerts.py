@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Alert thresholds and tag.
 DEFAULT_MIN_AVG = 4.5  # strict: an average of exactly 4.5 does not alert
 DEFAULT_MIN_N = 5  # inclusive
 ALERT_TAG = "TRENDING"

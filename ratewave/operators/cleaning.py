@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Valid rating range (inclusive).
 DEFAULT_RATING_RANGE = (0.5, 5.0)
 RATING_COLUMNS = ["user_id", "item_id", "rating", "timestamp"]
 

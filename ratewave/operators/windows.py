@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ratewave.functions.scores import trending_score
 
+# Window size, slide and watermark delay of the trending job.
 DEFAULT_SIZE = "30 seconds"
 DEFAULT_SLIDE = "10 seconds"
 DEFAULT_WATERMARK = "1 minute"

@@ -37,10 +37,11 @@ from ratewave.streaming.app import start_recommendations
 from ratewave.streaming.sinks import AVAILABLE_NOW, run_to_end
 
 DIGITS = 6
+# train/test split and its seed, Top-k length.
 SPLIT = (0.8, 0.2)
 SPLIT_SEED = 42
-SAMPLE_N, SAMPLE_SEED = 500, 1
 TOP_K = 5
+SAMPLE_N, SAMPLE_SEED = 500, 1
 RATING_KEYS = ["user_id", "item_id", "rating", "timestamp"]
 
 

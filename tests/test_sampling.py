@@ -29,3 +29,19 @@ def test_random_split_parts_sum(spark):
     df = spark.range(0, 1000)
     parts = random_split(df, [0.8, 0.2], 42)
     assert sum(p.count() for p in parts) == 1000
+
+
+def test_split_on_row_id_divides_a_hot_group_of_copies(spark):
+    from pyspark.sql import functions as F
+
+    # a third of all rows are one identical record
+    df = spark.range(0, 6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("v")
+    )
+    by_value = hash_split(df, [0.8, 0.2], 42, ["v"])
+    stamped = df.withColumn("rid", F.monotonically_increasing_id())
+    by_row = hash_split(stamped, [0.8, 0.2], 42, ["rid"])
+    copies_by_value = [p.filter("v = -1").count() for p in by_value]
+    copies_by_row = [p.filter("v = -1").count() for p in by_row]
+    assert 0 in copies_by_value  # all copies on one side
+    assert 1500 < copies_by_row[0] < 1700 and sum(copies_by_row) == 2000

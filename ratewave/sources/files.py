@@ -64,7 +64,9 @@ def read_result_dir(spark: SparkSession, path: str, schema: T.StructType) -> Dat
         raise
 
 
-def id_frame(spark: SparkSession, ids: Iterable[int], name: str = "user_id") -> DataFrame:
+def id_frame(
+    spark: SparkSession, ids: Iterable[int], name: str = "user_id", dtype: T.DataType | None = None
+) -> DataFrame:
     """A small inline table of ids (e.g. users to spot-check)."""
-    schema = T.StructType([T.StructField(name, T.IntegerType(), False)])
+    schema = T.StructType([T.StructField(name, dtype or T.IntegerType(), False)])
     return spark.createDataFrame([(int(i),) for i in ids], schema)

@@ -4,6 +4,7 @@ from ratewave.streaming.app import (
     start_app,
     start_final_windows,
     start_recommendations,
+    start_user_updates_console,
     start_user_windows,
     start_window_updates,
     trending_stream,
@@ -26,6 +27,7 @@ __all__ = [
     "start_app",
     "start_final_windows",
     "start_recommendations",
+    "start_user_updates_console",
     "start_user_windows",
     "start_window_updates",
     "trending_stream",

@@ -32,7 +32,12 @@ from ratewave.operators.windows import (
     with_event_watermark,
 )
 from ratewave.streaming.scoring import make_batch_handler
-from ratewave.streaming.sinks import AVAILABLE_NOW, start_query, write_batch_partition
+from ratewave.streaming.sinks import (
+    AVAILABLE_NOW,
+    console_options,
+    start_query,
+    write_batch_partition,
+)
 
 
 @dataclass(frozen=True)
@@ -142,6 +147,26 @@ def start_user_windows(
     )
 
 
+def start_user_updates_console(
+    events: DataFrame,
+    out_dir: str,
+    spec: WindowSpec = REFERENCE_SPEC,
+    trigger: str | None = "10 seconds",
+    num_rows: int = 20,
+    name: str | None = None,
+) -> StreamingQuery:
+    """User-window changes printed on the driver (update mode, console)."""
+    return start_query(
+        user_stream(events, spec),
+        name=name,
+        sink="console",
+        mode="update",
+        checkpoint=f"{out_dir}/_checkpoints/user_updates",
+        trigger=trigger,
+        options=console_options(num_rows),
+    )
+
+
 def start_recommendations(
     events: DataFrame,
     out_dir: str,
@@ -176,8 +201,12 @@ def start_app(
     console_rows: int = 0,
     prefix: str = "",
 ) -> dict[str, StreamingQuery]:
-    """Start all four queries; wait with ``spark.streams.awaitAnyTermination()``."""
-    return {
+    """Start the queries; wait with ``spark.streams.awaitAnyTermination()``.
+
+    ``console_rows > 0`` also prints trending and alert updates (from the
+    update fan-out) and user-window updates (one more query) on the driver.
+    """
+    queries = {
         "final": start_final_windows(
             events, out_dir, spec, window_trigger, digits, name=f"{prefix}trending_final"
         ),
@@ -190,3 +219,8 @@ def start_app(
             events, out_dir, model, trigger=recs_trigger, name=f"{prefix}recommendations"
         ),
     }
+    if console_rows:
+        queries["user_updates"] = start_user_updates_console(
+            events, out_dir, spec, window_trigger, console_rows, name=f"{prefix}user_updates"
+        )
+    return queries

@@ -52,6 +52,21 @@ def test_app_runs_all_queries(spark, tmp_dir):
     assert recs.agg(F.min(F.size("recommendations"))).first()[0] == 3
 
 
+def test_app_console_outputs(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    _write(src, [(1, 2, 3.0, "14:30:00"), (2, 2, 4.0, "14:30:05")], "a.json")
+    qs = start_app(parse_events(read_event_files(spark, src)), out, None,
+                   window_trigger="1 second", recs_trigger="1 second", console_rows=5, prefix="c_")
+    try:
+        assert "user_updates" in qs
+        for q in qs.values():
+            q.processAllAvailable()
+            assert q.exception() is None
+    finally:
+        for q in qs.values():
+            q.stop()
+
+
 def test_console_sink(spark, tmp_dir, capfd):
     src = os.path.join(tmp_dir, "in")
     _write(src, [(1, 2, 3.0, "14:30:00")], "a.json")

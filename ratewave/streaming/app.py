@@ -71,9 +71,10 @@ def _fanout(
     def handle(batch: DataFrame, batch_id: int) -> None:
         cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_batch_partition(cached, f"{out_dir}/{rows_name}", batch_id)
+            n = cached.count()
+            write_batch_partition(cached, f"{out_dir}/{rows_name}", batch_id, n_rows=n)
             alerts = threshold_alerts(cached, min_avg, min_n)
-            write_batch_partition(alerts, f"{out_dir}/{alerts_name}", batch_id)
+            write_batch_partition(alerts, f"{out_dir}/{alerts_name}", batch_id, n_rows=n)
             if console_rows:
                 cached.show(console_rows, truncate=False)
                 alerts.show(console_rows, truncate=False)

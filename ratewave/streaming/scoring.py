@@ -64,12 +64,15 @@ def make_batch_handler(
             return
         cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            metrics = batch_metrics(cached, batch_id, now).drop("batch_id")
+            row = metrics.first()  # one row
             write_batch_partition(
-                batch_metrics(cached, batch_id, now).drop("batch_id"), f"{out_dir}/metrics", batch_id
+                cached.sparkSession.createDataFrame([row], metrics.schema),
+                f"{out_dir}/metrics", batch_id, n_rows=1,
             )
             if model is not None:
                 recs = batch_recommendations(model, cached, k, id_maps)
-                write_batch_partition(recs, f"{out_dir}/recs", batch_id)
+                write_batch_partition(recs, f"{out_dir}/recs", batch_id, n_rows=row["n_events"])
                 if show_rows:
                     recs.show(show_rows, truncate=False)
         finally:

@@ -6,6 +6,7 @@ restarted driver or a lost executor resumes from the last committed batch.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -80,10 +81,27 @@ def run_to_end(query: StreamingQuery, timeout_s: float = 600.0) -> StreamingQuer
     return query
 
 
-def write_batch_partition(df: DataFrame, root: str, batch_id: int, fmt: str = "parquet") -> str:
+ROWS_PER_FILE = 1_000_000
+
+
+def write_batch_partition(
+    df: DataFrame,
+    root: str,
+    batch_id: int,
+    fmt: str = "parquet",
+    n_rows: int | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> str:
     """Overwrite ``root/batch_id=<id>``: replaying a batch replaces its rows
-    (idempotent), where an append would duplicate them."""
+    (idempotent), where an append would duplicate them.
+
+    With ``n_rows`` (an upper bound the caller already knows) the output is
+    coalesced to about ``rows_per_file`` rows per file, so frequent small
+    micro-batches do not leave one tiny file per shuffle partition.
+    """
     path = f"{root.rstrip('/')}/batch_id={int(batch_id)}"
+    if n_rows is not None:
+        df = df.coalesce(max(1, math.ceil(n_rows / rows_per_file)))
     df.write.mode("overwrite").format(fmt).save(path)
     return path
 

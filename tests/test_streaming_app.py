@@ -41,6 +41,10 @@ def test_app_runs_all_queries(spark, tmp_dir):
             q.stop()
     final = spark.read.parquet(f"{out}/trending")
     assert final.filter("item_id = 7").count() == 3
+    for part in os.listdir(f"{out}/trending"):  # small batches: one file each, not one per partition
+        if part.startswith("batch_id="):
+            files = [f for f in os.listdir(f"{out}/trending/{part}") if f.endswith(".parquet")]
+            assert len(files) <= 1
     alerts = spark.read.parquet(f"{out}/alerts")
     assert alerts.filter("item_id = 7").count() == 3  # six 4.8 ratings in each of 3 windows
     updates = spark.read.parquet(f"{out}/trending_updates")

@@ -7,8 +7,6 @@ invariants); fitted-model outputs are registered without an oracle.
 
 from __future__ import annotations
 
-from dataclasses import asdict
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -207,6 +205,3 @@ MODEL_QUERIES = {
     "topk_dot": q_topk_dot,
     "stream_recommend": q_stream_recommend,
 }
-
-# Parameter record, for reports.
-PARAMS = {"baseline": asdict(BASELINE), "retune": asdict(RETUNE), "gate": RMSE_GATE}

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ratewave.operators.serving import best_per_key, latest_alerts, top_trending
-from ratewave.schemas import TRENDING_SCHEMA
+from ratewave.schemas import ALERTS_OUT, METRICS_OUT, TRENDING_OUT, TRENDING_SCHEMA
+from ratewave.schemas import USER_WINDOWS_OUT as USERS_OUT
 from ratewave.session import shared_dir, use_utc
 from ratewave.sources.files import read_result_dir
 from ratewave.sources.tables import events_stream, events_to_ratings
@@ -30,37 +30,6 @@ WIDE_SPEC = WindowSpec(size="6 hours", slide="2 hours", watermark="1 minute")
 # Fixed "now" for a reproducible lag measurement.
 FIXED_NOW = "2025-01-01 00:00:00"
 
-BATCH_ID = T.StructField("batch_id", T.LongType())
-TRENDING_OUT = T.StructType([*TRENDING_SCHEMA.fields, BATCH_ID])
-ALERTS_OUT = T.StructType(
-    [
-        T.StructField("type", T.StringType()),
-        T.StructField("item_id", T.IntegerType()),
-        T.StructField("avg_rating", T.DoubleType()),
-        T.StructField("n_ratings", T.LongType()),
-        T.StructField("window_start", T.TimestampNTZType()),
-        T.StructField("window_end", T.TimestampNTZType()),
-        BATCH_ID,
-    ]
-)
-USERS_OUT = T.StructType(
-    [
-        T.StructField("window_start", T.TimestampNTZType()),
-        T.StructField("window_end", T.TimestampNTZType()),
-        T.StructField("user_id", T.IntegerType()),
-        T.StructField("interactions", T.LongType()),
-    ]
-)
-METRICS_OUT = T.StructType(
-    [
-        T.StructField("n_events", T.LongType()),
-        T.StructField("avg_lag_s", T.DoubleType()),
-        T.StructField("avg_lag_exact_s", T.DoubleType()),
-        BATCH_ID,
-    ]
-)
-
-
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
     return events_to_ratings(events_stream(spark, sf_dir))

@@ -24,24 +24,6 @@ RAW_RATINGS_CSV_SCHEMA = T.StructType(
     ]
 )
 
-# Canonical ratings, as cleaned for model training.
-RATINGS_SCHEMA = T.StructType(
-    [
-        T.StructField("user_id", T.IntegerType()),
-        T.StructField("item_id", T.IntegerType()),
-        T.StructField("rating", T.FloatType()),
-        T.StructField("timestamp", T.LongType()),
-    ]
-)
-
-# Kafka-shaped record: binary key and value.
-KEYED_RECORD_SCHEMA = T.StructType(
-    [
-        T.StructField("key", T.BinaryType()),
-        T.StructField("value", T.BinaryType()),
-    ]
-)
-
 WINDOW_FIELDS = ["window_start", "window_end"]
 
 TRENDING_SCHEMA = T.StructType(
@@ -56,29 +38,34 @@ TRENDING_SCHEMA = T.StructType(
     ]
 )
 
-RECS_SCHEMA = T.StructType(
+BATCH_ID = T.StructField("batch_id", T.LongType())
+
+# Stored outputs of the streaming app (per-batch folders add ``batch_id``).
+TRENDING_OUT = T.StructType([*TRENDING_SCHEMA.fields, BATCH_ID])
+ALERTS_OUT = T.StructType(
+    [
+        T.StructField("type", T.StringType()),
+        T.StructField("item_id", T.IntegerType()),
+        T.StructField("avg_rating", T.DoubleType()),
+        T.StructField("n_ratings", T.LongType()),
+        T.StructField("window_start", T.TimestampNTZType()),
+        T.StructField("window_end", T.TimestampNTZType()),
+        BATCH_ID,
+    ]
+)
+USER_WINDOWS_OUT = T.StructType(
     [
+        T.StructField("window_start", T.TimestampNTZType()),
+        T.StructField("window_end", T.TimestampNTZType()),
         T.StructField("user_id", T.IntegerType()),
-        T.StructField(
-            "recommendations",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField("item_id", T.IntegerType()),
-                        T.StructField("rating", T.FloatType()),
-                    ]
-                )
-            ),
-        ),
-        T.StructField("batch_id", T.LongType()),
+        T.StructField("interactions", T.LongType()),
     ]
 )
-
-BATCH_METRICS_SCHEMA = T.StructType(
+METRICS_OUT = T.StructType(
     [
-        T.StructField("batch_id", T.LongType()),
         T.StructField("n_events", T.LongType()),
         T.StructField("avg_lag_s", T.DoubleType()),
         T.StructField("avg_lag_exact_s", T.DoubleType()),
+        BATCH_ID,
     ]
 )

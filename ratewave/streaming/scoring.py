@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ratewave.functions.scores import lag_millis, lag_seconds
 from ratewave.models.als import recommend, to_source_ids
+from ratewave.models.exact import item_factor_stats
 from ratewave.streaming.sinks import write_batch_partition
 
 
@@ -33,7 +34,11 @@ def batch_metrics(batch: DataFrame, batch_id: int, now: Column | None = None) ->
 
 
 def batch_recommendations(
-    model: ALSModel, batch: DataFrame, k: int = 5, id_maps: dict[str, DataFrame] | None = None
+    model: ALSModel,
+    batch: DataFrame,
+    k: int = 5,
+    id_maps: dict[str, DataFrame] | None = None,
+    item_stats: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Top-k for the distinct users seen in the batch (known users only).
 
@@ -44,9 +49,9 @@ def batch_recommendations(
     if id_maps and "user_id" in id_maps:
         m = id_maps["user_id"]
         users = users.join(m, "user_id").select(F.col("user_id__dense").alias("user_id"))
-        return to_source_ids(recommend(model, users, k), id_maps)
+        return to_source_ids(recommend(model, users, k, item_stats=item_stats), id_maps)
     users = users.select(F.col("user_id").cast("int").alias("user_id"))
-    return to_source_ids(recommend(model, users, k), id_maps or {})
+    return to_source_ids(recommend(model, users, k, item_stats=item_stats), id_maps or {})
 
 
 def make_batch_handler(
@@ -59,6 +64,9 @@ def make_batch_handler(
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` callback writing ``metrics/`` and (with a model) ``recs/``."""
 
+    # The model is fixed for the life of the query: measure its items once.
+    item_stats = item_factor_stats(model) if model is not None else None
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
@@ -71,7 +79,7 @@ def make_batch_handler(
                 f"{out_dir}/metrics", batch_id, n_rows=1,
             )
             if model is not None:
-                recs = batch_recommendations(model, cached, k, id_maps)
+                recs = batch_recommendations(model, cached, k, id_maps, item_stats)
                 write_batch_partition(recs, f"{out_dir}/recs", batch_id, n_rows=row["n_events"])
                 if show_rows:
                     recs.show(show_rows, truncate=False)

@@ -54,3 +54,10 @@ def test_rmse_reads_ratings_once(spark):
     plan = _plan(q_rmse_fixed(spark, SF001))
     scans = re.findall(r"^\(\d+\) Scan parquet", plan, flags=re.M)
     assert len(scans) == 2  # lineitem and orders, once each
+
+
+def test_recommendations_have_no_cartesian_product(spark):
+    from ratewave.plans.model import q_als_recommend
+
+    plan = _plan(q_als_recommend(spark, SF001))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -53,7 +53,8 @@ def test_factors_nonnegative(trained):
 def test_exact_topk_matches_model(spark, trained):
     r, model = trained
     users = id_frame(spark, _known(r, 20))
-    a = {x.user_id: [e.rating for e in x.recommendations] for x in recommend(model, users, 5).collect()}
+    mllib = recommend(model, users, 5, method="mllib").collect()
+    a = {x.user_id: [e.rating for e in x.recommendations] for x in mllib}
     b = {x.user_id: [e.rating for e in x.recommendations] for x in recommend_exact(model, users, 5).collect()}
     assert a.keys() == b.keys()
     for u in a:

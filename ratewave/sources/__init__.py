@@ -6,6 +6,7 @@ from ratewave.sources.tables import (
     rating_events,
     ratings,
     read_table,
+    table_stream,
 )
 
 __all__ = [
@@ -20,4 +21,5 @@ __all__ = [
     "rating_events",
     "ratings",
     "read_table",
+    "table_stream",
 ]

@@ -79,13 +79,35 @@ def ratings(spark: SparkSession, sf_dir: str, id_type: str = "int") -> DataFrame
     )
 
 
-def events_stream(
-    spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None
+def _is_directory(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(hpath) and fs.getFileStatus(hpath).isDirectory()
+
+
+def table_stream(
+    spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """The ``events`` table as a file stream (a folder scan filtered to it)."""
+    """A Parquet table as a file stream.
+
+    A table stored as a folder of part files is streamed as that folder; a
+    table stored as one file is streamed from its parent folder with a
+    file-name filter (a file stream source needs a folder).
+    """
     use_utc(spark)
-    schema = read_table(spark, sf_dir, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    path = table_path(sf_dir, name)
+    schema = spark.read.parquet(path).schema
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(sf_dir)
+    if _is_directory(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def events_stream(
+    spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """The ``events`` table as a file stream."""
+    return table_stream(spark, sf_dir, "events", max_files_per_trigger)

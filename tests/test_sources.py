@@ -43,3 +43,17 @@ def test_kafka_options():
     o = kafka_options("h:9092", "ratings-stream", max_offsets_per_trigger=1000)
     assert o == {"kafka.bootstrap.servers": "h:9092", "subscribe": "ratings-stream",
                  "startingOffsets": "latest", "maxOffsetsPerTrigger": "1000"}
+
+
+def test_table_stream_from_file_or_folder(spark, tmp_dir):
+    from conftest import SF001
+    from ratewave.sources.tables import events_stream
+
+    folder = os.path.join(tmp_dir, "sf")
+    spark.read.parquet(f"{SF001}/events.parquet").repartition(3).write.parquet(f"{folder}/events.parquet")
+    for src in (SF001, folder):
+        q = (events_stream(spark, src).writeStream.format("memory").queryName(f"ev_{abs(hash(src))}")
+             .option("checkpointLocation", os.path.join(tmp_dir, f"ck_{abs(hash(src))}"))
+             .trigger(availableNow=True).start())
+        q.awaitTermination(120)
+        assert spark.table(f"ev_{abs(hash(src))}").count() == 1000

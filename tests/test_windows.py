@@ -77,3 +77,17 @@ def test_float_average_precision(spark):
     df = spark.createDataFrame([(1, 1, 4.7, T0), (2, 1, 4.5, T0)], "user_id int, item_id int, rating float, event_time timestamp")
     r = item_window_stats(df, "1 minute", None).first()
     assert r.avg_rating == pytest.approx(4.599999904632568, abs=1e-15)
+
+
+def test_serving_counters_and_first_recs(spark):
+    from ratewave.operators import first_recs, recs_counters, result_counters
+
+    t = spark.createDataFrame(
+        [(1, 4.8, 6), (1, 4.0, 9), (2, 4.6, 5), (3, 4.9, 4)], "item_id int, avg_rating double, n_ratings long"
+    )
+    r = result_counters(t).first()
+    assert (r.trending_windows, r.distinct_items, r.alert_windows) == (4, 3, 2)
+    recs = spark.createDataFrame([(u, b) for b in (0, 1) for u in (5, 3, 9)], "user_id int, batch_id long")
+    c = recs_counters(recs).first()
+    assert (c.rec_rows, c.rec_batches) == (6, 2)
+    assert [(x.batch_id, x.user_id) for x in first_recs(recs, 4).collect()] == [(0, 3), (0, 5), (0, 9), (1, 3)]

@@ -6,6 +6,7 @@ from ratewave.sources.tables import (
     rating_events,
     ratings,
     read_table,
+    register_views,
     table_stream,
 )
 
@@ -21,5 +22,6 @@ __all__ = [
     "rating_events",
     "ratings",
     "read_table",
+    "register_views",
     "table_stream",
 ]

@@ -111,3 +111,14 @@ def events_stream(
 ) -> DataFrame:
     """The ``events`` table as a file stream."""
     return table_stream(spark, sf_dir, "events", max_files_per_trigger)
+
+
+def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Temp views ``rating_events`` and ``ratings`` for ``spark.sql(...)``.
+
+    Views are lazy plans: a SQL query over them is optimised together with
+    the view (pruning and pushdown reach the Parquet scans).
+    """
+    rating_events(spark, sf_dir).createOrReplaceTempView("rating_events")
+    ratings(spark, sf_dir).createOrReplaceTempView("ratings")
+    return ["rating_events", "ratings"]

@@ -91,3 +91,22 @@ def test_serving_counters_and_first_recs(spark):
     c = recs_counters(recs).first()
     assert (c.rec_rows, c.rec_batches) == (6, 2)
     assert [(x.batch_id, x.user_id) for x in first_recs(recs, 4).collect()] == [(0, 3), (0, 5), (0, 9), (1, 3)]
+
+
+def test_sql_over_registered_views_equals_dataframe_form(spark):
+    from conftest import SF001
+    from ratewave.plans.batch import q_trending
+    from ratewave.sources import register_views
+
+    register_views(spark, SF001)
+    sql = spark.sql("""
+        SELECT CAST(window.start AS TIMESTAMP_NTZ) AS window_start,
+               CAST(window.end AS TIMESTAMP_NTZ) AS window_end, item_id,
+               round(avg(rating), 6) AS avg_rating, count(*) AS n_ratings,
+               round(stddev_samp(rating), 6) AS rating_variance,
+               round(count(*) * avg(rating), 6) AS trending_score
+        FROM rating_events
+        GROUP BY window(event_time, '6 hours', '2 hours'), item_id""")
+    df = q_trending(spark, SF001)
+    assert sql.count() == df.count()
+    assert sql.exceptAll(df).count() == 0 and df.exceptAll(sql).count() == 0

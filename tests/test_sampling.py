@@ -45,3 +45,13 @@ def test_split_on_row_id_divides_a_hot_group_of_copies(spark):
     copies_by_row = [p.filter("v = -1").count() for p in by_row]
     assert 0 in copies_by_value  # all copies on one side
     assert 1500 < copies_by_row[0] < 1700 and sum(copies_by_row) == 2000
+
+
+def test_sample_exact_with_a_hot_group_of_copies(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(0, 9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("v")
+    )
+    for n in (10, 500, 4000):
+        assert sample_n(df, n, 3, ["v"]).count() == n

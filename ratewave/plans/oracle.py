@@ -180,3 +180,12 @@ FROM t WHERE {ALERT_PREDICATE} AND {FINAL_WINDOWS}
 ORDER BY window_end DESC, item_id ASC LIMIT 20""",
     }
 )
+
+ORACLE_SQL["stream_item_window_final_30s"] = f"""WITH {RATING_EVENTS},{_windows(*REF)}
+SELECT window_start, window_end, item_id,
+       round(avg(rating), 6) AS avg_rating,
+       count(*) AS n_ratings,
+       round(stddev_samp(rating), 6) AS rating_variance,
+       round(count(*) * avg(rating), 6) AS trending_score
+FROM w GROUP BY window_start, window_end, item_id
+HAVING {FINAL_WINDOWS}"""

@@ -17,6 +17,7 @@ from ratewave.session import shared_dir, use_utc
 from ratewave.sources.files import read_result_dir
 from ratewave.sources.tables import events_stream, events_to_ratings
 from ratewave.streaming.app import (
+    REFERENCE_SPEC,
     WindowSpec,
     start_final_windows,
     start_recommendations,
@@ -50,6 +51,13 @@ def q_stream_item_window_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_result_dir(spark, f"{out}/trending", TRENDING_OUT).drop("batch_id")
 
 
+def q_stream_item_window_final_30s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows at the reference parameters: 30 s / 10 s, 1 minute watermark."""
+    out = _run_dir(spark, "final30")
+    run_to_end(start_final_windows(_events(spark, sf_dir), out, REFERENCE_SPEC, AVAILABLE_NOW, DIGITS))
+    return read_result_dir(spark, f"{out}/trending", TRENDING_OUT).drop("batch_id")
+
+
 def q_stream_alerts_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _final_run(spark, sf_dir)
     return read_result_dir(spark, f"{out}/alerts", ALERTS_OUT).drop("batch_id")
@@ -101,6 +109,7 @@ STREAM_QUERIES = {
     "served_top_trending": q_served_top_trending,
     "served_latest_alerts": q_served_latest_alerts,
     "stream_item_window_final": q_stream_item_window_final,
+    "stream_item_window_final_30s": q_stream_item_window_final_30s,
     "stream_user_window_final": q_stream_user_window_final,
     "stream_alerts_final": q_stream_alerts_final,
     "stream_update_last": q_stream_update_last,

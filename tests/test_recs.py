@@ -136,3 +136,16 @@ def test_wide_ids_roundtrip_through_als(spark):
         scores = [e.rating for e in r.recommendations]
         assert len(items) == 3 and all(base * 2 <= i < base * 2 + 12 for i in items)
         assert scores == sorted(scores, reverse=True)
+
+
+def test_dense_id_map_contiguous_in_value_order(spark):
+    from pyspark.sql import functions as F
+
+    from ratewave.models import dense_id_map
+
+    base = 7_000_000_000
+    df = spark.range(0, 20000).select(((F.col("id") * 7919) % 20000 + base).alias("user_id")).repartition(13)
+    m = dense_id_map(df.union(df), "user_id", "d").collect()  # duplicates collapse
+    pairs = sorted((r.user_id, r.d) for r in m)
+    assert [d for _, d in pairs] == list(range(20000))
+    assert [u for u, _ in pairs] == [base + i for i in range(20000)]

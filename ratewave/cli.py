@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import logging
 import sys
 
 from pyspark.sql import functions as F
@@ -151,6 +152,7 @@ def run(spark, argv: list[str]) -> int:
 
 
 def main(argv: list[str] | None = None) -> int:
+    logging.basicConfig(level=logging.INFO, format="[%(name)s] %(message)s")
     a = parse_args(argv)
     spark = build_session(a.master, shuffle_partitions=a.shuffle_partitions)
     return HANDLERS[a.cmd](spark, a)

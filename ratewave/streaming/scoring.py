@@ -9,6 +9,7 @@ once and reused by the metrics and the recommendation jobs.  Output goes to
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -21,6 +22,8 @@ from ratewave.models.als import recommend, to_source_ids
 from ratewave.models.exact import item_factor_stats
 from ratewave.streaming.sinks import write_batch_partition
 
+log = logging.getLogger("ratewave.streaming")
+
 
 def batch_metrics(batch: DataFrame, batch_id: int, now: Column | None = None) -> DataFrame:
     """One row: ``batch_id, n_events, avg_lag_s`` (from whole epoch seconds)
@@ -74,6 +77,8 @@ def make_batch_handler(
         try:
             metrics = batch_metrics(cached, batch_id, now).drop("batch_id")
             row = metrics.first()  # one row
+            log.info("batch %d: %d events, avg lag %.2f s", batch_id, row["n_events"],
+                     row["avg_lag_exact_s"] if row["avg_lag_exact_s"] is not None else float("nan"))
             write_batch_partition(
                 cached.sparkSession.createDataFrame([row], metrics.schema),
                 f"{out_dir}/metrics", batch_id, n_rows=1,

@@ -15,6 +15,7 @@ from ratewave.models.als import (
     rmse_frame,
     save_model,
     to_source_ids,
+    to_source_pairs,
     with_int_ids,
 )
 from ratewave.models.baseline import mean_baseline_rmse
@@ -39,5 +40,6 @@ __all__ = [
     "rmse_frame",
     "save_model",
     "to_source_ids",
+    "to_source_pairs",
     "with_int_ids",
 ]

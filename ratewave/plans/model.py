@@ -22,11 +22,12 @@ from ratewave.models.als import (
     recommend,
     save_model,
     to_source_ids,
+    to_source_pairs,
     with_int_ids,
 )
+from ratewave.models.baseline import mean_baseline_rmse
 from ratewave.operators.cleaning import clean_ratings
 from ratewave.operators.joins import join_with_small
-from ratewave.models.baseline import mean_baseline_rmse
 from ratewave.operators.sampling import hash_split, sample_n
 from ratewave.operators.topk import topk_dot
 from ratewave.session import materialize, shared_dir, use_utc
@@ -68,9 +69,10 @@ def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_table_with_maps(spark, sf_dir)[0]
 
 
-def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    train, test = hash_split(clean_table(spark, sf_dir), SPLIT, SPLIT_SEED, ["rid"])
-    return train, test
+def train_test(spark: SparkSession, sf_dir: str, with_maps: bool = False):
+    table, maps = clean_table_with_maps(spark, sf_dir)
+    train, test = hash_split(table, SPLIT, SPLIT_SEED, ["rid"])
+    return (train, test, maps) if with_maps else (train, test)
 
 
 def q_sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,9 +109,10 @@ def q_rmse_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_als_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = train_test(spark, sf_dir)
+    train, test, maps = train_test(spark, sf_dir, with_maps=True)
     model = fit_als(train, BASELINE)
-    return predict(model, test).select("user_id", "item_id", "rating", "prediction")
+    pred = predict(model, test).select("user_id", "item_id", "rating", "prediction")
+    return to_source_pairs(pred, maps)
 
 
 def _model_on_all(spark: SparkSession, sf_dir: str, with_maps: bool = False):

@@ -149,3 +149,16 @@ def test_dense_id_map_contiguous_in_value_order(spark):
     pairs = sorted((r.user_id, r.d) for r in m)
     assert [d for _, d in pairs] == list(range(20000))
     assert [u for u, _ in pairs] == [base + i for i in range(20000)]
+
+
+def test_predictions_map_back_to_source_ids(spark):
+    from ratewave.models import predict, to_source_pairs
+
+    base = 6_000_000_000
+    rows = [(base + u, i, float((u + i) % 5 + 1)) for u in range(25) for i in range(8)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rating float")
+    dense, maps = with_int_ids(df)
+    model = fit_als(dense, BASELINE)
+    pred = to_source_pairs(predict(model, dense), maps).collect()
+    assert len(pred) == 200
+    assert {r.user_id for r in pred} == {base + u for u in range(25)}

@@ -87,12 +87,14 @@ def _recommend(spark, a) -> int:
 
 
 def _report(spark, a) -> int:
-    from ratewave.operators.serving import latest_alerts, result_counters, top_trending
-    from ratewave.schemas import TRENDING_OUT
+    from ratewave.operators.serving import latest_alerts, recs_counters, result_counters, top_trending
+    from ratewave.schemas import RECS_OUT, TRENDING_OUT
     from ratewave.sources.files import read_result_dir
 
     trending = read_result_dir(spark, f"{a.out}/trending", TRENDING_OUT).drop("batch_id")
     result_counters(trending).show(truncate=False)
+    recs = read_result_dir(spark, f"{a.out}/recs", RECS_OUT)
+    recs_counters(recs).show(truncate=False)
     top_trending(trending, a.top).show(a.top, truncate=False)
     latest_alerts(trending, a.alerts).show(a.alerts, truncate=False)
     return 0

@@ -69,3 +69,17 @@ METRICS_OUT = T.StructType(
         BATCH_ID,
     ]
 )
+RECS_OUT = T.StructType(
+    [
+        T.StructField("user_id", T.IntegerType()),
+        T.StructField(
+            "recommendations",
+            T.ArrayType(
+                T.StructType(
+                    [T.StructField("item_id", T.IntegerType()), T.StructField("rating", T.FloatType())]
+                )
+            ),
+        ),
+        BATCH_ID,
+    ]
+)

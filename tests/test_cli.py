@@ -34,7 +34,8 @@ def test_train_recommend_stream_report(spark, tmp_dir, capsys):
     assert cli.run(spark, ["stream", "--files", files, "--out", outdir, "--model", model,
                            "--available-now"]) == 0
     assert cli.run(spark, ["report", "--out", outdir]) == 0
-    assert "TRENDING" in capsys.readouterr().out
+    report = capsys.readouterr().out
+    assert "TRENDING" in report and "rec_rows" in report
     assert spark.read.parquet(os.path.join(outdir, "recs")).count() == 6
 
 

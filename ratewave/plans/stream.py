@@ -15,7 +15,7 @@ from ratewave.schemas import ALERTS_OUT, METRICS_OUT, TRENDING_OUT, TRENDING_SCH
 from ratewave.schemas import USER_WINDOWS_OUT as USERS_OUT
 from ratewave.session import shared_dir, use_utc
 from ratewave.sources.files import read_result_dir
-from ratewave.sources.tables import events_stream, events_to_ratings
+from ratewave.sources.tables import events_stream, events_to_ratings, table_path
 from ratewave.streaming.app import (
     REFERENCE_SPEC,
     WindowSpec,
@@ -24,7 +24,7 @@ from ratewave.streaming.app import (
     start_user_windows,
     start_window_updates,
 )
-from ratewave.streaming.sinks import AVAILABLE_NOW, run_to_end
+from ratewave.streaming.sinks import AVAILABLE_NOW, path_bytes, run_to_end, state_partitions_for
 
 DIGITS = 6
 WIDE_SPEC = WindowSpec(size="6 hours", slide="2 hours", watermark="1 minute")
@@ -40,9 +40,16 @@ def _run_dir(spark: SparkSession, name: str) -> str:
     return shared_dir(spark, "runs", name, unique=True)
 
 
-def _final_run(spark: SparkSession, sf_dir: str) -> str:
-    out = _run_dir(spark, "final")
-    run_to_end(start_final_windows(_events(spark, sf_dir), out, WIDE_SPEC, AVAILABLE_NOW, DIGITS))
+def _replay(spark: SparkSession, sf_dir: str, start) -> None:
+    """Run one available-now replay of the events table, with its state
+    sized to the table (see ``state_partitions_for``)."""
+    with state_partitions_for(spark, path_bytes(spark, table_path(sf_dir, "events"))):
+        run_to_end(start(_events(spark, sf_dir)))
+
+
+def _final_run(spark: SparkSession, sf_dir: str, spec: WindowSpec = WIDE_SPEC, name: str = "final") -> str:
+    out = _run_dir(spark, name)
+    _replay(spark, sf_dir, lambda ev: start_final_windows(ev, out, spec, AVAILABLE_NOW, DIGITS))
     return out
 
 
@@ -53,8 +60,7 @@ def q_stream_item_window_final(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_item_window_final_30s(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed windows at the reference parameters: 30 s / 10 s, 1 minute watermark."""
-    out = _run_dir(spark, "final30")
-    run_to_end(start_final_windows(_events(spark, sf_dir), out, REFERENCE_SPEC, AVAILABLE_NOW, DIGITS))
+    out = _final_run(spark, sf_dir, REFERENCE_SPEC, "final30")
     return read_result_dir(spark, f"{out}/trending", TRENDING_OUT).drop("batch_id")
 
 
@@ -65,14 +71,14 @@ def q_stream_alerts_final(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_user_window_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _run_dir(spark, "users")
-    run_to_end(start_user_windows(_events(spark, sf_dir), out, WIDE_SPEC, AVAILABLE_NOW))
+    _replay(spark, sf_dir, lambda ev: start_user_windows(ev, out, WIDE_SPEC, AVAILABLE_NOW))
     return read_result_dir(spark, f"{out}/user_windows", USERS_OUT)
 
 
 def q_stream_update_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last emitted version of every (window, item) in update mode."""
     out = _run_dir(spark, "updates")
-    run_to_end(start_window_updates(_events(spark, sf_dir), out, WIDE_SPEC, AVAILABLE_NOW, DIGITS))
+    _replay(spark, sf_dir, lambda ev: start_window_updates(ev, out, WIDE_SPEC, AVAILABLE_NOW, DIGITS))
     updates = read_result_dir(spark, f"{out}/trending_updates", TRENDING_OUT)
     last = best_per_key(updates, ["window_start", "window_end", "item_id"], ["batch_id"])
     return last.select(*[f.name for f in TRENDING_SCHEMA.fields])

@@ -7,9 +7,10 @@ restarted driver or a lost executor resumes from the last committed batch.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 AVAILABLE_NOW = "available_now"
@@ -128,3 +129,36 @@ def publish_records(
         w.save(path)
     else:
         w.save()
+
+
+STATE_BYTES_PER_PARTITION = 128 * 1024 * 1024
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (Hadoop file system API)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
+@contextmanager
+def state_partitions_for(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """Size a new stateful query's state store to its input while it starts
+    and runs.
+
+    The width of a streaming aggregation's state is fixed when the query
+    first starts (from ``spark.sql.shuffle.partitions``) and AQE cannot
+    coalesce it.  For a bounded replay whose input size is known, use
+    ``max(parallelism, input / 128 MB)`` partitions, never more than the
+    caller's setting; the caller's value is restored afterwards.
+    """
+    key = "spark.sql.shuffle.partitions"
+    caller = int(spark.conf.get(key))
+    wanted = max(spark.sparkContext.defaultParallelism, math.ceil(input_bytes / STATE_BYTES_PER_PARTITION))
+    n = max(1, min(caller, wanted))
+    spark.conf.set(key, str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.set(key, str(caller))

@@ -146,3 +146,20 @@ def test_failed_batch_replays_without_duplicates(spark, tmp_dir):
     assert metrics.count() == 1
     row = metrics.first()
     assert row.batch_id == 0 and row.n_events == 10 and row.avg_lag_s == 60.0
+
+
+def test_state_partitions_sized_and_restored(spark):
+    from ratewave.streaming.sinks import state_partitions_for
+
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "200")
+    try:
+        with state_partitions_for(spark, 1_000_000) as n:
+            assert n == spark.sparkContext.defaultParallelism
+            assert spark.conf.get(key) == str(n)
+        assert spark.conf.get(key) == "200"
+        with state_partitions_for(spark, 10 ** 15) as n:  # huge input: the caller's cap wins
+            assert n == 200
+    finally:
+        spark.conf.set(key, before)

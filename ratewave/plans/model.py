@@ -77,7 +77,7 @@ def train_test(spark: SparkSession, sf_dir: str, with_maps: bool = False):
 
 def q_sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = clean(spark, sf_dir)
-    s = sample_n(src, SAMPLE_N, SAMPLE_SEED, RATING_KEYS)
+    s = sample_n(src, SAMPLE_N, SAMPLE_SEED, RATING_KEYS).cache()  # at most n rows, used twice
     missing = s.join(src, RATING_KEYS, "left_anti").agg(F.count(F.lit(1)).alias("n_missing"))
     sizes = s.agg(F.count(F.lit(1)).alias("n_rows"))
     total = src.agg(F.count(F.lit(1)).alias("n_source"))

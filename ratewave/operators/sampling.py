@@ -26,6 +26,28 @@ def unit_hash(key_cols: Sequence[str], seed: int) -> Column:
     return row_hash(key_cols, seed).bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(_TWO53)
 
 
+# Fixed values of the portable hash: a prime modulus and LCG multipliers,
+# all below 2^31 so every product fits in a signed 64-bit integer.
+MOD_PRIME = 2147483647
+MOD_MULTIPLIERS = (1103515245, 22695477, 134775813, 1664525, 69069)
+
+
+def modular_unit_hash(key_cols: Sequence[str], seed: int) -> Column:
+    """A value in [0, 1) from integer key columns, using only 64-bit integer
+    ``%``, ``*`` and ``+`` (so any SQL engine reproduces it exactly).
+
+    ``xxhash64`` (:func:`unit_hash`) mixes better and is the default; this
+    one is for samples and splits that another engine must re-derive.
+    """
+    if len(key_cols) > len(MOD_MULTIPLIERS):
+        raise ValueError(f"at most {len(MOD_MULTIPLIERS)} key columns")
+    p = F.lit(MOD_PRIME)
+    acc = F.lit(seed % MOD_PRIME).cast("long")
+    for c, a in zip(key_cols, MOD_MULTIPLIERS):
+        acc = acc + (F.pmod(F.col(c).cast("long"), p) * F.lit(a)) % p
+    return (acc % p) / p
+
+
 # Hash histogram resolution: buckets at 2^(-b/4), so a threshold is never
 # more than 2^(1/4) (19%) wider than needed.
 _STEPS_PER_HALVING = 4
@@ -39,7 +61,13 @@ def _bucket(u: Column) -> Column:
     return F.coalesce(F.least(b, F.lit(_MAX_BUCKET)), F.lit(_MAX_BUCKET)).cast("int")
 
 
-def sample_n(df: DataFrame, n: int, seed: int, key_cols: Sequence[str] | None = None) -> DataFrame:
+def sample_n(
+    df: DataFrame,
+    n: int,
+    seed: int,
+    key_cols: Sequence[str] | None = None,
+    unit: Column | None = None,
+) -> DataFrame:
     """Exactly ``min(n, count)`` rows: the ``n`` with the smallest key hash.
 
     One pass builds a histogram of the hash (a few hundred buckets,
@@ -49,7 +77,7 @@ def sample_n(df: DataFrame, n: int, seed: int, key_cols: Sequence[str] | None =
     no full pass is repeated and no retry is needed.
     """
     keys = list(key_cols or df.columns)
-    u = unit_hash(keys, seed)
+    u = unit_hash(keys, seed) if unit is None else unit
     hist = df.groupBy(_bucket(u).alias("b")).agg(F.count(F.lit(1)).alias("c")).collect()
     total = sum(r["c"] for r in hist)
     if total <= n:
@@ -69,6 +97,7 @@ def hash_split(
     weights: Sequence[float],
     seed: int,
     key_cols: Sequence[str] | None = None,
+    unit: Column | None = None,
 ) -> list[DataFrame]:
     """Split by a per-row hash into parts proportional to ``weights``.
 
@@ -81,7 +110,7 @@ def hash_split(
     for w in weights:
         bounds.append(bounds[-1] + w / total)
     bounds[-1] = 1.0 + 1e-9
-    u = unit_hash(keys, seed)
+    u = unit_hash(keys, seed) if unit is None else unit
     return [df.filter((u >= F.lit(lo)) & (u < F.lit(hi))) for lo, hi in zip(bounds, bounds[1:])]
 
 

@@ -28,7 +28,7 @@ from ratewave.models.als import (
 from ratewave.models.baseline import mean_baseline_rmse
 from ratewave.operators.cleaning import clean_ratings
 from ratewave.operators.joins import join_with_small
-from ratewave.operators.sampling import hash_split, sample_n
+from ratewave.operators.sampling import hash_split, modular_unit_hash, sample_n
 from ratewave.operators.topk import topk_dot
 from ratewave.session import materialize, shared_dir, use_utc
 from ratewave.sources.tables import events_stream, events_to_ratings, ratings, read_table
@@ -84,6 +84,25 @@ def q_sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.select("n_rows", total.scalar().alias("n_source"), missing.scalar().alias("n_missing"))
 
 
+PORTABLE_KEYS = ["user_id", "item_id", "timestamp"]
+
+
+def q_sample_n_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact-N sample itself, drawn with the portable modular hash so an
+    independent engine can re-derive the same rows."""
+    src = clean(spark, sf_dir)
+    unit = modular_unit_hash(PORTABLE_KEYS, SAMPLE_SEED)
+    return sample_n(src, SAMPLE_N, SAMPLE_SEED, RATING_KEYS, unit=unit)
+
+
+def q_split_train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 80% training part of the seeded split (portable modular hash)."""
+    src = clean(spark, sf_dir)
+    unit = modular_unit_hash(PORTABLE_KEYS, SPLIT_SEED)
+    train, _ = hash_split(src, SPLIT, SPLIT_SEED, unit=unit)
+    return train
+
+
 def q_split_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = clean(spark, sf_dir)
     train, test = hash_split(src, SPLIT, SPLIT_SEED, RATING_KEYS)
@@ -199,7 +218,9 @@ def q_stream_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MODEL_QUERIES = {
     "sample_n": q_sample_n,
+    "sample_n_rows": q_sample_n_rows,
     "split_invariants": q_split_invariants,
+    "split_train_rows": q_split_train_rows,
     "rmse_fixed": q_rmse_fixed,
     "als_predict": q_als_predict,
     "als_recommend": q_als_recommend,

@@ -189,3 +189,27 @@ SELECT window_start, window_end, item_id,
        round(count(*) * avg(rating), 6) AS trending_score
 FROM w GROUP BY window_start, window_end, item_id
 HAVING {FINAL_WINDOWS}"""
+
+
+def _modular_hash(seed: int) -> str:
+    p = 2147483647
+    terms = [
+        f"((CAST({c} AS BIGINT) % {p}) * {a}) % {p}"
+        for c, a in zip(['user_id', 'item_id', '"timestamp"'], [1103515245, 22695477, 134775813])
+    ]
+    return f"({seed % p} + " + " + ".join(terms) + f") % {p}"
+
+
+ORACLE_SQL.update(
+    {
+        "sample_n_rows": f"""WITH {CLEAN},
+h AS (SELECT *, {_modular_hash(1)} AS hv FROM clean)
+SELECT user_id, item_id, rating, "timestamp" FROM h
+ORDER BY hv, user_id, item_id, rating, "timestamp" LIMIT 500""",
+        "split_train_rows": f"""WITH {CLEAN},
+h AS (SELECT *, {_modular_hash(42)} AS hv FROM clean)
+SELECT user_id, item_id, rating, "timestamp" FROM h
+WHERE CAST(hv AS DOUBLE) / CAST(2147483647 AS DOUBLE) >= CAST(0.0 AS DOUBLE)
+  AND CAST(hv AS DOUBLE) / CAST(2147483647 AS DOUBLE) < CAST(0.8 AS DOUBLE)""",
+    }
+)

@@ -55,3 +55,19 @@ def test_sample_exact_with_a_hot_group_of_copies(spark):
     )
     for n in (10, 500, 4000):
         assert sample_n(df, n, 3, ["v"]).count() == n
+
+
+def test_modular_hash_in_unit_interval_and_portable_sample_exact(spark):
+    from pyspark.sql import functions as F
+
+    from ratewave.operators.sampling import modular_unit_hash
+
+    df = spark.range(0, 5000).select(
+        (F.col("id") * 3_000_000_017).alias("a"), (F.col("id") % 97).alias("b")
+    )
+    u = modular_unit_hash(["a", "b"], 7)
+    lo, hi = df.agg(F.min(u), F.max(u)).first()
+    assert 0.0 <= lo and hi < 1.0
+    s1 = sorted(r.a for r in sample_n(df, 300, 7, ["a", "b"], unit=u).collect())
+    s2 = sorted(r.a for r in sample_n(df.repartition(4), 300, 7, ["a", "b"], unit=u).collect())
+    assert len(s1) == 300 and s1 == s2

@@ -10,7 +10,14 @@ from conftest import SF001
 from ratewave.functions.parse import encode_events, parse_events
 from ratewave.operators import latest_alerts
 from ratewave.plans.batch import BATCH_QUERIES, trending_frame
-from ratewave.plans.model import q_rmse_fixed, q_sample_n, q_split_invariants, q_topk_dot
+from ratewave.plans.model import (
+    q_rmse_fixed,
+    q_sample_n,
+    q_sample_n_rows,
+    q_split_invariants,
+    q_split_train_rows,
+    q_topk_dot,
+)
 from ratewave.sources.tables import rating_events
 
 
@@ -22,7 +29,8 @@ def _plan(df):
     "name,fn",
     sorted(BATCH_QUERIES.items())
     + [("rmse_fixed", q_rmse_fixed), ("sample_n", q_sample_n),
-       ("split_invariants", q_split_invariants), ("topk_dot", q_topk_dot)],
+       ("split_invariants", q_split_invariants), ("topk_dot", q_topk_dot),
+       ("sample_n_rows", q_sample_n_rows), ("split_train_rows", q_split_train_rows)],
 )
 def test_no_pairwise_joins(spark, name, fn):
     plan = _plan(fn(spark, SF001))

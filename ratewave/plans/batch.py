@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratewave.functions.parse import encode_events, parse_events
+from ratewave.functions.parse import encode_events, iso_timestamp, parse_events
 from ratewave.operators import (
     clean_ratings,
     distinct_values,
@@ -24,7 +24,8 @@ from ratewave.operators import (
     trending,
     user_window_counts,
 )
-from ratewave.sources.tables import rating_events, ratings
+from ratewave.session import use_utc
+from ratewave.sources.tables import events_to_ratings, rating_events, ratings, read_table
 
 DIGITS = 6
 # Windows over the driver's events: 6 h / 2 h (events are ~4 minutes apart,
@@ -65,6 +66,33 @@ def q_event_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dirty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event records with malformed values, derived from the events table:
+    ``error`` events carry truncated JSON, ``signup`` events a timestamp
+    that is not a time, ``view`` events the user id as a JSON string."""
+    use_utc(spark)
+    ev = events_to_ratings(read_table(spark, sf_dir, "events"), keep=["event_type"])
+    fields = [F.col("user_id"), F.col("item_id"), F.col("rating")]
+    good = F.to_json(F.struct(*fields, iso_timestamp("event_time").alias("timestamp")))
+    bad_time = F.to_json(F.struct(*fields, F.lit("not-a-time").alias("timestamp")))
+    user_text = F.to_json(
+        F.struct(F.col("user_id").cast("string").alias("user_id"), *fields[1:],
+                 iso_timestamp("event_time").alias("timestamp"))
+    )
+    kind = F.col("event_type")
+    value = (
+        F.when(kind == "error", F.substring(good, 1, 20))
+        .when(kind == "signup", bad_time)
+        .when(kind == "view", user_text)
+        .otherwise(good)
+    )
+    return ev.select(value.cast("binary").alias("value"))
+
+
+def q_parse_events_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ntz(parse_events(dirty_records(spark, sf_dir)))
+
+
 def trending_frame(spark: SparkSession, sf_dir: str, size=WIDE_SIZE, slide=WIDE_SLIDE) -> DataFrame:
     return flatten_window(trending(rating_events(spark, sf_dir), size, slide, round_digits=DIGITS))
 
@@ -110,6 +138,7 @@ def q_distinct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 BATCH_QUERIES = {
     "clean_ratings": q_clean_ratings,
     "parse_events": q_parse_events,
+    "parse_events_dirty": q_parse_events_dirty,
     "event_json_roundtrip": q_event_json_roundtrip,
     "item_window_stats": q_item_window_stats,
     "item_window_stats_30s": q_item_window_stats_30s,

@@ -213,3 +213,9 @@ WHERE CAST(hv AS DOUBLE) / CAST(2147483647 AS DOUBLE) >= CAST(0.0 AS DOUBLE)
   AND CAST(hv AS DOUBLE) / CAST(2147483647 AS DOUBLE) < CAST(0.8 AS DOUBLE)""",
     }
 )
+
+ORACLE_SQL["parse_events_dirty"] = f"""WITH {RATING_EVENTS.replace("ts AS event_time", "ts AS event_time, event_type")}
+SELECT user_id, item_id, CAST(rating AS FLOAT) AS rating,
+       strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS "timestamp",
+       event_time
+FROM re WHERE event_type NOT IN ('error', 'signup', 'view')"""

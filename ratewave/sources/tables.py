@@ -32,11 +32,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def events_to_ratings(events: DataFrame) -> DataFrame:
+def events_to_ratings(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Map raw ``events`` rows (static or streaming) to rating events.
 
     ``event_time`` is a session-zone TIMESTAMP (the source column is
-    TIMESTAMP_NTZ, which a watermark does not accept).
+    TIMESTAMP_NTZ, which a watermark does not accept).  ``keep`` carries
+    extra source columns through.
     """
     k = F.get_json_object(F.col("props"), "$.k").try_cast("int")
     item = (k % F.lit(N_ITEMS)).cast("int")
@@ -50,6 +51,7 @@ def events_to_ratings(events: DataFrame) -> DataFrame:
         item.alias("item_id"),
         rating.alias("rating"),
         F.col("ts").cast("timestamp").alias("event_time"),
+        *[F.col(c) for c in (keep or [])],
     )
 
 

@@ -17,7 +17,10 @@ import sys
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from ratewave.operators.windows import DEFAULT_SIZE, DEFAULT_SLIDE, DEFAULT_WATERMARK
 from ratewave.session import build_session
+from ratewave.sources.streams import DEFAULT_STARTING_OFFSETS, DEFAULT_TOPIC
+from ratewave.streaming.app import RECS_TRIGGER, WINDOW_TRIGGER
 
 
 def _train(spark, a) -> int:
@@ -118,17 +121,17 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     src = s.add_mutually_exclusive_group(required=True)
     src.add_argument("--kafka", help="bootstrap servers")
     src.add_argument("--files", help="folder of JSON-line files")
-    s.add_argument("--topic", default="ratings-stream")
-    s.add_argument("--starting-offsets", default="latest")
+    s.add_argument("--topic", default=DEFAULT_TOPIC)
+    s.add_argument("--starting-offsets", default=DEFAULT_STARTING_OFFSETS)
     s.add_argument("--max-offsets-per-trigger", type=int, default=None)
     s.add_argument("--max-files-per-trigger", type=int, default=None)
     s.add_argument("--out", required=True)
     s.add_argument("--model", default=None)
-    s.add_argument("--size", default="30 seconds")
-    s.add_argument("--slide", default="10 seconds")
-    s.add_argument("--watermark", default="1 minute")
-    s.add_argument("--trigger", default="10 seconds")
-    s.add_argument("--recs-trigger", default="5 seconds")
+    s.add_argument("--size", default=DEFAULT_SIZE)
+    s.add_argument("--slide", default=DEFAULT_SLIDE)
+    s.add_argument("--watermark", default=DEFAULT_WATERMARK)
+    s.add_argument("--trigger", default=WINDOW_TRIGGER)
+    s.add_argument("--recs-trigger", default=RECS_TRIGGER)
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--console-rows", type=int, default=0)
 

@@ -24,6 +24,7 @@ from ratewave.operators import (
     trending,
     user_window_counts,
 )
+from ratewave.operators.windows import DEFAULT_SIZE, DEFAULT_SLIDE
 from ratewave.session import use_utc
 from ratewave.sources.tables import events_to_ratings, rating_events, ratings, read_table
 
@@ -31,7 +32,7 @@ DIGITS = 6
 # Windows over the driver's events: 6 h / 2 h (events are ~4 minutes apart,
 # so the reference's 30 s / 10 s windows hold one or two events each).
 WIDE_SIZE, WIDE_SLIDE = "6 hours", "2 hours"
-REF_SIZE, REF_SLIDE = "30 seconds", "10 seconds"
+REF_SIZE, REF_SLIDE = DEFAULT_SIZE, DEFAULT_SLIDE
 
 ROUNDTRIP_SCHEMA = T.StructType(
     [

@@ -9,11 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Default topic and starting position of the event stream.
+DEFAULT_TOPIC = "ratings-stream"
+DEFAULT_STARTING_OFFSETS = "latest"
+
 
 def kafka_options(
     bootstrap_servers: str,
     topic: str,
-    starting_offsets: str = "latest",
+    starting_offsets: str = DEFAULT_STARTING_OFFSETS,
     fail_on_data_loss: bool | None = None,
     max_offsets_per_trigger: int | None = None,
     extra: dict[str, str] | None = None,

@@ -49,6 +49,11 @@ class WindowSpec:
 
 REFERENCE_SPEC = WindowSpec()
 
+# Processing-time triggers of the window queries and of the
+# per-batch recommendation query.
+WINDOW_TRIGGER = "10 seconds"
+RECS_TRIGGER = "5 seconds"
+
 
 def trending_stream(events: DataFrame, spec: WindowSpec, digits: int | None = None) -> DataFrame:
     wm = with_event_watermark(events, "event_time", spec.watermark)
@@ -152,7 +157,7 @@ def start_user_updates_console(
     events: DataFrame,
     out_dir: str,
     spec: WindowSpec = REFERENCE_SPEC,
-    trigger: str | None = "10 seconds",
+    trigger: str | None = WINDOW_TRIGGER,
     num_rows: int = 20,
     name: str | None = None,
 ) -> StreamingQuery:
@@ -196,8 +201,8 @@ def start_app(
     out_dir: str,
     model: ALSModel | None = None,
     spec: WindowSpec = REFERENCE_SPEC,
-    window_trigger: str | None = "10 seconds",
-    recs_trigger: str | None = "5 seconds",
+    window_trigger: str | None = WINDOW_TRIGGER,
+    recs_trigger: str | None = RECS_TRIGGER,
     digits: int | None = None,
     console_rows: int = 0,
     prefix: str = "",

@@ -56,9 +56,12 @@ _MAX_BUCKET = 54 * _STEPS_PER_HALVING
 
 def _bucket(u: Column) -> Column:
     """``floor(-4 log2 u)``: bucket ``b`` holds ``2^-(b+1)/4 < u <= 2^-b/4``.
-    (``log2(0)`` is NULL; that row goes to the deepest bucket.)"""
-    b = F.floor(-F.log2(u) * F.lit(_STEPS_PER_HALVING))
-    return F.coalesce(F.least(b, F.lit(_MAX_BUCKET)), F.lit(_MAX_BUCKET)).cast("int")
+    ``u = 0`` goes to the deepest bucket; a NULL ``u`` (a NULL key under a
+    custom ``unit``) to bucket 0, so such rows come last."""
+    b = F.least(F.floor(-F.log2(u) * F.lit(_STEPS_PER_HALVING)), F.lit(_MAX_BUCKET))
+    return (
+        F.when(u.isNull(), F.lit(0)).when(u <= F.lit(0.0), F.lit(_MAX_BUCKET)).otherwise(b).cast("int")
+    )
 
 
 def sample_n(
@@ -89,7 +92,7 @@ def sample_n(
             cut = r["b"]
             break
     cand = df.filter(_bucket(u) >= F.lit(cut))
-    return cand.orderBy(u, *[F.col(c) for c in keys]).limit(n)
+    return cand.orderBy(u.asc_nulls_last(), *[F.col(c) for c in keys]).limit(n)
 
 
 def hash_split(
@@ -110,7 +113,8 @@ def hash_split(
     for w in weights:
         bounds.append(bounds[-1] + w / total)
     bounds[-1] = 1.0 + 1e-9
-    u = unit_hash(keys, seed) if unit is None else unit
+    # A NULL unit (possible only with a custom one) goes to the first part.
+    u = unit_hash(keys, seed) if unit is None else F.coalesce(unit, F.lit(0.0))
     return [df.filter((u >= F.lit(lo)) & (u < F.lit(hi))) for lo, hi in zip(bounds, bounds[1:])]
 
 

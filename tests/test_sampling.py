@@ -71,3 +71,16 @@ def test_modular_hash_in_unit_interval_and_portable_sample_exact(spark):
     s1 = sorted(r.a for r in sample_n(df, 300, 7, ["a", "b"], unit=u).collect())
     s2 = sorted(r.a for r in sample_n(df.repartition(4), 300, 7, ["a", "b"], unit=u).collect())
     assert len(s1) == 300 and s1 == s2
+
+
+def test_null_keys_never_dropped_with_custom_unit(spark):
+    from pyspark.sql import functions as F
+
+    from ratewave.operators.sampling import modular_unit_hash
+
+    df = spark.range(0, 1000).select(F.when(F.col("id") % 10 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"))
+    u = modular_unit_hash(["k"], 5)
+    parts = hash_split(df, [0.5, 0.5], 5, ["k"], unit=u)
+    assert sum(p.count() for p in parts) == 1000
+    s = sample_n(df, 50, 5, ["k"], unit=u).collect()
+    assert len(s) == 50 and all(r.k is not None for r in s)  # NULL-key rows sort last

@@ -103,6 +103,20 @@ def q_split_train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train
 
 
+def q_als_predict_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cold-start handling of predictions, checkable elsewhere: with the
+    portable split, a test rating gets a prediction exactly when its user
+    and its item both occur in the training part."""
+    src = clean(spark, sf_dir)
+    unit = modular_unit_hash(PORTABLE_KEYS, SPLIT_SEED)
+    train, test = hash_split(src, SPLIT, SPLIT_SEED, unit=unit)
+    model = fit_als(train, BASELINE)
+    n_test = test.agg(F.count(F.lit(1))).scalar()
+    return predict(model, test).agg(F.count(F.lit(1)).alias("n_predicted")).select(
+        n_test.alias("n_test"), "n_predicted"
+    )
+
+
 def q_split_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = clean(spark, sf_dir)
     train, test = hash_split(src, SPLIT, SPLIT_SEED, RATING_KEYS)
@@ -223,6 +237,7 @@ MODEL_QUERIES = {
     "split_train_rows": q_split_train_rows,
     "rmse_fixed": q_rmse_fixed,
     "als_predict": q_als_predict,
+    "als_predict_coverage": q_als_predict_coverage,
     "als_recommend": q_als_recommend,
     "als_recommend_invariants": q_als_recommend_invariants,
     "als_gated_retune": q_als_gated_retune,

@@ -219,3 +219,12 @@ SELECT user_id, item_id, CAST(rating AS FLOAT) AS rating,
        strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS "timestamp",
        event_time
 FROM re WHERE event_type NOT IN ('error', 'signup', 'view')"""
+
+ORACLE_SQL["als_predict_coverage"] = f"""WITH {CLEAN},
+h AS (SELECT *, CAST({_modular_hash(42)} AS DOUBLE) / CAST(2147483647 AS DOUBLE) AS u FROM clean),
+train AS (SELECT * FROM h WHERE u < CAST(0.8 AS DOUBLE)),
+test AS (SELECT * FROM h WHERE u >= CAST(0.8 AS DOUBLE))
+SELECT (SELECT count(*) FROM test) AS n_test,
+       count(*) AS n_predicted
+FROM test
+WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)"""

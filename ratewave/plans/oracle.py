@@ -228,3 +228,9 @@ SELECT (SELECT count(*) FROM test) AS n_test,
        count(*) AS n_predicted
 FROM test
 WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)"""
+
+ORACLE_SQL["served_counters"] = f"""WITH {TRENDING_CTE}
+SELECT count(*) AS trending_windows,
+       count(DISTINCT item_id) AS distinct_items,
+       CAST(coalesce(sum(CASE WHEN {ALERT_PREDICATE} THEN 1 ELSE 0 END), 0) AS BIGINT) AS alert_windows
+FROM t WHERE {FINAL_WINDOWS}"""

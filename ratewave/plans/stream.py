@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewave.operators.serving import best_per_key, latest_alerts, top_trending
+from ratewave.operators.serving import best_per_key, latest_alerts, result_counters, top_trending
 from ratewave.schemas import ALERTS_OUT, METRICS_OUT, TRENDING_OUT, TRENDING_SCHEMA
 from ratewave.schemas import USER_WINDOWS_OUT as USERS_OUT
 from ratewave.session import shared_dir, use_utc
@@ -111,7 +111,15 @@ def q_served_latest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_alerts(read_result_dir(spark, f"{out}/trending", TRENDING_OUT), n=20)
 
 
+def q_served_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counter tiles (windows seen, distinct items, alerting windows) over
+    the stream's stored windows."""
+    out = _final_run(spark, sf_dir)
+    return result_counters(read_result_dir(spark, f"{out}/trending", TRENDING_OUT))
+
+
 STREAM_QUERIES = {
+    "served_counters": q_served_counters,
     "served_top_trending": q_served_top_trending,
     "served_latest_alerts": q_served_latest_alerts,
     "stream_item_window_final": q_stream_item_window_final,

@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 
 import pytest
 
@@ -35,7 +36,17 @@ def test_app_runs_all_queries(spark, tmp_dir):
                                                  "t_user_windows", "t_recommendations"}
         for q in qs.values():
             q.processAllAvailable()
-        # A second pass lets the no-data batch emit windows closed by the watermark.
+        # Windows closed by the watermark are emitted by a following no-data
+        # batch (processing-time trigger): wait for it, with a deadline.
+        deadline = time.time() + 60
+        while time.time() < deadline:
+            done = os.path.isdir(f"{out}/trending") and (
+                spark.read.parquet(f"{out}/trending").filter("item_id = 7").count() == 3
+            )
+            if done and os.path.isdir(f"{out}/user_windows/_spark_metadata"):
+                if spark.read.parquet(f"{out}/user_windows").filter("user_id = 1").count() == 3:
+                    break
+            time.sleep(1)
         for q in qs.values():
             q.processAllAvailable()
     finally:

@@ -1,6 +1,7 @@
 """Driver contract: entry, queries, oracle keys."""
 
 import __spark_entry__ as E
+from ratewave.plans import all_queries
 
 
 def test_entry_runs(spark):
@@ -13,4 +14,5 @@ def test_entry_runs(spark):
 def test_oracle_keys_subset_of_queries():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
+    q = all_queries()
     assert {"als_predict", "als_recommend", "als_gated_retune"} == set(q) - set(o)

@@ -2,11 +2,11 @@
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF01
+from ratewave.plans import all_queries
 from tools.check_oracle import compare
 
-NAMES = sorted(E.queries())
+NAMES = sorted(all_queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

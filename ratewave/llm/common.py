@@ -121,8 +121,8 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def read_byte_bpe(path: str) -> tuple[list[bytes], dict[str, int]]:
-    """(token bytes by id, special strings) of a byte-level BPE vocabulary file.
+def read_byte_bpe(path: str) -> tuple[list[bytes], dict[str, int], dict[int, tuple[int, int]]]:
+    """(token bytes by id, special strings, merged id -> its two parts) of a byte-level BPE file.
 
     The merges must be in the order of the ids, so that a token's id is its rank.
     """
@@ -137,7 +137,8 @@ def read_byte_bpe(path: str) -> tuple[list[bytes], dict[str, int]]:
     ranks = [vocab[a + b] for a, b in pairs]
     if ranks != sorted(ranks):
         raise ValueError(f"{path}: merges are not in the order of their ids")
-    return tokens, {t["content"]: t["id"] for t in spec.get("added_tokens", ()) if t.get("special")}
+    parts = {r: (vocab[a], vocab[b]) for r, (a, b) in zip(ranks, pairs, strict=True)}
+    return tokens, {t["content"]: t["id"] for t in spec.get("added_tokens", ()) if t.get("special")}, parts
 
 
 def crc(word: bytes) -> int:

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratewave.llm.bpe import encode_digests
 from ratewave.llm.common import table
 from ratewave.llm.mixing import mix_sources
+from ratewave.llm.token_count import count_tokens
 from ratewave.llm.topk import exact_topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +61,17 @@ LEFT JOIN k k1 ON k1.skey = d.skey AND k1.pass = 1
 """
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op2_bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(table(spark, sf_dir, "documents"), vocabulary())
+
+
 @query
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
@@ -77,3 +90,8 @@ s AS (
 k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM k WHERE rank <= 10
 """
+
+
+@query
+def op6_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), vocabulary())

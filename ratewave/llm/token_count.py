@@ -21,7 +21,6 @@ and a text's total is their tree-wise prefix scan.
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -37,7 +36,7 @@ LETTER, NUMBER, OTHER, SPACE, UNKNOWN = 0, 1, 2, 3, 255
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Characters of a chunk; compiled states that a worker keeps before it starts anew.
 CHUNK = 16_384
-MOST_STATES = 200_000
+MOST_STATES = 250_000
 DELTA0 = 32  # stored transition: next state * 64 + emitted count + DELTA0
 TEXT_SLICE = 1 << 20
 
@@ -90,8 +89,7 @@ class Transducer:
         self.tokens, self.special, self.parts = read_byte_bpe(path)
         self.rank = {t: i for i, t in enumerate(self.tokens) if t}
         self.merged = {pair: i for i, pair in self.parts.items()}
-        self.sorted = sorted(self.rank)
-        self.prefixes = {t[:i] for t in self.rank for i in range(len(t) + 1)}
+        self.prefixes = {t[:i] for t in self.rank for i in range(len(t))}
         self._split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         self.kinds = np.full(0x110000, UNKNOWN, dtype=np.uint8)
         self._reset()
@@ -100,7 +98,6 @@ class Transducer:
 
     def _reset(self) -> None:
         self._pairs: dict[tuple[int, int], bool] = {}
-        self._reach: dict[tuple[bytes, int], bool] = {}
         start = ((b"", -1, 0),)
         self.states = [start]
         self.number = {start: 0}
@@ -136,30 +133,15 @@ class Transducer:
             self._pairs[a, b] = got
         return got
 
-    def reaches(self, suffix: bytes, last: int) -> bool:
-        """Whether a token that begins with ``suffix`` and goes on may follow token ``last``
-        (True without a look where very many begin so)."""
-        got = self._reach.get((suffix, last))
-        if got is None:
-            lo = bisect_right(self.sorted, suffix)
-            hi = bisect_left(self.sorted, suffix + b"\xff" * 200, lo)
-            got = hi - lo > 200 or any(self.stays(last, self.rank[t]) for t in self.sorted[lo:hi])
-            if len(self._reach) > 300_000:
-                self._reach.clear()
-            self._reach[suffix, last] = got
-        return got
-
     def compile(self, slot: int) -> int:
         """Make the transition of ``slot`` = state * 256 + byte."""
         state, byte = self.states[slot >> 8], bytes([slot & 255])
         grown, found = [], None
         for suffix, last, rel in state:
             s = suffix + byte
-            if s not in self.prefixes:
-                continue
             if found is None and (token := self.rank.get(s)) is not None and self.stays(last, token):
                 found = (token, rel + 1)
-            if self.reaches(s, last):
+            if s in self.prefixes:
                 grown.append((s, last, rel))
         token, emitted = found
         key = (*((s, last, rel - emitted) for s, last, rel in grown), (b"", token, 0))

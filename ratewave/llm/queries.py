@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ratewave.llm.bpe import encode_digests
 from ratewave.llm.common import table
+from ratewave.llm.fingerprint import compare_neighbours
 from ratewave.llm.mixing import mix_sources
 from ratewave.llm.token_count import count_tokens
 from ratewave.llm.topk import exact_topk
@@ -95,3 +96,8 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM k WHERE rank <= 10
 @query
 def op6_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_neighbours(table(spark, sf_dir, "documents"))

@@ -11,6 +11,7 @@ from ratewave.llm.bpe import encode_digests
 from ratewave.llm.common import table
 from ratewave.llm.fingerprint import compare_neighbours
 from ratewave.llm.mixing import mix_sources
+from ratewave.llm.secrets import joined, scan_secrets
 from ratewave.llm.token_count import count_tokens
 from ratewave.llm.topk import exact_topk
 
@@ -101,3 +102,15 @@ def op6_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_neighbours(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    number = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[number(k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(F.array_sort(F.concat("base", "extra"))).alias("spans"),
+    )

@@ -14,6 +14,7 @@ from ratewave.llm.mixing import mix_sources
 from ratewave.llm.secrets import joined, scan_secrets
 from ratewave.llm.token_count import count_tokens
 from ratewave.llm.topk import exact_topk
+from ratewave.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,3 +115,8 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
         joined(F.array_sort(F.concat("base", "extra"))).alias("spans"),
     )
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

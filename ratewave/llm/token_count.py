@@ -36,7 +36,7 @@ LETTER, NUMBER, OTHER, SPACE, UNKNOWN = 0, 1, 2, 3, 255
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Characters of a chunk; compiled states that a worker keeps before it starts anew.
 CHUNK = 16_384
-MOST_STATES = 250_000
+MOST_STATES = 160_000
 DELTA0 = 32  # stored transition: next state * 64 + emitted count + DELTA0
 TEXT_SLICE = 1 << 20
 
@@ -100,6 +100,7 @@ class Transducer:
         self._pairs: dict[tuple[int, int], bool] = {}
         start = ((b"", -1, 0),)
         self.states = [start]
+        self._entries: dict[tuple, tuple] = {}  # equal parts of states are held once
         self.number = {start: 0}
         self.next = Transitions()
 
@@ -144,7 +145,8 @@ class Transducer:
             if s in self.prefixes:
                 grown.append((s, last, rel))
         token, emitted = found
-        key = (*((s, last, rel - emitted) for s, last, rel in grown), (b"", token, 0))
+        once = self._entries.setdefault
+        key = tuple(once(e, e) for e in (*((s, last, rel - emitted) for s, last, rel in grown), (b"", token, 0)))
         to = self.number.get(key)
         if to is None:
             to = self.number[key] = len(self.states)

@@ -11,6 +11,7 @@ from ratewave.llm.bpe import encode_digests
 from ratewave.llm.common import table
 from ratewave.llm.fingerprint import compare_neighbours
 from ratewave.llm.mixing import mix_sources
+from ratewave.llm.neardup import near_duplicates
 from ratewave.llm.secrets import joined, scan_secrets
 from ratewave.llm.token_count import count_tokens
 from ratewave.llm.topk import exact_topk
@@ -120,3 +121,8 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))

@@ -12,10 +12,12 @@ verified on their full sets.
 Large groups.  Documents with equal sets are one class, formed by an aggregation.
 Within a band's bucket, classes are compared with one chosen member (a star, linear in
 the bucket), and the links found are united to components; buckets whose classes are all
-in one component are done.  After a few such rounds, each with other members chosen, the
-classes of different components that still share a bucket are compared in blocks of
-bounded size, by their registers, and only pairs that the estimate leaves open go on to
-verification.  So no pair is lost to a cap, and no bucket is expanded to all its pairs.
+in one component are done.  After a few such rounds, each with other members chosen,
+classes of different components that still share a bucket, directly or through others,
+form a family.  A family is compared in blocks of bounded size: by the registers, then,
+where the estimate leaves a pair open, by the intersection of the sets' 32-bit hashes,
+which can't be too small.  Only pairs that pass both are emitted and verified.  So no
+pair is lost to a cap, and no bucket is expanded to all its pairs.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ MARGIN = 0.13
 STAR_ROUNDS = 3
 #: Members of a star that one task compares; classes of a block.
 STAR_ROWS = 400
-BLOCK = 256
+BLOCK = 512
 TEXT_SLICE = 2 << 20
 
 _RNG = np.random.default_rng(1)
@@ -127,8 +129,13 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return rows.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, bands array<long>")
 
 
+def _short(shingles: np.ndarray) -> np.ndarray:
+    """The distinct upper halves of the hashes: two sets' have at least the sets' intersection."""
+    return np.unique((shingles >> U64(32)).astype(np.uint32))
+
+
 def _with_registers(rows: DataFrame) -> DataFrame:
-    """(rep, text, s1, s2) -> (rep, n, regs, text), where the text has the signature."""
+    """(rep, text, s1, s2) -> (rep, n, regs, short, text), where the text has the signature."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -142,12 +149,13 @@ def _with_registers(rows: DataFrame) -> DataFrame:
                     column(part, "rep").take(at),
                     pa.array([len(sets[i]) for i in keep], pa.int64()),
                     pa.array([registers(sets[i]).tobytes() for i in keep], pa.binary()),
+                    pa.array([_short(sets[i]).tobytes() for i in keep], pa.binary()),
                     column(part, "text").take(at),
                 ],
-                names=["rep", "n", "regs", "text"],
+                names=["rep", "n", "regs", "short", "text"],
             )
 
-    return rows.mapInArrow(run, "rep long, n long, regs binary, text string")
+    return rows.mapInArrow(run, "rep long, n long, regs binary, short binary, text string")
 
 
 def _compare_with_center(percent: int):
@@ -201,41 +209,45 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def _compare_blocks(percent: int):
-    """Rows sorted by (key, i, j): the classes of two blocks of one bucket."""
-
-    def pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        rep = np.array([r[0] for r in rows])
-        comp = np.array([r[1] for r in rows])
-        n = np.array([r[2] for r in rows], dtype=float)
-        regs = np.stack([np.frombuffer(r[3], dtype=np.uint16) for r in rows])
-        first = np.array([r[4] for r in rows])
+    """Rows sorted by (family, i, j): the classes of two blocks of one family."""
+
+    def pairs(rows: list[list]) -> Iterator[tuple[int, int]]:
+        rep, comp, second = (np.array([r[k] for r in rows]) for k in (0, 1, 2))
+        n = np.array([r[3] for r in rows], dtype=float)
+        regs = np.stack([np.frombuffer(r[4], dtype=np.uint16) for r in rows])
+        short = [np.frombuffer(r[5], dtype=np.uint32) for r in rows]
+        across = second.any()  # two blocks: only pairs of one with the other
         for x in range(len(rows)):
-            ok = (rep > rep[x]) & (comp != comp[x]) & (first != first[x] if first.any() else True)
-            ok &= 100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x])
+            ok = (comp != comp[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
+            ok &= (second & ~second[x]) if across else rep > rep[x]
             at = np.flatnonzero(ok)
             if not len(at):
                 continue
             up, down = (regs[at] < regs[x]).sum(axis=1), (regs[at] > regs[x]).sum(axis=1)
             j = similarity_estimate(up, down, np.full(len(at), n[x]), n[at])
-            for y in at[j >= percent / 100 - MARGIN]:
-                yield int(rep[x]), int(rep[y])
+            for y in at[j >= percent / 100 - MARGIN].tolist():
+                both = len(np.intersect1d(short[x], short[y], assume_unique=True))
+                # sets that shrank in the cut to 32 bits may share as many more shingles
+                both += int(n[x]) - len(short[x]) + int(n[y]) - len(short[y])
+                if 100 * both >= percent * (n[x] + n[y] - both):
+                    yield int(rep[x]), int(rep[y])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, held = None, []
 
         def flush() -> pa.RecordBatch:
-            found = list(pairs(held)) if len(held) > 1 else []
+            found = list(pairs(held))
             return pa.RecordBatch.from_arrays(
                 [pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["center", "member"]
             )
 
         for batch in batches:
-            cols = [column(batch, c).to_pylist() for c in ("key", "i", "j", "rep", "comp", "n", "regs", "second")]
-            for key, i, j, *row in zip(*cols, strict=True):
-                if (key, i, j) != group:
+            names = ("family", "i", "j", "rep", "comp", "second", "n", "regs", "short")
+            for family, i, j, *row in zip(*[column(batch, c).to_pylist() for c in names], strict=True):
+                if (family, i, j) != group:
                     if len(held) > 1:
                         yield flush()
-                    group, held = (key, i, j), []
+                    group, held = (family, i, j), []
                 held.append(row)
         if len(held) > 1:
             yield flush()
@@ -244,23 +256,28 @@ def _compare_blocks(percent: int):
 
 
 def _open_pairs(mixed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """(center, member): classes of different components in one bucket that the registers
-    don't rule out.  ``mixed``: (key, rep, comp)."""
-    sizes = mixed.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = mixed.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    rows = rows.join(texts.select("rep", "n", "regs"), "rep")
+    """(center, member): classes of different components of one family that may be linked.
+
+    ``mixed``: (key, rep, comp, center), the buckets with several components."""
+    stars = mixed.where("rep <> center.rep").select(F.col("center.rep").alias("a"), F.col("rep").alias("b"))
+    families = components(stars).withColumnRenamed("comp", "family")
+    rows = mixed.select("rep", "comp").distinct().join(families, "rep")
+    sizes = rows.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(sizes, "family").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = rows.join(texts.select("rep", "n", "regs", "short"), "rep")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
-        "key",
+        "family",
         F.least("own", "other").alias("i"),
         F.greatest("own", "other").alias("j"),
         "rep",
         "comp",
+        (F.col("own") > F.col("other")).alias("second"),
         "n",
         "regs",
-        (F.col("own") > F.col("other")).alias("second"),
+        "short",
     )
-    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    rows = rows.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
     return rows.mapInArrow(_compare_blocks(percent), "center long, member long").distinct()
 
 
@@ -292,8 +309,9 @@ def link_classes(members: DataFrame, texts: DataFrame, percent: int) -> DataFram
             best = F.max(F.struct("times", (-F.col("center")).alias("c")))
             pairs = shared.groupBy("member").agg(best.alias("best")).select((-F.col("best.c")).alias("center"), "member")
         else:
-            pairs = _open_pairs(materialize(mixed.select("key", "rep", "comp"), "neardup_mixed"), texts, percent)
-            pairs = pairs.join(tested, ["center", "member"], "left_anti")
+            pairs = _open_pairs(materialize(mixed, "neardup_mixed"), texts, percent)
+            if tested is not None:
+                pairs = pairs.join(tested, ["center", "member"], "left_anti")
         pairs = materialize(pairs, "neardup_pairs")
         if pairs.isEmpty():
             if turn < STAR_ROUNDS:

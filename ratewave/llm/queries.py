@@ -13,6 +13,7 @@ from ratewave.llm.fingerprint import compare_neighbours
 from ratewave.llm.mixing import mix_sources
 from ratewave.llm.neardup import near_duplicates
 from ratewave.llm.secrets import joined, scan_secrets
+from ratewave.llm.substring import remove_repeats
 from ratewave.llm.token_count import count_tokens
 from ratewave.llm.topk import exact_topk
 from ratewave.llm.toxicity import toxicity
@@ -126,3 +127,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["hi"] - s["lo"])
+    return found.select(
+        "doc_id", "n_words", removed.alias("n_removed"), F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ratewave.llm.bpe import encode_digests
 from ratewave.llm.common import table
 from ratewave.llm.fingerprint import compare_neighbours
+from ratewave.llm.language_model import language_model_scores
 from ratewave.llm.mixing import mix_sources
 from ratewave.llm.neardup import near_duplicates
 from ratewave.llm.secrets import joined, scan_secrets
@@ -136,3 +137,8 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", removed.alias("n_removed"), F.sha2(F.col("kept"), 256).alias("kept_sha256")
     )
+
+
+@query
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(table(spark, sf_dir, "documents"))

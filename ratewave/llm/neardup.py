@@ -26,7 +26,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewave.llm.common import LOWER, U64, WordHashes, column, materialize, mix64, shingle_set, slices
@@ -365,3 +365,15 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``near_duplicates`` keeps: one of each group, of
+    repeated rows one; rows without an id all stay."""
+    found = near_duplicates(docs, id_col, text_col, percent)
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    own = F.col(f"`{id_col}`").cast("long")
+    named = docs.where(own.isNotNull()).join(gone, own == F.col("_gone"), "left_anti")
+    order = Window.partitionBy(own).orderBy(F.col(f"`{text_col}`"))
+    named = named.withColumn("_copy", F.row_number().over(order)).where("_copy = 1").drop("_copy")
+    return named.unionByName(docs.where(own.isNull()))

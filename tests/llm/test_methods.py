@@ -1,0 +1,238 @@
+"""The parts of the operators that their methods rest on."""
+
+import collections
+import math
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import ratewave.llm.mixing as mixing
+import ratewave.llm.neardup as neardup
+from ratewave.llm.bpe import ChunkedBPE
+from ratewave.llm.common import LOWER, WordHashes, shingle_set
+from ratewave.llm.components import components
+from ratewave.llm.fingerprint import containment, distinct, from_text, merge, resemblance, sketch, to_text
+from ratewave.llm.language_model import draw_tables, fit_contexts, fit_spelling, positions, stirling
+from ratewave.llm.queries import vocabulary
+from ratewave.llm.secrets import scan_secrets, window_entropy
+from ratewave.llm.substring import anchors, remove_repeats, run_hashes
+from ratewave.llm.token_count import Transducer, count_texts
+
+LIBRARY = Tokenizer.from_file(vocabulary())
+BPE = ChunkedBPE(vocabulary())
+MACHINE = Transducer(vocabulary())
+PIECES = st.sampled_from(
+    ["a", "ing", " ", "  ", "\n", "\t", "'", "'s", "'re", "ll", "1", "23", "!", "é", "漢", " ", "　", "\u0085", "🙂", "<|endoftext|>", "\x1c", "the"]
+)
+TEXTS = st.lists(PIECES, max_size=400).map("".join)
+
+
+@settings(max_examples=150, deadline=None)
+@given(TEXTS)
+def test_chunks_give_the_library_ids(text):
+    want = LIBRARY.encode(text, add_special_tokens=False).ids
+    got = BPE.encode(text.encode())
+    assert got.tolist() == want
+    assert BPE.decode(got) == LIBRARY.decode(want, skip_special_tokens=False)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(TEXTS, max_size=4), st.integers(8, 200))
+def test_transducer_counts_as_the_library(texts, chunk):
+    got = count_texts(MACHINE, [t.encode() for t in texts], chunk)
+    assert got.tolist() == [len(LIBRARY.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_shared_chunks_are_encoded_once():
+    own = ChunkedBPE(vocabulary())
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(4000)]
+    body = " ".join(words)
+    own.encode(f"first {body}".encode())
+    before = own.encoded
+    own.encode(f"quite another beginning {body}".encode())
+    assert own.encoded - before <= 3 and own.reused > 20
+
+
+def test_repairs_reach_over_chunks_without_breaks():
+    for text in ("a" * 50_000, " " * 9_000, "漢字" * 9_000, "\n" * 5_000 + "x", "ab" * 20_000 + " c"):
+        assert BPE.encode(text.encode()).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_entropy_of_a_window(spark):
+    def brute(s, w):
+        best = None
+        for i in range(len(s) - w + 1):
+            c = collections.Counter(s[i : i + w]).values()
+            h = -sum(x / w * math.log2(x / w) for x in c)
+            best = h if best is None else max(best, h)
+        return best
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdefXYZ0123+/") for _ in range(n)) for n in (0, 5, 19, 20, 21, 60)] + ["a" * 40]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", window_entropy(F.col("t"), 20).alias("h"))
+    for t, h in df.collect():
+        want = brute(t, 20)
+        assert h is None if want is None else h == pytest.approx(want, abs=1e-9)
+
+
+def test_entropy_spans_and_what_is_allowed(spark):
+    secret = "kJ8sQ2zLw9XvB4nTc7RmP1dE"
+    cases = {
+        1: f"é key {secret} end",
+        2: "DEADBEEF0123456789ABCDEF99887766 upper hex",
+        3: "supercalifragilisticexpialidocious internationalisation",
+        4: "2024-10-11/12-13-14_55555555555",
+        5: "123e4567-e89b-12d3-a456-426614174000",
+        6: f"token={secret}",
+        7: "aaaaaaaaaaaaaaaaaaaa1aaaaaaaaaaaaaa",
+    }
+    df = spark.createDataFrame(list(cases.items()), "doc_id long, text string")
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.extra] for r in scan_secrets(df).collect()}
+    assert got[1] == [("entropy_b64", 6, 6 + len(secret))]
+    assert got[2] == [("entropy_hex", 0, 32)]
+    assert got[3] == got[4] == got[5] == got[6] == got[7] == []
+
+
+def test_similarity_estimates():
+    rng = np.random.default_rng(2)
+    hashes = rng.integers(0, 2**63, 3000, dtype=np.uint64)
+    for shared in (0, 500, 900, 1000):
+        a, b = hashes[:1000], np.concatenate([hashes[1000 - shared : 1000], hashes[1000 : 2000 - shared]])
+        x, y = neardup.registers(np.sort(a)), neardup.registers(np.sort(b))
+        got = neardup.similarity_estimate([(x > y).sum()], [(x < y).sum()], [1000], [1000])[0]
+        assert abs(got - shared / (2000 - shared)) < 0.1
+    union = neardup.registers(np.sort(hashes[:2000]))
+    assert (union == np.maximum(neardup.registers(hashes[:1000]), neardup.registers(hashes[1000:2000]))).all()
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_a_large_family_of_near_copies(spark, monkeypatch, rounds):
+    """Copies of one text with few or many words changed: stars, then blocks, find all links."""
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "STAR_ROWS", 10)
+    monkeypatch.setattr(neardup, "STAR_ROUNDS", rounds)
+    rng = random.Random(11)
+    base = [f"w{rng.randint(0, 10**6)}" for _ in range(150)]
+    docs = []
+    for i in range(160):
+        w = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 3, 3, 4])):
+            w[rng.randrange(len(w))] = f"e{rng.randint(0, 10**6)}"
+        docs.append((i, " ".join(w)))
+    docs += [(500 + i, docs[7][1]) for i in range(40)] + [(600 + i, f"short {i}") for i in range(5)]
+    rng.shuffle(docs)
+    sets = {}
+    for d, t in docs:
+        w = t.split()
+        sets[d] = frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) or frozenset([tuple(w)])
+    comp = {d: d for d in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                n = len(sets[a] & sets[b])
+                if 100 * n >= 85 * len(sets[a] | sets[b]) and comp[b] < comp[a]:
+                    comp[a], changed = comp[b], True
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df).collect()}
+    assert got == comp and len(set(comp.values())) > 10
+
+
+def test_components_of_a_long_path(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 999)], "a long, b long")
+    got = {r.rep: r.comp for r in components(links).collect()}
+    assert got == {**dict.fromkeys(range(201), 0), 999: 999, 1000: 999}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=60))
+def test_equal_windows_have_equal_anchors(words):
+    hashes = WordHashes().of([str(w).encode() for w in words])
+    places, first, number = anchors(hashes, 6, 2)
+    owner = {}
+    for p, f, n in zip(places, first, number, strict=True):
+        for s in range(f, f + n):
+            owner[s] = p - s
+    assert sorted(owner) == list(range(max(len(words) - 5, 0)))
+    by_window = collections.defaultdict(set)
+    for s, offset in owner.items():
+        by_window[tuple(words[s : s + 6])].add(offset)
+    assert all(len(v) == 1 for v in by_window.values())
+    runs = run_hashes(hashes, 6)
+    assert len(set(runs.tolist())) == len(by_window)
+
+
+@pytest.mark.parametrize("heavy", [1, 2_000])
+def test_removal_against_brute_force(spark, heavy):
+    rng = random.Random(4)
+    vocab = "a b c d".split()
+    docs = [(i, " ".join(rng.choice(vocab) for _ in range(rng.randint(0, 60)))) for i in range(60)]
+    docs += [(100 + i, docs[3][1] + " tail " + docs[4][1]) for i in range(20)]
+    seen = collections.Counter(tuple(t.split()[i : i + 9]) for _, t in docs for i in range(len(t.split()) - 8))
+    want = {}
+    for d, t in docs:
+        w = t.split()
+        gone = {j for i in range(len(w) - 8) if seen[tuple(w[i : i + 9])] > 1 for j in range(i, i + 9)}
+        want[d] = " ".join(x for j, x in enumerate(w) if j not in gone)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.kept for r in remove_repeats(df, window=9, gram=3, heavy=heavy).collect()}
+    assert got == want
+
+
+def test_stirling_numbers_and_table_draws():
+    s = stirling(0.3, 6)
+    assert np.exp(s[3, 1]) == pytest.approx(0.7 * 1.7) and np.exp(s[3, 3]) == pytest.approx(1.0)
+    assert np.exp(s[3, 2]) == pytest.approx(0.7 + 2 - 0.6)
+    table, n = stirling(0.5), 200_000
+    u = (np.arange(n) + 0.5) / n
+    for c in (2, 5):
+        got = draw_tables(np.full(n, c), np.full(n, 0.01), np.full(n, 30.0), 0.5, 1.0, u, table)
+        weight = [math.exp(table[c, t]) * math.prod(16 * 0.01 + i * 0.5 * 0.01 for i in range(t)) for t in range(1, c + 1)]
+        mean = sum(t * w for t, w in enumerate(weight, 1)) / sum(weight)
+        assert got.mean() == pytest.approx(mean, rel=1e-2) and got.min() >= 1 and got.max() <= c
+
+
+def test_spelling_and_contexts_are_distributions():
+    context, symbol, starts = positions([b"abc", b"", b"abd", "é".encode()])
+    cells, counts = np.unique(context * 257 + symbol, return_counts=True)
+    spelling = fit_spelling(cells, counts, 3)
+    assert np.allclose(spelling.rows.sum(axis=1), 1, atol=1e-4) and (spelling.rows > 0).all()
+    assert spelling.log_base([b"abc"])[0] > spelling.log_base([b"xyz"])[0]
+    for c in (np.zeros(0, np.int64), np.array([3, 1030, 1031])):
+        assert np.allclose(fit_contexts(c, np.arange(len(c)) + 1).sum(axis=1), 1)
+
+
+def test_sketches_merge_and_estimate():
+    hashes = WordHashes()
+    words = [f"w{i}" for i in range(2000)]
+    a, b = " ".join(words[:1200]).encode(), " ".join(words[400:]).encode()
+    x, y = sketch(a, hashes), sketch(b, hashes)
+    whole = sketch(" ".join(words).encode(), hashes)
+    assert (from_text(to_text(x)) == x).all() and (merge(x, y) == whole).all()
+    assert abs(resemblance(x, y) - 796 / 1996) < 0.15
+    assert abs(containment(x, y) - 796 / 1196) < 0.25 and abs(distinct(whole) / 1996 - 1) < 0.3
+    short = sketch(b"Only Four Words Here", hashes)
+    assert len(short) == 1 and distinct(short) == 1.0
+    assert (shingle_set(hashes.of(b"a b c".split())) == shingle_set(hashes.of(b"A B C".translate(LOWER).split()))).all()
+
+
+def test_mix_does_not_depend_on_layout_or_block_sizes(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, " ".join(["w"] * rng.choice([0, 1, 5, 40])), rng.choice(["hot"] * 6 + ["a", "b", None])) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {tuple(r) for r in mixing.mix_sources(df).collect()}
+    for name, value in (("BLOCK_DOCS", 7), ("BUCKETS", 5), ("CUT_ROWS", 3)):
+        monkeypatch.setattr(mixing, name, value)
+    assert {tuple(r) for r in mixing.mix_sources(df.repartition(7)).collect()} == want
+    copies = collections.Counter(r.doc_id for r in mixing.mixed_documents(df).collect())
+    assert all(copies.get(i, 0) * size == taken for i, size, _, _, taken in want)
+    # enough budget for all: every document twice
+    full = mixing.mix_sources(df, budget_ratio=2.0).collect()
+    assert all(r.taken == 2 * r.size for r in full)

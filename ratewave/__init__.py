@@ -5,6 +5,6 @@ over a static DataFrame or a streaming one, so batch answers and stream
 answers come from one definition.
 """
 
-from ratewave.session import build_session, shared_dir, use_utc
+from ratewave.session import build_session, shared_dir, use_utc, utc_session
 
-__all__ = ["build_session", "shared_dir", "use_utc"]
+__all__ = ["build_session", "shared_dir", "use_utc", "utc_session"]

@@ -14,9 +14,6 @@ import json
 import logging
 import sys
 
-from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
-
 from ratewave.operators.windows import DEFAULT_SIZE, DEFAULT_SLIDE, DEFAULT_WATERMARK
 from ratewave.session import build_session
 from ratewave.sources.streams import DEFAULT_STARTING_OFFSETS, DEFAULT_TOPIC
@@ -26,28 +23,26 @@ from ratewave.streaming.app import RECS_TRIGGER, WINDOW_TRIGGER
 def _train(spark, a) -> int:
     from ratewave.models.als import BASELINE, RETUNE, RMSE_GATE, gated_retune, save_model, with_int_ids
     from ratewave.operators.cleaning import clean_ratings
-    from ratewave.operators.sampling import hash_split
+    from ratewave.operators.sampling import SPLIT_KEYS, hash_split, numbered_copies
     from ratewave.session import materialize
     from ratewave.sources.files import read_ratings_text
 
     raw = read_ratings_text(spark, a.ratings, sep=a.sep, header=not a.no_header)
-    cleaned = clean_ratings(raw).withColumn("rid", F.monotonically_increasing_id())
-    table, maps = with_int_ids(materialize(cleaned, "cli_ratings"))
-    for column, m in maps.items():  # ids wider than int32: keep the map with the model
-        m.write.mode("overwrite").parquet(f"{a.model}.idmaps/{column}")
+    table, maps = with_int_ids(materialize(numbered_copies(clean_ratings(raw)), "cli_ratings"))
     print(f"valid ratings: {table.count()}")
-    train, test = hash_split(table, [0.8, 0.2], a.seed, ["rid"])
-    model, report = gated_retune(train, test, BASELINE, [RETUNE], RMSE_GATE, keep_best=a.keep_best)
+    train, test = hash_split(table, [0.8, 0.2], a.seed, SPLIT_KEYS)
+    blocks = {"num_blocks": a.blocks} if a.blocks else {}
+    model, report = gated_retune(train, test, BASELINE, [RETUNE], RMSE_GATE, keep_best=a.keep_best, **blocks)
     for row in report:
         print(json.dumps(row))
-    save_model(model, a.model)
+    save_model(model, a.model, maps)
     print(f"model saved to {a.model}")
     return 0
 
 
 def _stream(spark, a) -> int:
     from ratewave.functions.parse import parse_events
-    from ratewave.models.als import load_model
+    from ratewave.models.als import load_id_maps, load_model
     from ratewave.sources.streams import read_event_files, read_kafka
     from ratewave.streaming.app import WindowSpec, start_app
 
@@ -59,10 +54,12 @@ def _stream(spark, a) -> int:
         raw = read_event_files(spark, a.files, max_files_per_trigger=a.max_files_per_trigger)
     events = parse_events(raw)
     model = load_model(a.model) if a.model else None
+    id_maps = load_id_maps(spark, a.model) if a.model else None
     spec = WindowSpec(a.size, a.slide, a.watermark)
     trigger = "available_now" if a.available_now else a.trigger
     recs_trigger = "available_now" if a.available_now else a.recs_trigger
-    queries = start_app(events, a.out, model, spec, trigger, recs_trigger, console_rows=a.console_rows)
+    queries = start_app(events, a.out, model, spec, trigger, recs_trigger, console_rows=a.console_rows,
+                        id_maps=id_maps)
     if a.available_now:
         for q in queries.values():
             q.awaitTermination()
@@ -72,25 +69,19 @@ def _stream(spark, a) -> int:
 
 
 def _recommend(spark, a) -> int:
-    from ratewave.models.als import load_model
+    from ratewave.models.als import load_id_maps, load_model
     from ratewave.sources.files import id_frame
-
     from ratewave.streaming.scoring import batch_recommendations
 
-    maps = {}
-    for column in ("user_id", "item_id"):
-        try:
-            maps[column] = spark.read.parquet(f"{a.model}.idmaps/{column}")
-        except Exception:  # noqa: BLE001 - no map: ids were used as they are
-            pass
-    users = id_frame(spark, a.users, dtype=LongType())
+    maps = load_id_maps(spark, a.model)
+    users = id_frame(spark, a.users)
     recs = batch_recommendations(load_model(a.model), users, a.k, maps)
     recs.orderBy("user_id").show(len(a.users), truncate=False)
     return 0
 
 
 def _report(spark, a) -> int:
-    from ratewave.operators.serving import latest_alerts, recs_counters, result_counters, top_trending
+    from ratewave.operators.serving import first_recs, latest_alerts, recs_counters, result_counters, top_trending
     from ratewave.schemas import RECS_OUT, TRENDING_OUT
     from ratewave.sources.files import read_result_dir
 
@@ -98,6 +89,7 @@ def _report(spark, a) -> int:
     result_counters(trending).show(truncate=False)
     recs = read_result_dir(spark, f"{a.out}/recs", RECS_OUT)
     recs_counters(recs).show(truncate=False)
+    first_recs(recs, a.recs).show(a.recs, truncate=False)
     top_trending(trending, a.top).show(a.top, truncate=False)
     latest_alerts(trending, a.alerts).show(a.alerts, truncate=False)
     return 0
@@ -116,6 +108,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     t.add_argument("--no-header", action="store_true")
     t.add_argument("--seed", type=int, default=42)
     t.add_argument("--keep-best", action="store_true")
+    t.add_argument("--blocks", type=int, default=None, help="ALS factor blocks (default: models.als.DEFAULT_BLOCKS)")
 
     s = sub.add_parser("stream")
     src = s.add_mutually_exclusive_group(required=True)
@@ -144,6 +137,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     o.add_argument("--out", required=True)
     o.add_argument("--top", type=int, default=10)
     o.add_argument("--alerts", type=int, default=20)
+    o.add_argument("--recs", type=int, default=20)
 
     return p.parse_args(argv)
 

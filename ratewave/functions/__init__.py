@@ -4,7 +4,7 @@ from ratewave.functions.parse import (
     parse_event_time,
     parse_events,
 )
-from ratewave.functions.scores import lag_seconds, lag_millis, tag, trending_score
+from ratewave.functions.scores import lag_seconds, lag_millis, trending_score
 
 __all__ = [
     "encode_events",
@@ -13,6 +13,5 @@ __all__ = [
     "parse_events",
     "lag_seconds",
     "lag_millis",
-    "tag",
     "trending_score",
 ]

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from ratewave.schemas import EVENT_SCHEMA
 
-EVENT_FIELDS = ["user_id", "item_id", "rating", "timestamp"]
 REQUIRED_EVENT_COLUMNS = ["user_id", "item_id", "rating", "event_time"]
 
 # ISO-8601 with an explicit numeric offset, e.g. 2026-05-12T14:30:00.000000+00:00

@@ -11,10 +11,6 @@ def trending_score(n_col: str = "n_ratings", avg_col: str = "avg_rating") -> Col
     return F.col(n_col) * F.col(avg_col)
 
 
-def tag(value: str) -> Column:
-    return F.lit(value)
-
-
 def lag_seconds(event_time: str = "event_time", now: Column | None = None) -> Column:
     """Event age in whole seconds (both ends truncated to the second)."""
     now = F.current_timestamp() if now is None else now

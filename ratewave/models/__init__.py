@@ -9,13 +9,15 @@ from ratewave.models.als import (
     evaluate_rmse,
     fit_als,
     gated_retune,
+    load_id_maps,
     load_model,
     predict,
     recommend,
     rmse_frame,
     save_model,
-    to_source_ids,
+    source_item_factors,
     to_source_pairs,
+    to_source_users,
     with_int_ids,
 )
 from ratewave.models.baseline import mean_baseline_rmse
@@ -32,6 +34,7 @@ __all__ = [
     "evaluate_rmse",
     "fit_als",
     "gated_retune",
+    "load_id_maps",
     "load_model",
     "mean_baseline_rmse",
     "predict",
@@ -39,7 +42,8 @@ __all__ = [
     "recommend_exact",
     "rmse_frame",
     "save_model",
-    "to_source_ids",
+    "source_item_factors",
     "to_source_pairs",
+    "to_source_users",
     "with_int_ids",
 ]

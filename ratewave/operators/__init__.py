@@ -14,9 +14,9 @@ from ratewave.operators.topk import topk_dot
 from ratewave.operators.windows import (
     flatten_window,
     item_window_stats,
+    rounded,
     trending,
     user_window_counts,
-    windowed_counts,
     with_event_watermark,
 )
 
@@ -37,8 +37,8 @@ __all__ = [
     "topk_dot",
     "flatten_window",
     "item_window_stats",
+    "rounded",
     "trending",
     "user_window_counts",
-    "windowed_counts",
     "with_event_watermark",
 ]

@@ -8,6 +8,7 @@ executor, or in another job) agrees, and no input has to be cached.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -27,7 +28,8 @@ def unit_hash(key_cols: Sequence[str], seed: int) -> Column:
 
 
 # Fixed values of the portable hash: a prime modulus and LCG multipliers,
-# all below 2^31 so every product fits in a signed 64-bit integer.
+# all below 2^31 so every product fits in a signed 64-bit integer.  They serve the
+# key columns in turn, for any number of columns.
 MOD_PRIME = 2147483647
 MOD_MULTIPLIERS = (1103515245, 22695477, 134775813, 1664525, 69069)
 
@@ -39,13 +41,39 @@ def modular_unit_hash(key_cols: Sequence[str], seed: int) -> Column:
     ``xxhash64`` (:func:`unit_hash`) mixes better and is the default; this
     one is for samples and splits that another engine must re-derive.
     """
-    if len(key_cols) > len(MOD_MULTIPLIERS):
-        raise ValueError(f"at most {len(MOD_MULTIPLIERS)} key columns")
     p = F.lit(MOD_PRIME)
     acc = F.lit(seed % MOD_PRIME).cast("long")
-    for c, a in zip(key_cols, MOD_MULTIPLIERS):
-        acc = acc + (F.pmod(F.col(c).cast("long"), p) * F.lit(a)) % p
-    return (acc % p) / p
+    for i, c in enumerate(key_cols):
+        a = MOD_MULTIPLIERS[i % len(MOD_MULTIPLIERS)] + i // len(MOD_MULTIPLIERS)
+        acc = (acc + (F.pmod(F.col(c).cast("long"), p) * F.lit(a)) % p) % p
+    return acc / p
+
+
+#: Columns that name a row after :func:`numbered_copies`: its content, and its number among equal rows.
+SPLIT_KEYS = ["_content", "_copy"]
+#: Equal rows that one task writes out.
+COPIES_AT_ONCE = 100_000
+
+
+def numbered_copies(df: DataFrame) -> DataFrame:
+    """``df`` with ``_content`` (a hash of the row) and ``_copy`` (1, 2, ... among equal rows).
+
+    Both depend on what the table holds, not on how it is laid out, so a split on
+    them is the same after a repartition or a rewrite, and still divides a large
+    group of equal rows in proportion.  Equal rows are counted (partly before the
+    shuffle) and written out again from their number, in runs that several tasks
+    share, so no task gathers a group.
+    """
+    cols = df.columns
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_times"))
+    runs = F.sequence(F.lit(0).cast("long"), F.floor((F.col("_times") - 1) / COPIES_AT_ONCE))
+    run = counted.withColumn("_run", F.explode(runs))
+    first = F.col("_run") * COPIES_AT_ONCE + 1
+    last = F.least(first + COPIES_AT_ONCE - 1, F.col("_times"))
+    spread = run.repartition("_run", *cols)
+    return spread.withColumn("_copy", F.explode(F.sequence(first, last))).select(
+        *cols, F.xxhash64(*cols).alias("_content"), "_copy"
+    )
 
 
 # Hash histogram resolution: buckets at 2^(-b/4), so a threshold is never
@@ -70,29 +98,58 @@ def sample_n(
     seed: int,
     key_cols: Sequence[str] | None = None,
     unit: Column | None = None,
+    cut_rows: int = 50_000,
 ) -> DataFrame:
     """Exactly ``min(n, count)`` rows: the ``n`` with the smallest key hash.
 
-    One pass builds a histogram of the hash (a few hundred buckets,
-    partially aggregated); it gives the total and the deepest bucket
-    cut-off that still keeps at least ``n`` rows.  Only those candidates
-    (about ``1.19 n`` at most, in expectation) reach the ordered limit, so
-    no full pass is repeated and no retry is needed.
+    A histogram of the hash (a few hundred buckets, partially aggregated) finds
+    the bucket that holds the n-th row; it is refined inside that bucket until the
+    bucket has at most ``cut_rows`` rows, or one hash.  Rows below the bucket are
+    taken by a plain filter, whatever ``n`` is; only the bucket's own rows are
+    ordered, by the hash and then by all keys, for the rest.
     """
     keys = list(key_cols or df.columns)
-    u = unit_hash(keys, seed) if unit is None else unit
-    hist = df.groupBy(_bucket(u).alias("b")).agg(F.count(F.lit(1)).alias("c")).collect()
-    total = sum(r["c"] for r in hist)
-    if total <= n:
-        return df
-    kept, cut = 0, 0
-    for r in sorted(hist, key=lambda r: -r["b"]):
-        kept += r["c"]
-        if kept >= n:
-            cut = r["b"]
+    u = F.coalesce(unit_hash(keys, seed) if unit is None else unit, F.lit(1.0))  # a NULL sorts last
+    low, high, need = 0.0, math.inf, n
+    bucket, steps = F.lit(_MAX_BUCKET) - _bucket(u), None
+    while True:
+        inside = df.where((u >= F.lit(low)) & (u < F.lit(high)))
+        hist = (
+            inside.groupBy(bucket.alias("b"))
+            .agg(F.count(F.lit(1)).alias("c"), F.min(u).alias("lo"), F.max(u).alias("hi"))
+            .collect()
+        )
+        at = None
+        for r in sorted(hist, key=lambda r: r["b"]):
+            if r["c"] > need:
+                at = r
+                break
+            need -= r["c"]
+        if at is None:  # all rows of the range are wanted
+            low = high
+            break
+        low, high = at["lo"], math.nextafter(at["hi"], math.inf)
+        if at["c"] <= cut_rows or at["lo"] == at["hi"]:
             break
-    cand = df.filter(_bucket(u) >= F.lit(cut))
-    return cand.orderBy(u.asc_nulls_last(), *[F.col(c) for c in keys]).limit(n)
+        steps = (high - low) / 256
+        bucket = F.least(F.floor((u - F.lit(low)) / F.lit(steps)), F.lit(255))
+    taken = df.where(u < F.lit(low))
+    last = df.where((u >= F.lit(low)) & (u < F.lit(high)))
+    return taken.unionByName(last.orderBy(u.asc(), *[F.col(c) for c in keys]).limit(max(need, 0)))
+
+
+def split_part(weights: Sequence[float], u: Column) -> Column:
+    """The number of the part, of sizes in proportion to ``weights``, that ``u`` falls into.
+
+    A NULL ``u`` (possible only with a custom unit) falls into the first part."""
+    total, bound, part = float(sum(weights)), 0.0, F.lit(len(weights) - 1)
+    cuts = []
+    for w in weights[:-1]:
+        bound += w / total
+        cuts.append(bound)
+    for i in reversed(range(len(cuts))):
+        part = F.when(F.coalesce(u, F.lit(0.0)) < F.lit(cuts[i]), F.lit(i)).otherwise(part)
+    return part
 
 
 def hash_split(
@@ -108,14 +165,8 @@ def hash_split(
     partitioning, and recomputing any part gives the same rows.
     """
     keys = list(key_cols or df.columns)
-    total = float(sum(weights))
-    bounds = [0.0]
-    for w in weights:
-        bounds.append(bounds[-1] + w / total)
-    bounds[-1] = 1.0 + 1e-9
-    # A NULL unit (possible only with a custom one) goes to the first part.
-    u = unit_hash(keys, seed) if unit is None else F.coalesce(unit, F.lit(0.0))
-    return [df.filter((u >= F.lit(lo)) & (u < F.lit(hi))) for lo, hi in zip(bounds, bounds[1:])]
+    part = split_part(weights, unit_hash(keys, seed) if unit is None else unit)
+    return [df.where(part == i) for i in range(len(weights))]
 
 
 def random_split(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewave.operators.alerts import DEFAULT_MIN_AVG, DEFAULT_MIN_N, threshold_alerts
+from ratewave.operators.alerts import DEFAULT_MIN_AVG, DEFAULT_MIN_N, alert_condition, threshold_alerts
 
 
 def best_per_key(df: DataFrame, key: str | Sequence[str], order_desc: Sequence[str]) -> DataFrame:
@@ -67,11 +67,10 @@ def result_counters(
     min_n: int = DEFAULT_MIN_N,
 ) -> DataFrame:
     """One row: windows seen, distinct items, alerting windows (one pass)."""
-    alert = (F.col("avg_rating") > F.lit(min_avg)) & (F.col("n_ratings") >= F.lit(min_n))
     return trending.agg(
         F.count(F.lit(1)).alias("trending_windows"),
         F.countDistinct("item_id").alias("distinct_items"),
-        F.coalesce(F.sum(F.when(alert, 1).otherwise(0)), F.lit(0)).cast("long").alias("alert_windows"),
+        F.coalesce(F.sum(F.when(alert_condition(min_avg, min_n), 1).otherwise(0)), F.lit(0)).cast("long").alias("alert_windows"),
     )
 
 

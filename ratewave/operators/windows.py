@@ -12,8 +12,6 @@ per event.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +29,6 @@ def with_event_watermark(
     return df.withWatermark(time_col, delay)
 
 
-def _maybe_round(c: Column, digits: int | None) -> Column:
-    return c if digits is None else F.round(c, digits)
-
-
 def window_column(time_col: str, size: str, slide: str | None) -> Column:
     return F.window(F.col(time_col), size, slide or size)
 
@@ -60,7 +54,6 @@ def item_window_stats(
     key: str = "item_id",
     value_col: str = "rating",
     time_col: str = "event_time",
-    round_digits: int | None = None,
 ) -> DataFrame:
     """Per (window, key): average, count and sample standard deviation.
 
@@ -68,9 +61,9 @@ def item_window_stats(
     the sample standard deviation (NULL for a single rating).
     """
     return df.groupBy(window_column(time_col, size, slide).alias("window"), F.col(key)).agg(
-        _maybe_round(F.avg(value_col), round_digits).alias("avg_rating"),
+        F.avg(value_col).alias("avg_rating"),
         F.count(F.lit(1)).alias("n_ratings"),
-        _maybe_round(F.stddev_samp(value_col), round_digits).alias("rating_variance"),
+        F.stddev_samp(value_col).alias("rating_variance"),
     )
 
 
@@ -81,25 +74,16 @@ def trending(
     key: str = "item_id",
     value_col: str = "rating",
     time_col: str = "event_time",
-    round_digits: int | None = None,
 ) -> DataFrame:
-    """Item window statistics plus ``trending_score = n_ratings * avg_rating``.
+    """Item window statistics plus ``trending_score = n_ratings * avg_rating``, unrounded:
+    thresholds compare these, and stores keep them."""
+    return item_window_stats(df, size, slide, key, value_col, time_col).withColumn("trending_score", trending_score())
 
-    The score uses the unrounded average; rounding (if asked) is applied to
-    the published columns only.
-    """
-    raw = item_window_stats(df, size, slide, key, value_col, time_col, round_digits=None)
-    out = raw.withColumn("trending_score", trending_score())
-    if round_digits is not None:
-        out = out.select(
-            "window",
-            key,
-            F.round("avg_rating", round_digits).alias("avg_rating"),
-            "n_ratings",
-            F.round("rating_variance", round_digits).alias("rating_variance"),
-            F.round("trending_score", round_digits).alias("trending_score"),
-        )
-    return out
+
+def rounded(df: DataFrame, digits: int) -> DataFrame:
+    """``df`` for publication: its average, deviation and score rounded, the last step of a query."""
+    shown = ("avg_rating", "rating_variance", "trending_score")
+    return df.select(*[F.round(c, digits).alias(c) if c in shown else F.col(c) for c in df.columns])
 
 
 def user_window_counts(
@@ -113,17 +97,3 @@ def user_window_counts(
     return df.groupBy(window_column(time_col, size, slide).alias("window"), F.col(key)).agg(
         F.count(F.lit(1)).alias("interactions")
     )
-
-
-def windowed_counts(
-    df: DataFrame,
-    keys: Sequence[str],
-    size: str,
-    slide: str | None = None,
-    time_col: str = "event_time",
-    name: str = "n",
-) -> DataFrame:
-    """Generic (window, keys) row count."""
-    return df.groupBy(
-        window_column(time_col, size, slide).alias("window"), *[F.col(k) for k in keys]
-    ).agg(F.count(F.lit(1)).alias(name))

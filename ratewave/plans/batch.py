@@ -19,13 +19,13 @@ from ratewave.operators import (
     item_window_stats,
     latest_alerts,
     result_counters,
+    rounded,
     threshold_alerts,
     top_trending,
     trending,
     user_window_counts,
 )
 from ratewave.operators.windows import DEFAULT_SIZE, DEFAULT_SLIDE
-from ratewave.session import use_utc
 from ratewave.sources.tables import events_to_ratings, rating_events, ratings, read_table
 
 DIGITS = 6
@@ -71,7 +71,6 @@ def dirty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event records with malformed values, derived from the events table:
     ``error`` events carry truncated JSON, ``signup`` events a timestamp
     that is not a time, ``view`` events the user id as a JSON string."""
-    use_utc(spark)
     ev = events_to_ratings(read_table(spark, sf_dir, "events"), keep=["event_type"])
     fields = [F.col("user_id"), F.col("item_id"), F.col("rating")]
     good = F.to_json(F.struct(*fields, iso_timestamp("event_time").alias("timestamp")))
@@ -95,17 +94,17 @@ def q_parse_events_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trending_frame(spark: SparkSession, sf_dir: str, size=WIDE_SIZE, slide=WIDE_SLIDE) -> DataFrame:
-    return flatten_window(trending(rating_events(spark, sf_dir), size, slide, round_digits=DIGITS))
+    return flatten_window(trending(rating_events(spark, sf_dir), size, slide))
 
 
 def q_item_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     re = rating_events(spark, sf_dir)
-    return flatten_window(item_window_stats(re, WIDE_SIZE, WIDE_SLIDE, round_digits=DIGITS))
+    return rounded(flatten_window(item_window_stats(re, WIDE_SIZE, WIDE_SLIDE)), DIGITS)
 
 
 def q_item_window_stats_30s(spark: SparkSession, sf_dir: str) -> DataFrame:
     re = rating_events(spark, sf_dir)
-    return flatten_window(item_window_stats(re, REF_SIZE, REF_SLIDE, round_digits=DIGITS))
+    return rounded(flatten_window(item_window_stats(re, REF_SIZE, REF_SLIDE)), DIGITS)
 
 
 def q_user_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,19 +112,19 @@ def q_user_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trending_frame(spark, sf_dir)
+    return rounded(trending_frame(spark, sf_dir), DIGITS)
 
 
 def q_trending_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return threshold_alerts(trending_frame(spark, sf_dir))
+    return rounded(threshold_alerts(trending_frame(spark, sf_dir)), DIGITS)
 
 
 def q_top_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_trending(trending_frame(spark, sf_dir), n=10)
+    return top_trending(rounded(trending_frame(spark, sf_dir), DIGITS), n=10)  # ranks by the published score
 
 
 def q_latest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_alerts(trending_frame(spark, sf_dir), n=20)
+    return rounded(latest_alerts(trending_frame(spark, sf_dir), n=20), DIGITS)
 
 
 def q_result_counters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,8 @@ from __future__ import annotations
 
 RATING_EVENTS = """
 re AS (
-  SELECT CAST(user_id AS INT) AS user_id,
-         CAST(json_extract_string(props, '$.k') AS INT) % 20 AS item_id,
+  SELECT CAST(user_id AS BIGINT) AS user_id,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) % 20 AS item_id,
          CAST(CASE WHEN CAST(json_extract_string(props, '$.k') AS INT) % 20 = 0
                    THEN 4.5 + (event_id % 6) / 10.0
                    ELSE 1.0 + (event_id % 41) / 10.0 END AS DOUBLE) AS rating,
@@ -19,8 +19,8 @@ re AS (
 
 RATINGS = """
 ratings AS (
-  SELECT CAST(o_custkey AS INT) AS user_id,
-         CAST(l_partkey AS INT) AS item_id,
+  SELECT CAST(o_custkey AS BIGINT) AS user_id,
+         CAST(l_partkey AS BIGINT) AS item_id,
          CAST((l_quantity % 10 + 1) / 2 AS FLOAT) AS rating,
          CAST(epoch(o_orderdate) AS BIGINT) AS "timestamp"
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
@@ -56,10 +56,11 @@ t AS (
          round(avg(rating), 6) AS avg_rating,
          count(*) AS n_ratings,
          round(stddev_samp(rating), 6) AS rating_variance,
-         round(count(*) * avg(rating), 6) AS trending_score
+         round(count(*) * avg(rating), 6) AS trending_score,
+         avg(rating) AS raw_avg
   FROM w GROUP BY window_start, window_end, item_id)"""
 
-ALERT_PREDICATE = "avg_rating > 4.5 AND n_ratings >= 5"
+ALERT_PREDICATE = "raw_avg > 4.5 AND n_ratings >= 5"
 
 ORACLE_SQL: dict[str, str] = {
     "clean_ratings": f"""WITH {RATINGS}
@@ -79,7 +80,7 @@ SELECT CAST(user_id AS VARCHAR) AS key, user_id, item_id, rating, event_time FRO
     "user_window_counts": f"""WITH {RATING_EVENTS},{_windows(*WIDE)}
 SELECT window_start, window_end, user_id, count(*) AS interactions
 FROM w GROUP BY window_start, window_end, user_id""",
-    "trending": f"WITH {TRENDING_CTE} SELECT * FROM t",
+    "trending": f"WITH {TRENDING_CTE} SELECT * EXCLUDE (raw_avg) FROM t",
     "trending_alerts": f"""WITH {TRENDING_CTE}
 SELECT 'TRENDING' AS type, item_id, avg_rating, n_ratings, window_start, window_end
 FROM t WHERE {ALERT_PREDICATE}""",
@@ -107,7 +108,7 @@ FIXED_NOW = "TIMESTAMP '2025-01-01 00:00:00'"
 
 ORACLE_SQL.update(
     {
-        "stream_item_window_final": f"WITH {TRENDING_CTE} SELECT * FROM t WHERE {FINAL_WINDOWS}",
+        "stream_item_window_final": f"WITH {TRENDING_CTE} SELECT * EXCLUDE (raw_avg) FROM t WHERE {FINAL_WINDOWS}",
         "stream_alerts_final": f"""WITH {TRENDING_CTE}
 SELECT 'TRENDING' AS type, item_id, avg_rating, n_ratings, window_start, window_end
 FROM t WHERE {ALERT_PREDICATE} AND {FINAL_WINDOWS}""",
@@ -115,7 +116,7 @@ FROM t WHERE {ALERT_PREDICATE} AND {FINAL_WINDOWS}""",
 SELECT window_start, window_end, user_id, count(*) AS interactions
 FROM w GROUP BY window_start, window_end, user_id
 HAVING {FINAL_WINDOWS}""",
-        "stream_update_last": f"WITH {TRENDING_CTE} SELECT * FROM t",
+        "stream_update_last": f"WITH {TRENDING_CTE} SELECT * EXCLUDE (raw_avg) FROM t",
         "batch_lag": f"""WITH {RATING_EVENTS}
 SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n_events,
        round(avg(epoch_ms({FIXED_NOW}) // 1000 - epoch_ms(event_time) // 1000), 6) AS avg_lag_s,
@@ -133,8 +134,7 @@ ORACLE_SQL.update(
 SELECT least(500, count(*)) AS n_rows, count(*) AS n_source, CAST(0 AS BIGINT) AS n_missing
 FROM clean""",
         "split_invariants": f"""WITH {CLEAN}
-SELECT count(*) AS n_total, count(*) AS n_parts_sum, CAST(0 AS BIGINT) AS n_overlap,
-       1 AS train_frac_ok
+SELECT count(*) AS n_total, count(*) AS n_parts_sum, 1 AS train_frac_ok
 FROM clean""",
         "rmse_fixed": f"""WITH {CLEAN},
 m AS (SELECT item_id, avg(rating) AS prediction FROM clean GROUP BY item_id)
@@ -155,12 +155,26 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, it
       FROM s)
 SELECT query_id, item_id, CAST(rn AS INT) AS "rank", round(score, 6) AS score
 FROM r WHERE rn <= 5""",
-        "stream_recommend": f"""WITH {CLEAN},
-u AS (SELECT DISTINCT CAST(user_id AS INT) AS user_id FROM events
-      WHERE CAST(user_id AS INT) IN (SELECT user_id FROM clean))
-SELECT count(*) AS rec_rows, count(DISTINCT user_id) AS rec_users,
-       CAST(1 AS BIGINT) AS rec_batches, 5 AS min_len, 5 AS max_len
-FROM u""",
+        "stream_recommend": f"""WITH {CLEAN}
+SELECT DISTINCT CAST(0 AS BIGINT) AS batch_id, user_id,
+       (SELECT least(5, count(DISTINCT item_id)) FROM clean)::INT AS n_items, 1 AS same_as_batch
+FROM events WHERE user_id IN (SELECT user_id FROM clean)""",
+        "served_recs_counters": f"""WITH {CLEAN}
+SELECT count(DISTINCT user_id) AS rec_rows, CAST(1 AS BIGINT) AS rec_batches
+FROM events WHERE user_id IN (SELECT user_id FROM clean)""",
+        "served_first_recs": f"""WITH {CLEAN}
+SELECT DISTINCT CAST(0 AS BIGINT) AS batch_id, user_id,
+       (SELECT least(5, count(DISTINCT item_id)) FROM clean)::INT AS n_items
+FROM events WHERE user_id IN (SELECT user_id FROM clean) ORDER BY user_id LIMIT 20""",
+        "als_recommend": f"""WITH {CLEAN},
+n AS (SELECT least(5, count(DISTINCT item_id)) AS n FROM clean)
+SELECT DISTINCT user_id, n::INT AS n_items, 1 AS in_order, n::BIGINT AS n_products FROM clean, n""",
+        "listed_recommend": f"""WITH {CLEAN}
+SELECT DISTINCT user_id, (SELECT least(5, count(DISTINCT item_id)) FROM clean)::INT AS n_items
+FROM clean WHERE user_id IN (1, 42, 100, 200, 500)""",
+        "als_gated_retune": """
+SELECT * FROM (VALUES ('baseline', 10, 0.1::DOUBLE, 10, 0, 1, 1, 1), ('retune_1', 20, 0.05::DOUBLE, 15, 1, 1, 1, 1))
+  r(stage, rank, reg_param, max_iter, chosen, above_gate, same_after_reload, rmse_agrees)""",
     }
 )
 
@@ -234,3 +248,34 @@ SELECT count(*) AS trending_windows,
        count(DISTINCT item_id) AS distinct_items,
        CAST(coalesce(sum(CASE WHEN {ALERT_PREDICATE} THEN 1 ELSE 0 END), 0) AS BIGINT) AS alert_windows
 FROM t WHERE {FINAL_WINDOWS}"""
+
+ORACLE_SQL["als_predict"] = f"""WITH {CLEAN},
+h AS (SELECT *, CAST({_modular_hash(42)} AS DOUBLE) / CAST(2147483647 AS DOUBLE) AS u FROM clean),
+train AS (SELECT * FROM h WHERE u < CAST(0.8 AS DOUBLE))
+SELECT user_id, item_id, "timestamp", 1 AS is_product FROM h
+WHERE u >= CAST(0.8 AS DOUBLE)
+  AND user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)"""
+
+_TEXT = f"""WITH {RATINGS}
+SELECT user_id, item_id, rating, "timestamp" FROM ratings
+WHERE item_id % 7 <> 0 AND item_id % 11 <> 0 AND rating BETWEEN 1.0 AND 4.5"""
+ORACLE_SQL.update({"clean_ratings_csv": _TEXT, "clean_ratings_colons": _TEXT})
+
+
+_RANGED = f"""{RATING_EVENTS.replace("ts AS event_time", "ts AS event_time, event_id")},
+b AS (SELECT epoch_us(min(event_time)) AS lo, epoch_us(max(event_time)) AS hi FROM re),
+g AS (SELECT re.*, (epoch_us(event_time) - lo) * 4 // (hi - lo + 1) AS part FROM re, b)"""
+
+ORACLE_SQL["stream_update_log"] = f"""WITH {_RANGED},{_windows(*WIDE, source="g")}
+SELECT window_start, window_end, item_id, count(DISTINCT part) AS emissions, count(*) AS n_ratings
+FROM w GROUP BY window_start, window_end, item_id"""
+
+# The watermark when the last file comes: one minute before the latest event of the others.
+ORACLE_SQL["stream_late_drop"] = f"""WITH {_RANGED},
+l AS (SELECT g.*, part = 0 AND event_id % 10 = 3 AS late FROM g),
+m AS (SELECT max(event_time) - INTERVAL 1 minute AS mark FROM l WHERE NOT late AND part < 3),{_windows(*WIDE, source="l")}
+SELECT window_start, window_end, item_id, count(*) AS n_ratings
+FROM w, m WHERE NOT late OR window_end > mark
+GROUP BY window_start, window_end, item_id"""
+
+ORACLE_SQL["stream_restart"] = ORACLE_SQL["stream_item_window_final"]

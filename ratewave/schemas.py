@@ -7,8 +7,8 @@ from pyspark.sql import types as T
 # Event message value (JSON object of four fields).
 EVENT_SCHEMA = T.StructType(
     [
-        T.StructField("user_id", T.IntegerType()),
-        T.StructField("item_id", T.IntegerType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("item_id", T.LongType()),
         T.StructField("rating", T.FloatType()),
         T.StructField("timestamp", T.StringType()),
     ]
@@ -24,13 +24,11 @@ RAW_RATINGS_CSV_SCHEMA = T.StructType(
     ]
 )
 
-WINDOW_FIELDS = ["window_start", "window_end"]
-
 TRENDING_SCHEMA = T.StructType(
     [
         T.StructField("window_start", T.TimestampNTZType()),
         T.StructField("window_end", T.TimestampNTZType()),
-        T.StructField("item_id", T.IntegerType()),
+        T.StructField("item_id", T.LongType()),
         T.StructField("avg_rating", T.DoubleType()),
         T.StructField("n_ratings", T.LongType()),
         T.StructField("rating_variance", T.DoubleType()),
@@ -45,7 +43,7 @@ TRENDING_OUT = T.StructType([*TRENDING_SCHEMA.fields, BATCH_ID])
 ALERTS_OUT = T.StructType(
     [
         T.StructField("type", T.StringType()),
-        T.StructField("item_id", T.IntegerType()),
+        T.StructField("item_id", T.LongType()),
         T.StructField("avg_rating", T.DoubleType()),
         T.StructField("n_ratings", T.LongType()),
         T.StructField("window_start", T.TimestampNTZType()),
@@ -57,7 +55,7 @@ USER_WINDOWS_OUT = T.StructType(
     [
         T.StructField("window_start", T.TimestampNTZType()),
         T.StructField("window_end", T.TimestampNTZType()),
-        T.StructField("user_id", T.IntegerType()),
+        T.StructField("user_id", T.LongType()),
         T.StructField("interactions", T.LongType()),
     ]
 )
@@ -71,12 +69,12 @@ METRICS_OUT = T.StructType(
 )
 RECS_OUT = T.StructType(
     [
-        T.StructField("user_id", T.IntegerType()),
+        T.StructField("user_id", T.LongType()),
         T.StructField(
             "recommendations",
             T.ArrayType(
                 T.StructType(
-                    [T.StructField("item_id", T.IntegerType()), T.StructField("rating", T.FloatType())]
+                    [T.StructField("item_id", T.LongType()), T.StructField("rating", T.FloatType())]
                 )
             ),
         ),

@@ -55,10 +55,28 @@ def build_session(
 
 
 def use_utc(spark: SparkSession) -> None:
-    """Pin the session time zone: event times and windows are UTC."""
+    """Pin this session's time zone: event times and windows are UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def utc_session(spark: SparkSession) -> SparkSession:
+    """``spark`` itself if its time zone is UTC, else a session beside it that is set
+    alike but for the zone, so that the caller's own session stays as it is."""
+    if spark.conf.get("spark.sql.session.timeZone") == "UTC":
+        return spark
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    use_utc(own)
+    return own
+
+
+def _one_process(master: str) -> bool:
+    """Whether driver and executors are one process, so that a folder of this machine is shared."""
+    return master == "local" or master.startswith("local[")
+
+
 def _checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -68,7 +86,11 @@ def _checkpoint_root(spark: SparkSession) -> str:
     if configured == _UNSET:
         configured = spark.conf.get("spark.checkpoint.dir", _UNSET)
     if configured == _UNSET or not configured:
-        # No shared folder configured: this is a local run or a test.
+        if not _one_process(sc.master):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: streams, models and tables need a folder that "
+                "the driver and all executors share"
+            )
         configured = tempfile.mkdtemp(prefix="ratewave-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -90,6 +112,12 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return path
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop's file systems, wherever it is; none is no error."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back.
 

@@ -26,35 +26,34 @@ def read_ratings_text(
     header: bool = True,
     schema: T.StructType = RAW_RATINGS_CSV_SCHEMA,
 ) -> DataFrame:
-    """Ratings from delimited text with an explicit schema (no inference scan).
+    """Ratings from delimited text with explicit types (no inference scan).
 
+    With a header the columns of ``schema`` are taken by name, in whatever order
+    and beside whatever others they stand; a missing one is an error, and so is
+    a file of the folder whose header differs from the first one's.
     ``sep='::', header=False`` reads the ``UserID::MovieID::Rating::Timestamp``
-    layout; the default reads a CSV with a ``userId,movieId,...`` header.
-    Columns come back renamed to ``user_id, item_id, rating, timestamp``
-    with ``rating`` as float; range and NULL cleaning is a separate step.
+    layout, by position.  Columns come back renamed to ``user_id, item_id,
+    rating, timestamp`` with ``rating`` as float; a value that doesn't parse is
+    NULL; range and NULL cleaning is a separate step.
     """
-    raw = (
-        spark.read.schema(schema)
-        .option("header", str(header).lower())
-        .option("sep", sep)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
-    src = [f.name for f in schema.fields]
-    return raw.select(
-        F.col(src[0]).alias("user_id"),
-        F.col(src[1]).alias("item_id"),
-        F.col(src[2]).try_cast("float").alias("rating"),
-        F.col(src[3]).alias("timestamp"),
-    )
+    reader = spark.read.option("header", str(header).lower()).option("sep", sep).option("mode", "PERMISSIVE")
+    names = [f.name for f in schema.fields]
+    if header:
+        there = reader.csv(path).columns
+        if missing := [n for n in names if n not in there]:
+            raise ValueError(f"{path}: no column {', '.join(missing)} in the header {there}")
+    text = T.StructType([T.StructField(n, T.StringType()) for n in (there if header else names)])
+    raw = reader.option("enforceSchema", "false").schema(text).csv(path)
+    kinds = {f.name: f.dataType for f in schema.fields} | {"rating": T.FloatType()}
+    return raw.select(*[F.col(n).try_cast(kinds[n]).alias(RATINGS_COLUMN_MAP.get(n, n)) for n in names])
 
 
 def read_result_dir(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All Parquet result files under ``path``; an empty frame if there are none.
 
     A folder written by a streaming file sink is read through its
-    ``_spark_metadata`` log, so half-written files of a failed batch are
-    never seen.
+    ``_spark_metadata`` log, and per-batch folders appear by a rename, so
+    half-written files of a failed batch are never seen.
     """
     try:
         return spark.read.schema(schema).parquet(path)
@@ -68,5 +67,5 @@ def id_frame(
     spark: SparkSession, ids: Iterable[int], name: str = "user_id", dtype: T.DataType | None = None
 ) -> DataFrame:
     """A small inline table of ids (e.g. users to spot-check)."""
-    schema = T.StructType([T.StructField(name, dtype or T.IntegerType(), False)])
+    schema = T.StructType([T.StructField(name, dtype or T.LongType(), False)])
     return spark.createDataFrame([(int(i),) for i in ids], schema)

@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewave.session import use_utc
 
 # Fixed values of the rating_events view (must agree with the SQL oracle).
 HOT_ITEM = 0
@@ -39,15 +38,15 @@ def events_to_ratings(events: DataFrame, keep: list[str] | None = None) -> DataF
     TIMESTAMP_NTZ, which a watermark does not accept).  ``keep`` carries
     extra source columns through.
     """
-    k = F.get_json_object(F.col("props"), "$.k").try_cast("int")
-    item = (k % F.lit(N_ITEMS)).cast("int")
+    k = F.get_json_object(F.col("props"), "$.k").try_cast("long")
+    item = (k % F.lit(N_ITEMS)).cast("long")
     rating = (
         F.when(item == F.lit(HOT_ITEM), F.lit(HOT_BASE) + (F.col("event_id") % HOT_SPREAD) / F.lit(10.0))
         .otherwise(F.lit(BASE) + (F.col("event_id") % SPREAD) / F.lit(10.0))
         .cast("double")
     )
     return events.select(
-        F.col("user_id").cast("int").alias("user_id"),
+        F.col("user_id").cast("long").alias("user_id"),
         item.alias("item_id"),
         rating.alias("rating"),
         F.col("ts").cast("timestamp").alias("event_time"),
@@ -56,26 +55,24 @@ def events_to_ratings(events: DataFrame, keep: list[str] | None = None) -> DataF
 
 
 def rating_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    use_utc(spark)
     return events_to_ratings(read_table(spark, sf_dir, "events"))
 
 
-def ratings(spark: SparkSession, sf_dir: str, id_type: str = "int") -> DataFrame:
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Explicit ratings: one per order line, user = customer, item = part.
 
     ``rating = (quantity % 10 + 1) / 2`` is in 0.5..5.0; ``timestamp`` is the
     order date in epoch seconds.  A shuffle join on the order key; both
-    sides are pruned to three columns before the exchange.  ``id_type``
-    ``"long"`` keeps the source key width (customer keys pass int32 at
-    large scale factors; see ``models.with_int_ids``).
+    sides are pruned to three columns before the exchange.  Ids keep the
+    source keys' width (customer keys pass int32 at large scale factors;
+    only ``models.with_int_ids`` narrows them).
     """
-    use_utc(spark)
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = li.join(od, li.l_orderkey == od.o_orderkey)
     return joined.select(
-        F.col("o_custkey").cast(id_type).alias("user_id"),
-        F.col("l_partkey").cast(id_type).alias("item_id"),
+        F.col("o_custkey").cast("long").alias("user_id"),
+        F.col("l_partkey").cast("long").alias("item_id"),
         ((F.col("l_quantity") % 10 + 1) / 2).cast("float").alias("rating"),
         F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("timestamp"),
     )
@@ -97,7 +94,6 @@ def table_stream(
     table stored as one file is streamed from its parent folder with a
     file-name filter (a file stream source needs a folder).
     """
-    use_utc(spark)
     path = table_path(sf_dir, name)
     schema = spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema)

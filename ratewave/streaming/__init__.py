@@ -14,11 +14,9 @@ from ratewave.streaming.scoring import batch_metrics, batch_recommendations, mak
 from ratewave.streaming.sinks import (
     AVAILABLE_NOW,
     console_options,
-    path_bytes,
     publish_records,
     run_to_end,
     start_query,
-    state_partitions_for,
     trigger_kwargs,
     write_batch_partition,
 )
@@ -39,11 +37,9 @@ __all__ = [
     "make_batch_handler",
     "AVAILABLE_NOW",
     "console_options",
-    "path_bytes",
     "publish_records",
     "run_to_end",
     "start_query",
-    "state_partitions_for",
     "trigger_kwargs",
     "write_batch_partition",
 ]

@@ -55,9 +55,9 @@ WINDOW_TRIGGER = "10 seconds"
 RECS_TRIGGER = "5 seconds"
 
 
-def trending_stream(events: DataFrame, spec: WindowSpec, digits: int | None = None) -> DataFrame:
+def trending_stream(events: DataFrame, spec: WindowSpec) -> DataFrame:
     wm = with_event_watermark(events, "event_time", spec.watermark)
-    return flatten_window(trending(wm, spec.size, spec.slide, round_digits=digits))
+    return flatten_window(trending(wm, spec.size, spec.slide))
 
 
 def user_stream(events: DataFrame, spec: WindowSpec) -> DataFrame:
@@ -77,6 +77,8 @@ def _fanout(
         cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             n = cached.count()
+            if not n:
+                return
             write_batch_partition(cached, f"{out_dir}/{rows_name}", batch_id, n_rows=n)
             alerts = threshold_alerts(cached, min_avg, min_n)
             write_batch_partition(alerts, f"{out_dir}/{alerts_name}", batch_id, n_rows=n)
@@ -94,14 +96,13 @@ def start_final_windows(
     out_dir: str,
     spec: WindowSpec = REFERENCE_SPEC,
     trigger: str | None = AVAILABLE_NOW,
-    digits: int | None = None,
     min_avg: float = DEFAULT_MIN_AVG,
     min_n: int = DEFAULT_MIN_N,
     name: str | None = None,
 ) -> StreamingQuery:
     """Closed windows once each: ``trending/`` and ``alerts/`` by batch."""
     return start_query(
-        trending_stream(events, spec, digits),
+        trending_stream(events, spec),
         name=name,
         sink="foreach_batch",
         mode="append",
@@ -116,7 +117,6 @@ def start_window_updates(
     out_dir: str,
     spec: WindowSpec = REFERENCE_SPEC,
     trigger: str | None = AVAILABLE_NOW,
-    digits: int | None = None,
     min_avg: float = DEFAULT_MIN_AVG,
     min_n: int = DEFAULT_MIN_N,
     console_rows: int = 0,
@@ -124,7 +124,7 @@ def start_window_updates(
 ) -> StreamingQuery:
     """Every window change: ``trending_updates/`` and ``alert_updates/``."""
     return start_query(
-        trending_stream(events, spec, digits),
+        trending_stream(events, spec),
         name=name,
         sink="foreach_batch",
         mode="update",
@@ -203,26 +203,27 @@ def start_app(
     spec: WindowSpec = REFERENCE_SPEC,
     window_trigger: str | None = WINDOW_TRIGGER,
     recs_trigger: str | None = RECS_TRIGGER,
-    digits: int | None = None,
     console_rows: int = 0,
     prefix: str = "",
+    id_maps: dict[str, DataFrame] | None = None,
 ) -> dict[str, StreamingQuery]:
     """Start the queries; wait with ``spark.streams.awaitAnyTermination()``.
 
+    ``id_maps``: those saved with the model (``models.load_id_maps``), if its ids were mapped.
     ``console_rows > 0`` also prints trending and alert updates (from the
     update fan-out) and user-window updates (one more query) on the driver.
     """
     queries = {
         "final": start_final_windows(
-            events, out_dir, spec, window_trigger, digits, name=f"{prefix}trending_final"
+            events, out_dir, spec, window_trigger, name=f"{prefix}trending_final"
         ),
         "updates": start_window_updates(
-            events, out_dir, spec, window_trigger, digits, console_rows=console_rows,
+            events, out_dir, spec, window_trigger, console_rows=console_rows,
             name=f"{prefix}trending_updates",
         ),
         "users": start_user_windows(events, out_dir, spec, window_trigger, name=f"{prefix}user_windows"),
         "recs": start_recommendations(
-            events, out_dir, model, trigger=recs_trigger, name=f"{prefix}recommendations"
+            events, out_dir, model, trigger=recs_trigger, name=f"{prefix}recommendations", id_maps=id_maps
         ),
     }
     if console_rows:

@@ -18,8 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewave.functions.scores import lag_millis, lag_seconds
-from ratewave.models.als import recommend, to_source_ids
+from ratewave.models.als import recommend, source_item_factors
 from ratewave.models.exact import item_factor_stats
+from ratewave.session import materialize
+from ratewave.sources.files import read_result_dir
 from ratewave.streaming.sinks import write_batch_partition
 
 log = logging.getLogger("ratewave.streaming")
@@ -41,20 +43,16 @@ def batch_recommendations(
     batch: DataFrame,
     k: int = 5,
     id_maps: dict[str, DataFrame] | None = None,
+    items: DataFrame | None = None,
     item_stats: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Top-k for the distinct users seen in the batch (known users only).
 
-    With ``id_maps`` (from ``models.with_int_ids``) the batch's source ids
-    are translated to the model's dense ids and the answer back.
+    With ``id_maps`` (``models.load_id_maps``) the batch's source ids are
+    translated to the model's and the answer is in source ids.
     """
     users = batch.select("user_id").distinct()
-    if id_maps and "user_id" in id_maps:
-        m = id_maps["user_id"]
-        users = users.join(m, "user_id").select(F.col("user_id__dense").alias("user_id"))
-        return to_source_ids(recommend(model, users, k, item_stats=item_stats), id_maps)
-    users = users.select(F.col("user_id").cast("int").alias("user_id"))
-    return to_source_ids(recommend(model, users, k, item_stats=item_stats), id_maps or {})
+    return recommend(model, users, k, id_maps=id_maps, items=items, item_stats=item_stats)
 
 
 def make_batch_handler(
@@ -67,14 +65,18 @@ def make_batch_handler(
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` callback writing ``metrics/`` and (with a model) ``recs/``."""
 
-    # The model is fixed for the life of the query: measure its items once.
-    item_stats = item_factor_stats(model) if model is not None else None
+    # The model is fixed for the life of the query: its item factors are translated,
+    # written and measured once.
+    items = item_stats = None
+    if model is not None:
+        items = materialize(source_item_factors(model, id_maps or {}), "item_factors")
+        item_stats = item_factor_stats(items)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if cached.isEmpty():
+                return
             metrics = batch_metrics(cached, batch_id, now).drop("batch_id")
             row = metrics.first()  # one row
             log.info("batch %d: %d events, avg lag %.2f s", batch_id, row["n_events"],
@@ -84,10 +86,10 @@ def make_batch_handler(
                 f"{out_dir}/metrics", batch_id, n_rows=1,
             )
             if model is not None:
-                recs = batch_recommendations(model, cached, k, id_maps, item_stats)
-                write_batch_partition(recs, f"{out_dir}/recs", batch_id, n_rows=row["n_events"])
-                if show_rows:
-                    recs.show(show_rows, truncate=False)
+                recs = batch_recommendations(model, cached, k, id_maps, items, item_stats)
+                path = write_batch_partition(recs, f"{out_dir}/recs", batch_id, n_rows=row["n_events"])
+                if show_rows:  # what was written; computing it again would be a second top-k
+                    read_result_dir(cached.sparkSession, path, recs.schema).show(show_rows, truncate=False)
         finally:
             cached.unpersist()
 

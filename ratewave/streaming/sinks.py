@@ -7,19 +7,21 @@ restarted driver or a lost executor resumes from the last committed batch.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ratewave.session import remove_folder
+
 AVAILABLE_NOW = "available_now"
 ONCE = "once"
 
 
 def trigger_kwargs(trigger: str | None) -> dict:
     """``'10 seconds'`` -> processing-time trigger; ``'available_now'`` ->
-    process what is there (in bounded batches) and stop; ``None`` -> as fast
+    process what is there (in batches of the source's rate setting, or one) and stop; ``None`` -> as fast
     as possible."""
     if trigger is None:
         return {}
@@ -71,9 +73,12 @@ def console_options(num_rows: int = 20, truncate: bool = False) -> dict[str, str
     return {"numRows": str(num_rows), "truncate": str(truncate).lower()}
 
 
-def run_to_end(query: StreamingQuery, timeout_s: float = 600.0) -> StreamingQuery:
-    """Wait for an ``available_now`` query; raise if it failed or hangs."""
-    finished = query.awaitTermination(timeout_s)
+def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
+    """Wait for an ``available_now`` query; raise if it failed.
+
+    Without ``timeout_s`` it may take as long as its input needs; with it (tests), the
+    query is stopped and an error raised after that time."""
+    finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination() is None
     if not finished:
         query.stop()
         raise TimeoutError(f"stream {query.name or query.id} did not finish in {timeout_s}s")
@@ -93,17 +98,29 @@ def write_batch_partition(
     n_rows: int | None = None,
     rows_per_file: int = ROWS_PER_FILE,
 ) -> str:
-    """Overwrite ``root/batch_id=<id>``: replaying a batch replaces its rows
-    (idempotent), where an append would duplicate them.
-
-    With ``n_rows`` (an upper bound the caller already knows) the output is
-    coalesced to about ``rows_per_file`` rows per file, so frequent small
-    micro-batches do not leave one tiny file per shuffle partition.
+    """Put the rows of one batch at ``root/batch_id=<id>``, in place of any earlier ones:
+    replaying a batch replaces its rows, where an append would duplicate them.
+
+    The rows are written beside it, in a folder that readers of ``root`` skip, and the
+    finished folder is renamed, so no reader meets half a batch.  A batch without rows has
+    no folder.  With ``n_rows`` (an upper bound the caller already knows) the finished rows
+    are dealt to about ``rows_per_file`` rows per file; only the writing is that narrow, not
+    what makes the rows.
     """
+    spark = df.sparkSession
     path = f"{root.rstrip('/')}/batch_id={int(batch_id)}"
     if n_rows is not None:
-        df = df.coalesce(max(1, math.ceil(n_rows / rows_per_file)))
-    df.write.mode("overwrite").format(fmt).save(path)
+        df = df.repartition(max(1, math.ceil(n_rows / rows_per_file)))
+    new = f"{root.rstrip('/')}/_writing-{int(batch_id)}-{uuid.uuid4().hex}"
+    df.write.format(fmt).save(new)
+    remove_folder(spark, path)
+    if spark.read.format(fmt).schema(df.schema).load(new).isEmpty():
+        remove_folder(spark, new)
+        return path
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = Path(new).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(Path(new), Path(path)):
+        raise OSError(f"could not move {new} to {path}")
     return path
 
 
@@ -129,36 +146,3 @@ def publish_records(
         w.save(path)
     else:
         w.save()
-
-
-STATE_BYTES_PER_PARTITION = 128 * 1024 * 1024
-
-
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files under ``path`` (Hadoop file system API)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength())
-
-
-@contextmanager
-def state_partitions_for(spark: SparkSession, input_bytes: int) -> Iterator[int]:
-    """Size a new stateful query's state store to its input while it starts
-    and runs.
-
-    The width of a streaming aggregation's state is fixed when the query
-    first starts (from ``spark.sql.shuffle.partitions``) and AQE cannot
-    coalesce it.  For a bounded replay whose input size is known, use
-    ``max(parallelism, input / 128 MB)`` partitions, never more than the
-    caller's setting; the caller's value is restored afterwards.
-    """
-    key = "spark.sql.shuffle.partitions"
-    caller = int(spark.conf.get(key))
-    wanted = max(spark.sparkContext.defaultParallelism, math.ceil(input_bytes / STATE_BYTES_PER_PARTITION))
-    n = max(1, min(caller, wanted))
-    spark.conf.set(key, str(n))
-    try:
-        yield n
-    finally:
-        spark.conf.set(key, str(caller))

@@ -49,8 +49,42 @@ def test_train_with_wide_ids_keeps_map(spark, tmp_dir, capsys):
                 fh.write(f"{base + u},{i},{(u + i) % 5 + 1}.0,1\n")
     model = os.path.join(tmp_dir, "model")
     assert cli.run(spark, ["train", "--ratings", ratings, "--model", model]) == 0
-    assert os.path.exists(model + ".idmaps/user_id")
+    assert os.path.exists(model + "/idmaps/user_id")
     capsys.readouterr()
     assert cli.run(spark, ["recommend", "--model", model, "--users", str(base + 3), "5"]) == 0
     out = capsys.readouterr().out
     assert str(base + 3) in out and "| 5 " not in out
+
+
+def _write_ratings(path, first_user):
+    with open(path, "w") as fh:
+        fh.write("userId,movieId,rating,timestamp\n")
+        for u in range(20):
+            for i in range(10):
+                fh.write(f"{first_user + u},{i},{(u + i) % 5 + 1}.0,1\n")
+
+
+def test_stream_recommends_to_the_trained_wide_ids(spark, tmp_dir):
+    base = 4_000_000_000
+    ratings, model, files, out = (os.path.join(tmp_dir, n) for n in ("r.csv", "model", "events", "out"))
+    _write_ratings(ratings, base)
+    cli.run(spark, ["train", "--ratings", ratings, "--model", model])
+    os.makedirs(files)
+    with open(os.path.join(files, "a.json"), "w") as fh:
+        for user in (5, base + 7, base + 900):
+            fh.write(json.dumps({"user_id": user, "item_id": 3, "rating": 4.0,
+                                 "timestamp": "2026-05-12T14:30:00+00:00"}) + "\n")
+    cli.run(spark, ["stream", "--files", files, "--out", out, "--model", model, "--available-now"])
+    recs = spark.read.parquet(os.path.join(out, "recs")).collect()
+    assert [r.user_id for r in recs] == [base + 7]  # 5 is no trained user, though a dense id
+
+
+def test_a_retrain_leaves_no_old_id_map(spark, tmp_dir, capsys):
+    ratings, model = os.path.join(tmp_dir, "r.csv"), os.path.join(tmp_dir, "model")
+    for first in (4_000_000_000, 100):
+        _write_ratings(ratings, first)
+        cli.run(spark, ["train", "--ratings", ratings, "--model", model])
+    assert not os.path.exists(model + "/idmaps/user_id")
+    capsys.readouterr()
+    cli.run(spark, ["recommend", "--model", model, "--users", "105"])
+    assert "|105 " in capsys.readouterr().out.replace("| 105", "|105")

@@ -15,4 +15,4 @@ def test_oracle_keys_subset_of_queries():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     q = all_queries()
-    assert {"als_predict", "als_recommend", "als_gated_retune"} == set(q) - set(o)
+    assert set(q) <= set(o)

@@ -16,7 +16,8 @@ CASES = [
     ("", False),
     (None, False),
     ('{"user_id":1}', False),
-    (GOOD.replace('"user_id":1', '"user_id":3000000000'), False),
+    (GOOD.replace('"user_id":1', '"user_id":3000000000'), True),  # beyond 32 bits
+    (GOOD.replace('"user_id":1', '"user_id":30000000000000000000'), False),
     (GOOD.replace('"rating":4.7', '"rating":"4.5"'), False),
     (GOOD.replace('"user_id":1', '"user_id":"7"'), False),
     (GOOD.replace('"rating":4.7', '"rating":"NaN"'), False),

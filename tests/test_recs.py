@@ -120,15 +120,13 @@ def test_mean_baseline_rmse_equals_join_form(spark, trained):
 
 
 def test_wide_ids_roundtrip_through_als(spark):
-    from ratewave.models import to_source_ids
-
     base = 5_000_000_000
     rows = [(base + u, base * 2 + i, float((u * i) % 5 + 1)) for u in range(30) for i in range(12)]
     df = spark.createDataFrame(rows, "user_id long, item_id long, rating float")
     dense, maps = with_int_ids(df)
     assert set(maps) == {"user_id", "item_id"}
     model = fit_als(dense, BASELINE)
-    recs = to_source_ids(recommend(model, dense.select("user_id"), 3), maps).collect()
+    recs = recommend(model, df.select("user_id"), 3, id_maps=maps).collect()
     assert len(recs) == 30
     assert all(base <= r.user_id < base + 30 for r in recs)
     for r in recs:

@@ -1,6 +1,15 @@
 """Hash-stable sampling and splitting."""
 
-from ratewave.operators.sampling import hash_split, random_split, sample_n
+from pyspark.sql import functions as F
+
+from ratewave.operators.sampling import (
+    SPLIT_KEYS,
+    hash_split,
+    modular_unit_hash,
+    numbered_copies,
+    random_split,
+    sample_n,
+)
 
 
 def test_sample_exact_and_stable(spark):
@@ -31,20 +40,45 @@ def test_random_split_parts_sum(spark):
     assert sum(p.count() for p in parts) == 1000
 
 
-def test_split_on_row_id_divides_a_hot_group_of_copies(spark):
+def test_split_by_content_divides_a_hot_group_and_ignores_the_layout(spark, tmp_dir):
     from pyspark.sql import functions as F
 
     # a third of all rows are one identical record
     df = spark.range(0, 6000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("v")
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("v"), F.lit("x").alias("w")
     )
-    by_value = hash_split(df, [0.8, 0.2], 42, ["v"])
-    stamped = df.withColumn("rid", F.monotonically_increasing_id())
-    by_row = hash_split(stamped, [0.8, 0.2], 42, ["rid"])
-    copies_by_value = [p.filter("v = -1").count() for p in by_value]
-    copies_by_row = [p.filter("v = -1").count() for p in by_row]
-    assert 0 in copies_by_value  # all copies on one side
-    assert 1500 < copies_by_row[0] < 1700 and sum(copies_by_row) == 2000
+    df.repartition(3, "v").write.parquet(f"{tmp_dir}/other")
+    parts = []
+    for layout in (df, df.repartition(11), spark.read.parquet(f"{tmp_dir}/other")):
+        numbered = numbered_copies(layout)
+        assert numbered.count() == 6000
+        train, test = hash_split(numbered, [0.8, 0.2], 42, SPLIT_KEYS)
+        parts.append(sorted(tuple(r) for r in train.collect()))
+        assert 370 < test.filter("v = -1").count() < 430
+    assert parts[0] == parts[1] == parts[2]
+
+
+def test_numbered_copies_in_several_runs(spark, monkeypatch):
+    import ratewave.operators.sampling as sampling
+
+    monkeypatch.setattr(sampling, "COPIES_AT_ONCE", 7)
+    df = spark.createDataFrame([(1, None)] * 30 + [(2, "b")], "a int, b string")
+    rows = numbered_copies(df).collect()
+    assert sorted(r._copy for r in rows if r.a == 1) == list(range(1, 31)) and len(rows) == 31
+
+
+def test_any_number_of_key_columns(spark):
+    df = spark.range(0, 4000).select(*[(F.col("id") * (i + 3) % 101).alias(f"c{i}") for i in range(9)])
+    u = modular_unit_hash([f"c{i}" for i in range(9)], 3)
+    train, test = hash_split(df, [0.5, 0.5], 3, unit=u)
+    assert 1200 < train.count() < 2800 and train.count() + test.count() == 4000
+
+
+def test_sample_refines_a_crowded_cut(spark):
+    df = spark.range(0, 30000).withColumnRenamed("id", "k")
+    want = sorted(r.k for r in sample_n(df, 9000, 7, ["k"]).collect())
+    got = sorted(r.k for r in sample_n(df.repartition(5), 9000, 7, ["k"], cut_rows=5).collect())
+    assert len(got) == 9000 and got == want
 
 
 def test_sample_exact_with_a_hot_group_of_copies(spark):

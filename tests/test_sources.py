@@ -28,6 +28,26 @@ def test_double_colon_layout(spark, tmp_dir):
     assert [(r.user_id, r.item_id, r.rating) for r in rows] == [(1, 1193, 5.0), (1, 661, 3.0)]
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_dir):
+    import pytest
+
+    folder = os.path.join(tmp_dir, "csv")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.csv"), "w") as fh:
+        fh.write("movieId,extra,userId,timestamp,rating\n10,x,1,978300760,4.0\n11,y,5000000000,978300761,oops\n")
+    rows = read_ratings_text(spark, folder).collect()
+    assert [tuple(r) for r in rows] == [(1, 10, 4.0, 978300760), (5_000_000_000, 11, None, 978300761)]
+    # a file whose header differs is refused, not bound by position
+    with open(os.path.join(folder, "b.csv"), "w") as fh:
+        fh.write("userId,extra,movieId,timestamp,rating\n2,x,20,978300762,3.0\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_ratings_text(spark, folder).collect()
+    with open(os.path.join(tmp_dir, "c.csv"), "w") as fh:
+        fh.write("user,movieId,rating,timestamp\n1,10,4.0,978300760\n")
+    with pytest.raises(ValueError, match="userId"):
+        read_ratings_text(spark, os.path.join(tmp_dir, "c.csv"))
+
+
 def test_result_dir_empty_when_missing(spark, tmp_dir):
     df = read_result_dir(spark, os.path.join(tmp_dir, "nothing"), TRENDING_SCHEMA)
     assert df.count() == 0 and df.schema == TRENDING_SCHEMA
@@ -35,7 +55,7 @@ def test_result_dir_empty_when_missing(spark, tmp_dir):
 
 def test_id_frame(spark):
     df = id_frame(spark, [1, 42, 100, 200, 500])
-    assert df.schema["user_id"].dataType == T.IntegerType()
+    assert df.schema["user_id"].dataType == T.LongType()
     assert df.count() == 5
 
 

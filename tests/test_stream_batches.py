@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import SF01
-from ratewave.operators import best_per_key, flatten_window, trending
+from ratewave.operators import best_per_key, flatten_window, rounded, trending
 from ratewave.schemas import TRENDING_OUT
 from ratewave.sources.files import read_result_dir
 from ratewave.sources.tables import events_to_ratings, read_table
@@ -45,21 +45,21 @@ def test_many_batches_equal_batch_result(spark, tmp_dir):
         return events_to_ratings(raw)
 
     out_f, out_u = os.path.join(tmp_dir, "f"), os.path.join(tmp_dir, "u")
-    qf = run_to_end(start_final_windows(stream(), out_f, WIDE_SPEC, digits=6))
-    qu = run_to_end(start_window_updates(stream(), out_u, WIDE_SPEC, digits=6))
+    qf = run_to_end(start_final_windows(stream(), out_f, WIDE_SPEC))
+    qu = run_to_end(start_window_updates(stream(), out_u, WIDE_SPEC))
     assert len([p for p in qf.recentProgress if p.numInputRows > 0]) == n_days
 
-    batch = flatten_window(trending(events_to_ratings(read_table(spark, SF01, "events")),
-                                   "6 hours", "2 hours", round_digits=6))
+    batch = rounded(flatten_window(trending(events_to_ratings(read_table(spark, SF01, "events")),
+                                           "6 hours", "2 hours")), 6)
     wm = events_to_ratings(read_table(spark, SF01, "events")).agg(F.max("event_time")).first()[0]
     closed = batch.filter(F.col("window_end").cast("timestamp") <= F.lit(wm) - F.expr("INTERVAL 1 MINUTE"))
 
-    final = read_result_dir(spark, f"{out_f}/trending", TRENDING_OUT).drop("batch_id")
+    final = rounded(read_result_dir(spark, f"{out_f}/trending", TRENDING_OUT).drop("batch_id"), 6)
     assert final.count() == closed.count()
     assert final.exceptAll(closed).count() == 0
 
     updates = read_result_dir(spark, f"{out_u}/trending_updates", TRENDING_OUT)
     assert updates.count() > batch.count()  # windows crossing a file boundary update twice
     last = best_per_key(updates, ["window_start", "window_end", "item_id"], ["batch_id"]).drop("batch_id")
-    assert last.select(batch.columns).exceptAll(batch).count() == 0
+    assert rounded(last.select(batch.columns), 6).exceptAll(batch).count() == 0
     assert last.count() == batch.count()

@@ -159,18 +159,54 @@ def test_failed_batch_replays_without_duplicates(spark, tmp_dir):
     assert row.batch_id == 0 and row.n_events == 10 and row.avg_lag_s == 60.0
 
 
-def test_state_partitions_sized_and_restored(spark):
-    from ratewave.streaming.sinks import state_partitions_for
+def test_alerts_compare_the_raw_average(spark, tmp_dir):
+    """Averages of 4.50000024 alert; rounded to six places they would not."""
+    import datetime as dt
 
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "200")
-    try:
-        with state_partitions_for(spark, 1_000_000) as n:
-            assert n == spark.sparkContext.defaultParallelism
-            assert spark.conf.get(key) == str(n)
-        assert spark.conf.get(key) == "200"
-        with state_partitions_for(spark, 10 ** 15) as n:  # huge input: the caller's cap wins
-            assert n == 200
-    finally:
-        spark.conf.set(key, before)
+    from ratewave.operators import threshold_alerts, trending
+    from ratewave.operators.windows import flatten_window, rounded
+
+    at = dt.datetime(2026, 5, 12, 14, 30)
+    rows = [(u, 7, 4.50000024, at) for u in range(5)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rating double, event_time timestamp")
+    alerts = threshold_alerts(flatten_window(trending(df, "30 seconds", "10 seconds")))
+    assert alerts.count() == 3 and {r.avg_rating for r in rounded(alerts, 6).collect()} == {4.5}
+
+
+def test_batch_folders_appear_whole_and_never_empty(spark, tmp_dir):
+    from ratewave.streaming.sinks import write_batch_partition
+
+    root = os.path.join(tmp_dir, "rows")
+    write_batch_partition(spark.range(10), root, 0, n_rows=10, rows_per_file=4)
+    assert sorted(os.listdir(root)) == ["batch_id=0"] and spark.read.parquet(root).count() == 10
+    write_batch_partition(spark.range(3), root, 0)  # a replay replaces
+    assert spark.read.parquet(root).count() == 3
+    write_batch_partition(spark.range(0), root, 0)
+    assert os.listdir(root) == []
+
+
+def test_run_to_end_has_no_deadline_of_its_own():
+    import inspect
+
+    from ratewave.streaming.sinks import run_to_end
+
+    assert inspect.signature(run_to_end).parameters["timeout_s"].default is None
+
+
+def test_no_machine_folder_on_a_cluster():
+    from ratewave.session import _one_process
+
+    assert _one_process("local[*]") and _one_process("local")
+    assert not any(map(_one_process, ("yarn", "spark://h:7077", "local-cluster[2,1,1024]")))
+
+
+def test_a_query_leaves_the_callers_time_zone(spark):
+    from ratewave.plans import all_queries
+
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    other.conf.set("spark.sql.shuffle.partitions", "5")
+    got = all_queries()["latest_alerts"](other, "/root/testdata/sf0.001")
+    assert other.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    assert got.sparkSession.conf.get("spark.sql.shuffle.partitions") == "5"
+    assert got.collect() == all_queries()["latest_alerts"](spark, "/root/testdata/sf0.001").collect()

@@ -47,7 +47,7 @@ def test_sliding_windows_match_brute_force(spark, rows):
         "item_id int, rating double, event_time timestamp",
     )
     got = {}
-    for r in flatten_window(trending(df, "30 seconds", "10 seconds", round_digits=6)).collect():
+    for r in flatten_window(trending(df, "30 seconds", "10 seconds")).collect():
         start = int((r.window_start - EPOCH).total_seconds())
         got[(start, r.item_id)] = (r.avg_rating, r.n_ratings, r.rating_variance, r.trending_score)
     want = brute(rows)

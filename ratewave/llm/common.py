@@ -67,10 +67,13 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit integers (splitmix finaliser)."""
-    x = x + MIX_A
-    x = (x ^ (x >> U64(30))) * MIX_B
-    x = (x ^ (x >> U64(27))) * MIX_C
-    return x ^ (x >> U64(31))
+    x = x + MIX_A  # a copy; the rest in place
+    x ^= x >> U64(30)
+    x *= MIX_B
+    x ^= x >> U64(27)
+    x *= MIX_C
+    x ^= x >> U64(31)
+    return x
 
 
 class WordHashes(dict):

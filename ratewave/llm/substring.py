@@ -13,8 +13,8 @@ tree is never built whole: it is split by prefixes into groups that fit a task.
   memory becomes a subtree: its leaves, sorted by offset and window content, are the
   suffixes, and a run of equal ones is an internal node of full depth.  A group beyond
   HEAVY occurrences is split by a longer prefix, the whole window: such nodes are only
-  counted (partly before they move, so thousands of copies travel as one row) and joined
-  back, so no task holds the group.
+  counted (occurrences with the same windows first, partly before they move, so thousands
+  of copies travel as one row) and joined back, so no task holds the group.
 * Runs of repeated windows of a document unite to its maximal repeated spans.
 
 A window stands as a 64-bit hash of its words beside its anchor's own 64-bit hash and
@@ -27,15 +27,16 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewave.llm.common import MIX_C, U64, WordHashes, column, mix64, slices
 
 WINDOW = 35
 GRAM = 5
-#: Occurrences of an anchor beyond which its group is split by whole windows.
-HEAVY = 2_000
+#: Occurrences of an anchor beyond which its group is split by whole windows; so many take
+#: about 3 MB, with the hashes of their windows.
+HEAVY = 20_000
 #: Suffixes that a task sorts at once.
 SUBTREE_LEAVES = 1_000_000
 #: Bits for a word's place in its document while anchors are chosen.
@@ -64,13 +65,16 @@ def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
         size *= 2
 
 
-def anchors(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places, first window, number of windows) of a document's anchors, in order."""
+def anchors(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(places, their hashes, first window, number of windows) of a document's anchors, in order."""
     m = len(words) - window + 1
     if m <= 0:
-        return (np.zeros(0, dtype=np.int64),) * 3
-    order = mix64(run_hashes(words, gram)) >> U64(PLACE_BITS) << U64(PLACE_BITS)
-    best = order | np.arange(len(order), dtype=U64)
+        none = np.zeros(0, dtype=np.int64)
+        return none, none.astype(U64), none, none
+    grams = run_hashes(words, gram)
+    best = grams >> U64(PLACE_BITS)
+    best <<= U64(PLACE_BITS)
+    best |= np.arange(len(grams), dtype=U64)
     width, have = window - gram + 1, 1
     while have * 2 <= width:
         best = np.minimum(best[: len(best) - have], best[have:])
@@ -78,7 +82,7 @@ def anchors(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.n
     best = np.minimum(best[:m], best[width - have : width - have + m])
     place = (best & U64((1 << PLACE_BITS) - 1)).astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    return place[first], first, np.diff(np.append(first, m))
+    return place[first], grams[place[first]], first, np.diff(np.append(first, m))
 
 
 def _anchor_rows(window: int, gram: int):
@@ -87,9 +91,8 @@ def _anchor_rows(window: int, gram: int):
         for part, texts in slices(batches, "text", TEXT_SLICE):
             marks, places, counts = [], [], []
             for t in texts:
-                words = hashes.of(t.split())
-                at, _, _ = anchors(words, window, gram)
-                marks.append(run_hashes(words, gram)[at])
+                at, mark, _, _ = anchors(hashes.of(t.split()), window, gram)
+                marks.append(mark)
                 places.append(at)
                 counts.append(len(at))
             row = pa.array(np.repeat(np.arange(len(texts)), counts))
@@ -116,14 +119,13 @@ def _window_rows(window: int, gram: int):
             rows, lens = [], []
             for r, (t, places) in enumerate(zip(texts, column(part, "places").to_pylist(), strict=True)):
                 words = hashes.of(t.split())
-                at, first, number = anchors(words, window, gram)
+                at, mark, first, number = anchors(words, window, gram)
                 keep = np.flatnonzero(np.isin(at, places))
                 if not len(keep):
                     continue
                 content = run_hashes(words, window)
-                grams = run_hashes(words, gram)
                 rows.append(np.full(len(keep), r))
-                cols[0].append(grams[at[keep]])
+                cols[0].append(mark[keep])
                 cols[1].append(first[keep])
                 cols[2].append(at[keep] - first[keep])  # offset of the anchor in the first window
                 which = np.repeat(first[keep], number[keep])
@@ -213,14 +215,36 @@ def _subtrees(window: int):
 
 
 def _heavy_spans(rows: DataFrame, window: int) -> DataFrame:
-    """The same for groups beyond HEAVY: nodes are whole windows, counted and joined back."""
-    each = rows.select("anchor", "doc_id", "tie", "first", "offset", F.posexplode("windows").alias("step", "content"))
-    each = each.select(
-        "anchor", (F.col("offset") - F.col("step")).alias("depth"), "content", "doc_id", "tie", (F.col("first") + F.col("step")).alias("lo")
-    )
+    """The same for groups beyond HEAVY: nodes are whole windows.
+
+    Occurrences with the same windows are one kind, counted before anything is expanded, so
+    copies cost one row a task; the nodes are counted over the kinds' windows, and each
+    kind's repeated windows go back to its occurrences."""
+    same = F.xxhash64("windows")
+    rows = rows.withColumn("same", same)
+    kind = ["anchor", "offset", "same"]
+    kinds = rows.groupBy(*kind).agg(F.count("*").alias("times"), F.first("windows").alias("windows"))
+    each = kinds.select(*kind, "times", F.posexplode("windows").alias("step", "content"))
+    each = each.withColumn("depth", F.col("offset") - F.col("step"))
     node = ["anchor", "depth", "content"]
-    nodes = each.groupBy(*node).agg(F.count("*").alias("leaves")).where("leaves > 1").select(*node)
-    return each.join(nodes, node).select("doc_id", "tie", "lo", (F.col("lo") + window).cast("int").alias("hi"))
+    nodes = each.groupBy(*node).agg(F.sum("times").alias("leaves")).where("leaves > 1").select(*node)
+    steps = each.join(nodes, node).groupBy(*kind).agg(F.collect_list("step").alias("steps"))
+    found = rows.select(*kind, "doc_id", "tie", "first").join(steps, kind)
+    spans = F.transform(F.array_sort("steps"), lambda s: F.struct((F.col("first") + s).alias("lo"), (F.col("first") + s + window).alias("hi")))
+    return found.select("doc_id", "tie", F.explode(_united(spans)).alias("span")).select("doc_id", "tie", "span.lo", "span.hi")
+
+
+def _united(spans: Column) -> Column:
+    """Sorted spans, those that touch put together."""
+    empty = F.array().cast("array<struct<lo:int,hi:int>>")
+
+    def step(done: Column, x: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        joined = F.struct(last["lo"].alias("lo"), x["hi"].alias("hi"))
+        touches = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["hi"] >= x["lo"])
+        return F.when(touches, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(joined))).otherwise(F.concat(done, F.array(x)))
+
+    return F.aggregate(spans, empty, step)
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, heavy: int = HEAVY) -> DataFrame:

@@ -155,7 +155,7 @@ def test_components_of_a_long_path(spark):
 @given(st.lists(st.integers(0, 3), max_size=60))
 def test_equal_windows_have_equal_anchors(words):
     hashes = WordHashes().of([str(w).encode() for w in words])
-    places, first, number = anchors(hashes, 6, 2)
+    places, _, first, number = anchors(hashes, 6, 2)
     owner = {}
     for p, f, n in zip(places, first, number, strict=True):
         for s in range(f, f + n):

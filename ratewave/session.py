@@ -100,12 +100,14 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path below the cluster's shared checkpoint folder.
 
     ``unique=True`` appends a fresh id, for one-off runs (each test or
-    registered query gets its own stream checkpoint and output).
+    registered query gets its own stream checkpoint and output).  Such paths
+    lie in one folder per application, which can go when the application has
+    ended; results that are read lazily need it until then.
     """
     root = _checkpoint_root(spark)
     pieces = [root, "ratewave", *parts]
     if unique:
-        pieces.append(uuid.uuid4().hex)
+        pieces = [root, "ratewave", spark.sparkContext.applicationId, *parts, uuid.uuid4().hex]
     path = "/".join(p.rstrip("/") for p in pieces)
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import base64
 import json
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,23 +75,48 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class WordHashes(dict):
-    """word (bytes) -> 64-bit hash, the same in every process; memory bounded by clearing."""
+_GAP = np.zeros(256, dtype=bool)
+_GAP[[0x20, *range(0x09, 0x0E)]] = True
+_RADIX = 0xD1342543DE82EF95  # odd, so it has an inverse modulo 2^64
+_PIECE = 1 << 20
 
-    def __init__(self, most: int = 1_000_000) -> None:
-        super().__init__()
-        self.most = most
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+def _powers(base: int) -> np.ndarray:
+    out = np.full(_PIECE + 1, base, dtype=U64)
+    out[0] = 1
+    return np.cumprod(out, dtype=U64)
 
-        if len(self) >= self.most:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=U64, count=len(words))
+_UP, _DOWN = _powers(_RADIX), _powers(pow(_RADIX, -1, 2**64))
+
+
+def hash_words(texts: list[bytes]) -> list[np.ndarray]:
+    """The 64-bit hash of every word of each text, in order; words as ``bytes.split()`` gives them.
+
+    A word's hash is its polynomial in a fixed radix modulo 2^64, from running sums over the
+    bytes, scrambled together with its length: no Python object is made for a word."""
+    raw = b"\n".join(texts)
+    b = np.frombuffer(raw, dtype=np.uint8)
+    edge = np.diff(_GAP[b].view(np.int8), prepend=np.int8(1), append=np.int8(1))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    out = np.empty(len(starts), dtype=U64)
+    i = 0
+    while i < len(starts):
+        lo = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, lo + _PIECE, side="right")))
+        if ends[i] - lo > _PIECE:  # one word longer than a piece
+            out[i] = xxhash.xxh64_intdigest(raw[lo : ends[i]])
+        else:
+            part = b[lo : ends[j - 1]].astype(U64)
+            part += U64(1)
+            part *= _UP[: len(part)]
+            sums = np.concatenate([np.zeros(1, dtype=U64), np.cumsum(part, dtype=U64)])
+            at = starts[i:j] - lo
+            out[i:j] = (sums[ends[i:j] - lo] - sums[at]) * _DOWN[at]
+        i = j
+    out = mix64(out ^ mix64((ends - starts).astype(U64)))
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return np.split(out, np.searchsorted(starts, begins[1:-1])) if texts else []
 
 
 def grams(words: np.ndarray, n: int) -> np.ndarray:
@@ -142,11 +166,3 @@ def read_byte_bpe(path: str) -> tuple[list[bytes], dict[str, int], dict[int, tup
         raise ValueError(f"{path}: merges are not in the order of their ids")
     parts = {r: (vocab[a], vocab[b]) for r, (a, b) in zip(ranks, pairs, strict=True)}
     return tokens, {t["content"]: t["id"] for t in spec.get("added_tokens", ()) if t.get("special")}, parts
-
-
-def crc(word: bytes) -> int:
-    return zlib.crc32(word)
-
-
-def b64(raw: bytes) -> str:
-    return base64.b64encode(raw).decode()

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewave.llm.common import LOWER, U64, WordHashes, column, shingle_set, slices
+from ratewave.llm.common import LOWER, U64, column, hash_words, shingle_set, slices
 
 #: Hashes of a sketch, and the bits kept of each.
 K = 128
@@ -28,10 +28,10 @@ SHINGLE = 5
 LEAST_LONG = -(2**63)
 
 
-def sketch(text: bytes, hashes: WordHashes, k: int = K) -> np.ndarray:
-    """Ascending sketch of a text: words split at white space, A-Z lower-cased."""
-    found = np.unique(shingle_set(hashes.of(text.translate(LOWER).split()), SHINGLE) >> U64(64 - BITS))
-    return found[:k]
+def sketches(texts: list[bytes], k: int = K) -> list[np.ndarray]:
+    """Ascending sketches of texts: words split at white space, A-Z lower-cased."""
+    words = hash_words([t.translate(LOWER) for t in texts])
+    return [np.unique(shingle_set(w, SHINGLE) >> U64(64 - BITS))[:k] for w in words]
 
 
 def merge(a: np.ndarray, b: np.ndarray, k: int = K) -> np.ndarray:
@@ -76,9 +76,8 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     (fingerprint "", 0 shingles).  An empty table gives no rows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for part, texts in slices(batches, "text"):
-            found = [sketch(t, hashes, k) for t in texts]
+            found = sketches(texts, k)
             yield pa.RecordBatch.from_arrays(
                 [
                     column(part, "doc_id"),
@@ -100,7 +99,7 @@ def group_sketches(docs: DataFrame, group_col: str, text_col: str = "text", k: i
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held = WordHashes(), {}
+        held = {}
 
         def flush() -> pa.RecordBatch:
             cols = [pa.array(list(held), pa.string()), pa.array([v.astype(np.int64).tolist() for v in held.values()], pa.list_(pa.int64()))]
@@ -108,8 +107,7 @@ def group_sketches(docs: DataFrame, group_col: str, text_col: str = "text", k: i
             return pa.RecordBatch.from_arrays(cols, names=["group", "hashes"])
 
         for part, texts in slices(batches, "text"):
-            for g, t in zip(column(part, "group").to_pylist(), texts, strict=True):
-                own = sketch(t, hashes, k)
+            for g, own in zip(column(part, "group").to_pylist(), sketches(texts, k), strict=True):
                 held[g] = merge(held[g], own, k) if g in held else own
             if len(held) > 20_000:
                 yield flush()
@@ -184,33 +182,31 @@ def compare_neighbours(
             )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         held = None  # the row whose next one has not come yet
         closed = None  # the range whose last row has met the next range's first
         for batch, texts in slices(batches, "text"):
-            out: list[tuple] = []
-            info = zip(column(batch, "part").to_pylist(), column(batch, "edge").to_pylist(), column(batch, "doc_id").to_pylist(), texts, strict=True)
-            for part, edge, doc_id, raw in info:
+            pairs: list[tuple] = []  # rows with their next ones
+            cols = [column(batch, c).to_pylist() for c in ("part", "edge", "doc_id")]
+            for part, edge, doc_id, raw, mark in zip(*cols, texts, sketches(texts, k), strict=True):
                 if edge and part == closed:
                     continue
-                now = (part, doc_id, raw.decode(), sketch(raw, hashes, k))
+                now = (part, doc_id, raw.decode(), mark)
                 if held is not None and held[0] == part:
-                    _, own_id, own, mark = held
-                    new = edited(own, now[2])
-                    new_raw = new.encode()
-                    new_mark = sketch(new_raw, hashes, k)
-                    out.append(
-                        (
-                            own_id,
-                            len(own),
-                            hashlib.sha256(new_raw).hexdigest(),
-                            to_text(mark),
-                            to_text(new_mark),
-                            resemblance(mark, new_mark, k),
-                            resemblance(mark, now[3], k),
-                        )
-                    )
+                    pairs.append((held, now))
                 held, closed = (None, part) if edge else (now, closed)
+            new = [edited(own[2], following[2]).encode() for own, following in pairs]
+            out = [
+                (
+                    own_id,
+                    len(own),
+                    hashlib.sha256(raw).hexdigest(),
+                    to_text(mark),
+                    to_text(new_mark),
+                    resemblance(mark, new_mark, k),
+                    resemblance(mark, following[3], k),
+                )
+                for ((_, own_id, own, mark), following), raw, new_mark in zip(pairs, new, sketches(new, k), strict=True)
+            ]
             cols = list(zip(*out, strict=True)) if out else [[]] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, out_types, strict=True)], names=names

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewave.llm.common import LOWER, U64, WordHashes, column, materialize, mix64, shingle_set, slices
+from ratewave.llm.common import LOWER, U64, column, hash_words, materialize, mix64, shingle_set, slices
 from ratewave.llm.components import components
 
 SHINGLE = 5
@@ -99,8 +99,8 @@ def similarity_estimate(larger: np.ndarray, smaller: np.ndarray, n_a: np.ndarray
     return j[np.arange(len(j)), like.argmax(axis=1)]
 
 
-def _shingles(text: bytes, hashes: WordHashes) -> np.ndarray:
-    return shingle_set(hashes.of(text.translate(LOWER).split()), SHINGLE)
+def _shingles(texts: list[bytes]) -> list[np.ndarray]:
+    return [shingle_set(words, SHINGLE) for words in hash_words([t.translate(LOWER) for t in texts])]
 
 
 def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -108,9 +108,8 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     n = 0 and no bands."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for part, texts in slices(batches, "text", TEXT_SLICE):
-            sets = [_shingles(t, hashes) for t in texts]
+            sets = _shingles(texts)
             marks = [signature(s) for s in sets]
             bands = [band_keys(registers(s)).astype(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
             offsets = np.cumsum([0, *map(len, bands)]).astype(np.int32)
@@ -138,9 +137,8 @@ def _with_registers(rows: DataFrame) -> DataFrame:
     """(rep, text, s1, s2) -> (rep, n, regs, short, text), where the text has the signature."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for part, texts in slices(batches, "text", TEXT_SLICE):
-            sets = [_shingles(t, hashes) for t in texts]
+            sets = _shingles(texts)
             want = zip(column(part, "s1").to_pylist(), column(part, "s2").to_pylist(), strict=True)
             keep = [i for i, (s, w) in enumerate(zip(sets, want, strict=True)) if signature(s) == w]
             at = pa.array(keep, pa.int64())
@@ -162,7 +160,6 @@ def _compare_with_center(percent: int):
     """Rows sorted by (center, salt, role): a center's text, then its star's members."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         star, own, own_regs = None, None, None
         for part, texts in slices(batches, "text", TEXT_SLICE):
             found: list[tuple[int, int]] = []
@@ -170,14 +167,14 @@ def _compare_with_center(percent: int):
             for (center, salt, role, i, n, regs), text in zip(zip(*cols, strict=True), texts, strict=True):
                 regs = np.frombuffer(regs, dtype=np.uint16)
                 if role == 0:
-                    star, own, own_regs = (center, salt), _shingles(text, hashes), regs
+                    star, own, own_regs = (center, salt), _shingles([text])[0], regs
                     continue
                 if star != (center, salt) or 100 * min(n, len(own)) < percent * max(n, len(own)):
                     continue
                 up, down = int((own_regs > regs).sum()), int((own_regs < regs).sum())
                 if similarity_estimate([up], [down], [len(own)], [n])[0] < percent / 100 - MARGIN:
                     continue
-                other = _shingles(text, hashes)
+                other = _shingles([text])[0]
                 both = len(np.intersect1d(own, other, assume_unique=True))
                 if 100 * both >= percent * (len(own) + len(other) - both):
                     found.append((center, i))
@@ -291,8 +288,9 @@ def link_classes(members: DataFrame, texts: DataFrame, percent: int) -> DataFram
             now = members.withColumn("comp", F.col("rep"))
         else:
             now = members.join(labels, "rep", "left").select("key", "rep", F.coalesce("comp", "rep").alias("comp"))
-        # the bucket's chosen member, by another order in each round; the first: the smallest id
-        order = F.xxhash64(F.lit(turn), "rep") if turn else F.col("rep")
+        # the bucket's chosen member: the smallest id at first and, for families, at last; by
+        # another order in each round between
+        order = F.xxhash64(F.lit(turn), "rep") if 0 < turn < STAR_ROUNDS else F.col("rep")
         buckets = now.groupBy("key").agg(
             F.min("comp").alias("lo"),
             F.max("comp").alias("hi"),

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewave.llm.common import MIX_C, U64, WordHashes, column, mix64, slices
+from ratewave.llm.common import MIX_C, U64, column, hash_words, mix64, slices
 
 WINDOW = 35
 GRAM = 5
@@ -87,11 +87,10 @@ def anchors(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.n
 
 def _anchor_rows(window: int, gram: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for part, texts in slices(batches, "text", TEXT_SLICE):
             marks, places, counts = [], [], []
-            for t in texts:
-                at, mark, _, _ = anchors(hashes.of(t.split()), window, gram)
+            for words in hash_words(texts):
+                at, mark, _, _ = anchors(words, window, gram)
                 marks.append(mark)
                 places.append(at)
                 counts.append(len(at))
@@ -113,12 +112,10 @@ def _window_rows(window: int, gram: int):
     """The windows of the anchors at the listed ``places`` of each document."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for part, texts in slices(batches, "text", TEXT_SLICE):
             cols: list[list[np.ndarray]] = [[] for _ in range(4)]
             rows, lens = [], []
-            for r, (t, places) in enumerate(zip(texts, column(part, "places").to_pylist(), strict=True)):
-                words = hashes.of(t.split())
+            for r, (words, places) in enumerate(zip(hash_words(texts), column(part, "places").to_pylist(), strict=True)):
                 at, mark, first, number = anchors(words, window, gram)
                 keep = np.flatnonzero(np.isin(at, places))
                 if not len(keep):

@@ -88,6 +88,9 @@ def test_mix_of_odd_rows(odd):
     assert got[1].size == got[2].size == got[3].size == 0 and got[1].taken == 0
     assert got[1].target == 0.0  # a source without words
     assert all(0 <= r.taken <= 2 * r.size for r in got.values())
+    mixed = mixed_documents(odd)
+    assert mixed.columns == odd.columns
+    assert not {r.doc_id for r in mixed.collect()} & {1, 2, 3}  # no words, no place in the mix
 
 
 def test_neardup_of_odd_rows(odd):

@@ -14,9 +14,9 @@ from tokenizers import Tokenizer
 import ratewave.llm.mixing as mixing
 import ratewave.llm.neardup as neardup
 from ratewave.llm.bpe import ChunkedBPE
-from ratewave.llm.common import LOWER, WordHashes, shingle_set
+from ratewave.llm.common import LOWER, hash_words, shingle_set
 from ratewave.llm.components import components
-from ratewave.llm.fingerprint import containment, distinct, from_text, merge, resemblance, sketch, to_text
+from ratewave.llm.fingerprint import containment, distinct, from_text, merge, resemblance, sketches, to_text
 from ratewave.llm.language_model import draw_tables, fit_contexts, fit_spelling, positions, stirling
 from ratewave.llm.queries import vocabulary
 from ratewave.llm.secrets import scan_secrets, window_entropy
@@ -154,7 +154,7 @@ def test_components_of_a_long_path(spark):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 3), max_size=60))
 def test_equal_windows_have_equal_anchors(words):
-    hashes = WordHashes().of([str(w).encode() for w in words])
+    hashes = hash_words([" ".join(map(str, words)).encode()])[0]
     places, _, first, number = anchors(hashes, 6, 2)
     owner = {}
     for p, f, n in zip(places, first, number, strict=True):
@@ -210,17 +210,37 @@ def test_spelling_and_contexts_are_distributions():
 
 
 def test_sketches_merge_and_estimate():
-    hashes = WordHashes()
     words = [f"w{i}" for i in range(2000)]
     a, b = " ".join(words[:1200]).encode(), " ".join(words[400:]).encode()
-    x, y = sketch(a, hashes), sketch(b, hashes)
-    whole = sketch(" ".join(words).encode(), hashes)
+    x, y, whole, short = sketches([a, b, " ".join(words).encode(), b"Only Four Words Here"])
     assert (from_text(to_text(x)) == x).all() and (merge(x, y) == whole).all()
     assert abs(resemblance(x, y) - 796 / 1996) < 0.15
     assert abs(containment(x, y) - 796 / 1196) < 0.25 and abs(distinct(whole) / 1996 - 1) < 0.3
-    short = sketch(b"Only Four Words Here", hashes)
     assert len(short) == 1 and distinct(short) == 1.0
-    assert (shingle_set(hashes.of(b"a b c".split())) == shingle_set(hashes.of(b"A B C".translate(LOWER).split()))).all()
+    lower, upper = hash_words([b"a b c", b"A B C".translate(LOWER)])
+    assert (shingle_set(lower) == shingle_set(upper)).all()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab \t\n\x0b\x0c\r\x1c\u00a0é"), max_size=40), max_size=5))
+def test_word_hashes_stand_for_words(texts):
+    raw = [t.encode() for t in texts]
+    got = hash_words(raw)
+    seen = {}
+    assert len(got) == len(raw)
+    for t, hashes in zip(raw, got, strict=True):
+        words = t.split()
+        assert len(hashes) == len(words)
+        for w, h in zip(words, hashes.tolist(), strict=True):
+            assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_word_hashes_of_long_texts():
+    long = b"x" * 3_000_000
+    a, b = hash_words([b"p q " + long + b" " + b"r s " * 700_000, b"s r q p " + long])
+    assert len(a) == 3 + 1_400_000 and len(b) == 5
+    assert a[0] == b[3] and a[1] == b[2] and a[2] == b[4] and a[-1] == b[0] and (a[3::2] == b[1]).all()
 
 
 def test_mix_does_not_depend_on_layout_or_block_sizes(spark, monkeypatch):

@@ -29,7 +29,7 @@ BUDGET_RATIO = 1.5
 MAX_REPEATS = 2
 SEED = "mix-42"
 #: Documents of one block of a queue, buckets of a histogram, rows that one task sorts at the cut.
-BLOCK_DOCS = 20_000
+BLOCK_DOCS = 2_000
 BUCKETS = 4096
 CUT_ROWS = 20_000
 

@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import ratewave.llm.language_model as language_model
 import ratewave.llm.mixing as mixing
 import ratewave.llm.neardup as neardup
 from ratewave.llm.bpe import ChunkedBPE
@@ -209,6 +211,26 @@ def test_spelling_and_contexts_are_distributions():
         assert np.allclose(fit_contexts(c, np.arange(len(c)) + 1).sum(axis=1), 1)
 
 
+def test_rare_words_have_contexts_of_their_own(spark, monkeypatch):
+    # 1,500 pairs of words that occur nowhere else, 550 of them six times and the others three
+    # times: most are beyond the dishes and the contexts
+    n, real, got = 1_500, language_model.frequent, []
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    train = [i for i in range(8_000) if zlib.crc32(str(i).encode()) % 7 != 2]
+    which = [i for i in range(n) for _ in range(6 if i < 550 else 3)]
+    rows = [(d, f"left{i} right{i}") for d, i in zip(train[: len(which)], which, strict=True)]
+    rows.append((held[0], " ".join(f"left{i} right{i}" for i in range(n))))
+    rows.append((held[1], " ".join(f"left{i} right{(i + 7) % n}" for i in range(n))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (1_110, 100_000):  # the rarer words are joined; all are sent
+        monkeypatch.setattr(language_model, "frequent", lambda t, k=0, most=most: real(t, most))
+        scores = {r.doc_id: r.score for r in language_model.language_model_scores(df).where("held_out").collect()}
+        paired, crossed = (scores[d] / n for d in held)
+        assert paired > crossed + 1.0  # ten times as likely a pair, at the least
+        got.append(scores)
+    assert got[0] == pytest.approx(got[1], rel=0.05)
+
+
 def test_sketches_merge_and_estimate():
     words = [f"w{i}" for i in range(2000)]
     a, b = " ".join(words[:1200]).encode(), " ".join(words[400:]).encode()

@@ -5,14 +5,14 @@ the lengths of the pieces between them (``split`` by the same pattern), so spans
 code points.  For the entropy, a candidate is a longest run of one character class; a
 window of fixed width slides over it, and its entropy is kept by counts: a step adds one
 character and takes one away, and changes sum(c * log2 c) by four terms.  A candidate
-counts if the best window reaches the class's threshold, no allow-list pattern covers it
-and no pattern match overlaps it.
+counts if the best window reaches the class's threshold and no allow-list pattern covers
+it.  Where earlier spans (pattern matches, then earlier classes' spans) overlap it, they are
+cut out and what is left, joined, is judged; if it counts, the span is the whole candidate.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,13 +54,15 @@ ENTROPY = (
     EntropyClass("entropy_hex", "0-9A-Fa-f", 24, 3.0),
     EntropyClass("entropy_b64", "A-Za-z0-9+/_-", 20, 3.6),
 )
+#: Letters that look like a word: one case, one capital at the front, or CamelCase.
+WORDLIKE = r"(?:[a-z]+|[A-Z]+|[A-Z][a-z]+|(?:[a-z]{2,})?(?:[A-Z][a-z]{2,})+)"
 #: A candidate that one of these covers wholly is no secret: words and numbers, alone or
 #: joined, a word with a number after it, dates and times, dashed identifiers (UUID).
 ALLOWED = (
-    r"[A-Za-z]+(?:[-_/+]+[A-Za-z]+)*[-_/+]*",
+    rf"{WORDLIKE}(?:[-_/+]+{WORDLIKE})*[-_/+]*",
     r"[-_/+]*[0-9]+(?:[-_/+]+[0-9]+)*[-_/+]*",
-    r"(?:[A-Za-z]+[0-9]{0,4}|[0-9]+)(?:[-_/+]+(?:[A-Za-z]+[0-9]{0,4}|[0-9]+))+",
-    r"[A-Za-z]+[0-9]{1,6}",
+    rf"(?:{WORDLIKE}[0-9]{{0,4}}|[0-9]+)(?:[-_/+]+(?:{WORDLIKE}[0-9]{{0,4}}|[0-9]+))+",
+    rf"{WORDLIKE}[0-9]{{1,6}}",
     r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",
     r"[-_/+=]+",
 )
@@ -128,13 +130,31 @@ def window_entropy(text: Column, width: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.size(codes)), first, step, lambda acc: acc["best"])
 
 
-def _is_secret(c: EntropyClass, plain: str, earlier: list[Column]):
-    def keep(x: Column) -> Column:
-        overlaps = [F.exists(e, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])) for e in earlier]
-        enough = F.coalesce(window_entropy(x["found"], c.width), F.lit(0.0)) >= c.bits
-        return ~x["found"].rlike(plain) & ~reduce(lambda a, b: a | b, overlaps) & enough
+def _rest(x: Column, earlier: Column) -> Column:
+    """What is left of a candidate without the earlier spans, in order of start; separators
+    at the cut's front go too."""
+    over = F.filter(earlier, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))
+    cut = lambda lo, hi: F.substring(
+        x["found"], (lo - x["start"] + 1).cast("int"), F.greatest(hi - lo, F.lit(0)).cast("int")
+    )
+    first = F.struct(x["start"].alias("pos"), F.lit("").alias("out"))
+
+    def step(acc: Column, y: Column) -> Column:
+        return F.struct(
+            F.greatest(acc["pos"], y["end"]).alias("pos"), F.concat(acc["out"], cut(acc["pos"], y["start"])).alias("out")
+        )
+
+    left = F.aggregate(over, first, step, lambda acc: F.concat(acc["out"], cut(acc["pos"], x["end"])))
+    return F.when(F.size(over) > 0, F.regexp_replace(left, "^[-_/+]+", "")).otherwise(x["found"])
+
+
+def _secrets(c: EntropyClass, plain: str, found: Column, earlier: Column) -> Column:
+    def keep(z: Column) -> Column:
+        enough = F.coalesce(window_entropy(z["rest"], c.width), F.lit(0.0)) >= c.bits
+        return ~z["rest"].rlike(plain) & (F.length(z["rest"]) >= c.width) & enough
 
-    return keep
+    judged = F.transform(found, lambda x: F.struct(x.alias("x"), _rest(x, earlier).alias("rest")))
+    return F.transform(F.filter(judged, keep), lambda z: z["x"])
 
 
 def _with_spans(
@@ -172,7 +192,8 @@ def _with_spans(
     base = F.col(f"{out}.base")
     extra: list[Column] = []
     for c in classes:
-        extra.append(F.filter(F.col(f"{out}.{c.kind}"), _is_secret(c, plain, [base, *extra])))
+        earlier = F.array_sort(F.concat(base, *extra)) if extra else base
+        extra.append(_secrets(c, plain, F.col(f"{out}.{c.kind}"), earlier))
     more = F.array_sort(F.concat(*extra)) if extra else F.slice(base, 1, 0)
     return rows.withColumn(out, F.struct(base.alias("base"), more.alias("extra")))
 
@@ -187,7 +208,8 @@ def scan_secrets(
 ) -> DataFrame:
     """doc_id, base, extra: per row the spans of the patterns and those of the entropy
     windows, each an array of (start, ord, end, kind, value, found) in order of start, then
-    kind as listed.  Starts and ends count code points, ends exclusive.  NULL counts as the
+    kind as listed.  Starts and ends count code points, ends exclusive; a span of ``extra``
+    may hold earlier ones.  NULL counts as the
     empty text: no spans.  Rows are independent of each other; an empty table gives none."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = _with_spans(rows, "text", "_found", patterns, classes, allowed)

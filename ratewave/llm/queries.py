@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ratewave.llm.bpe import encode_digests
 from ratewave.llm.common import table
+from ratewave.llm.conversations import damage, repair_conversations
 from ratewave.llm.fingerprint import compare_neighbours
 from ratewave.llm.language_model import language_model_scores
 from ratewave.llm.mixing import mix_sources
@@ -142,3 +143,9 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model_scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repair_conversations(damage(table(spark, sf_dir, "conversations")), digest=True)
+    return found.withColumnRenamed("repaired", "repaired_sha256")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ratewave.llm.bpe import encode_digests
 from ratewave.llm.common import table
 from ratewave.llm.conversations import damage, repair_conversations
+from ratewave.llm.cross_tokens import align_documents, corpus_links
 from ratewave.llm.fingerprint import compare_neighbours
 from ratewave.llm.language_model import language_model_scores
 from ratewave.llm.mixing import mix_sources
@@ -149,3 +150,13 @@ def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repair_conversations(damage(table(spark, sf_dir, "conversations")), digest=True)
     return found.withColumnRenamed("repaired", "repaired_sha256")
+
+
+@query
+def op13_cross_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    aligned = align_documents(
+        table(spark, sf_dir, "documents"), vocabulary(), public_tokenizers.path("piece_bpe_32k.model"), digest=True
+    )
+    return corpus_links(aligned).withColumnRenamed("groups", "groups_sha256")

@@ -15,6 +15,7 @@ from ratewave.llm.fingerprint import compare_neighbours
 from ratewave.llm.language_model import language_model_scores
 from ratewave.llm.mixing import mix_sources
 from ratewave.llm.neardup import near_duplicates
+from ratewave.llm.quality import quality
 from ratewave.llm.secrets import joined, scan_secrets
 from ratewave.llm.substring import remove_repeats
 from ratewave.llm.token_count import count_tokens
@@ -160,3 +161,8 @@ def op13_cross_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), vocabulary(), public_tokenizers.path("piece_bpe_32k.model"), digest=True
     )
     return corpus_links(aligned).withColumnRenamed("groups", "groups_sha256")
+
+
+@query
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -33,7 +33,7 @@ from ratewave.llm.common import column, read_byte_bpe, slices
 MIN_CHUNK, MASK = 192, 0x1FF
 WINDOW = 16
 #: Chunk bytes that a task's cache holds before it starts anew.
-CACHE_BYTES = 24 << 20
+CACHE_BYTES = 8 << 20
 #: The pretoken pattern of this vocabulary family (a fixed value of the format).
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,14 +51,14 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             continue
         col = batch.column(batch.schema.get_field_index(text))
         kind = pa.large_binary() if pa.types.is_large_string(col.type) else pa.binary()
-        texts = [b or b"" for b in col.cast(kind).to_pylist()]
-        lo = size = 0
-        for i, b in enumerate(texts):
-            if size and size + len(b) > limit:
-                yield batch.slice(lo, i - lo), texts[lo:i]
-                lo, size = i, 0
-            size += len(b)
-        yield batch.slice(lo), texts[lo:]
+        ends = np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        lo = before = 0
+        while lo < len(ends):  # only the texts of one slice become Python objects
+            hi = max(lo + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            part = batch.slice(lo, hi - lo)
+            yield part, [b or b"" for b in col.slice(lo, hi - lo).cast(kind).to_pylist()]
+            lo, before = hi, int(ends[hi - 1])
+    pa.default_memory_pool().release_unused()  # the worker may stay
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:

@@ -1,7 +1,7 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 Each source is a queue of its documents in a shuffled order that depends only
-on the document id and a seed.  A document's virtual finish time is the number
+on a seed and each document's id, text and number among equal rows.  A document's virtual finish time is the number
 of its source's words up to and including it, over the source's target; the
 second pass over a source continues where the first ended.  Reading all queues
 by virtual finish time and stopping at the total budget gives every source its
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewave.llm.common import materialize, word_count
+from ratewave.operators.sampling import numbered_copies
 
 #: Weights by the rank of the source, repeating.
 WEIGHTS = (5, 2, 1)
@@ -39,10 +40,15 @@ def source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("z"))
 
 
-def queue_key(doc_id: Column, seed: str) -> Column:
-    """The shuffled order of a queue: a hash of the id, then the id."""
-    text = F.coalesce(doc_id.cast("string"), F.lit("-"))
-    return F.concat(F.md5(F.concat(F.lit(f"{seed}:"), text).cast("binary")), F.lit(":"), text)
+def row_name(doc_id: Column, text: Column, seed: str) -> Column:
+    """A digest of id and text: rows of one name and source are copies, taken in any order."""
+    digest = F.coalesce(F.md5(text.cast("binary")), F.lit("-"))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit(":"), digest).cast("binary"))
+
+
+def queue_key(name: Column, copy: Column) -> Column:
+    """The shuffled order of a queue: a digest of the row's name and its number among copies (from 1)."""
+    return F.md5(F.concat(name, F.lit(":"), copy.cast("string")).cast("binary"))
 
 
 def source_targets(
@@ -83,7 +89,7 @@ def _queues(slim: DataFrame, per: DataFrame) -> DataFrame:
     totals = rows.groupBy("skey", "block").agg(F.sum("size").alias("total"))
     before = Window.partitionBy("skey").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("skey", "block", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("skey", "block").orderBy("key")
+    inside = Window.partitionBy("skey", "block").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("inside", F.sum("size").over(inside)).join(starts, ["skey", "block"])
     return rows.select("skey", "key", "size", (F.col("start") + F.col("inside")).alias("upto"))
 
@@ -118,7 +124,7 @@ def _cuts(queue: DataFrame, budget: float) -> DataFrame:
             break
     whole = queue.where(F.col("finish") < low)
     last = queue.where((F.col("finish") >= low) & (F.col("finish") < high))
-    running = F.sum("size").over(Window.orderBy("finish", "key", "pass"))
+    running = F.sum("size").over(Window.orderBy("finish", "key", "pass").rowsBetween(Window.unboundedPreceding, 0))
     last = last.withColumn("running", running).where(F.col("running") <= left).drop("running")
     return whole.unionByName(last).groupBy("skey", "pass").agg(F.max("key").alias("cut"))
 
@@ -133,18 +139,17 @@ def plan_mix(
     max_repeats: int = MAX_REPEATS,
     seed: str = SEED,
 ) -> tuple[DataFrame, DataFrame]:
-    """(sizes, plan): a row (doc_id, skey, key, size) per document, and a row
+    """(sizes, plan): a row (doc_id, skey, name, key, size) per document, and a row
     (skey, source_size, target, cuts) per source; ``cuts`` has the last key taken
     in each pass over the source (NULL where a pass takes nothing)."""
-    slim = materialize(
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            source_key(F.col(source_col)).alias("skey"),
-            queue_key(F.col(id_col), seed).alias("key"),
-            word_count(F.col(text_col)).alias("size"),
-        ),
-        "mix_sizes",
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"),
+        source_key(F.col(source_col)).alias("skey"),
+        row_name(F.col(id_col), F.col(text_col), seed).alias("name"),
+        word_count(F.col(text_col)).alias("size"),
     )
+    key = queue_key(F.col("name"), F.col("_copy")).alias("key")
+    slim = materialize(numbered_copies(rows).select("doc_id", "skey", "name", key, "size"), "mix_sizes")
     per = materialize(source_targets(slim, weights, budget_ratio, max_repeats), "mix_sources")
     rows = materialize(_queues(slim, per), "mix_queues").join(per, "skey")
     passes = F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1)))
@@ -174,8 +179,8 @@ def mix_sources(docs: DataFrame, **options) -> DataFrame:
 
     ``taken`` is the number of words the mix takes from the row, repeats counted.
     A NULL or empty text has size 0 and takes nothing; a source without words has
-    target 0; NULL is a source of its own (the last).  Rows that share a source and
-    an id are queued at one place and are taken together.  An empty table gives no rows.
+    target 0; NULL is a source of its own (the last).  Repeated rows and ids, and rows
+    without an id, are queued each for itself.  An empty table gives no rows.
     """
     slim, plan = plan_mix(docs, **options)
     rows = slim.join(plan, "skey")
@@ -193,12 +198,41 @@ def mixed_documents(
 ) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as the mix takes it.
 
-    Rows without words cost nothing, so they are in no queue and in no mix.
+    Rows without words cost nothing, so they are in no queue and in no mix.  Which of several
+    rows of one source, id and text is taken may depend on their layout where they differ in
+    other columns.
     """
-    _, plan = plan_mix(docs, id_col, text_col, source_col, seed=seed, **options)
+    slim, plan = plan_mix(docs, id_col, text_col, source_col, seed=seed, **options)
     plan = plan.select(F.struct("skey", "cuts").alias("_mix_plan"))
     has_words = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     rows = docs.where(has_words).join(plan, source_key(F.col(source_col)) == F.col("_mix_plan.skey"))
-    times = _times(queue_key(F.col(id_col), seed), F.col("_mix_plan.cuts"))
+    rows = rows.withColumn("_mix_name", row_name(F.col(id_col), F.col(text_col), seed))
+    copies = slim.where("size > 0").groupBy("skey", "name").agg(F.count("*").alias("n")).where("n > 1")
+    copies = materialize(copies.select(F.struct("skey", "name").alias("_mix_many")), "mix_copies")
+    one = F.lit(1)
+    if not copies.isEmpty():
+        of_many = (F.col("_mix_plan.skey") == F.col("_mix_many.skey")) & (F.col("_mix_name") == F.col("_mix_many.name"))
+        many = rows.join(copies, of_many, "left_semi")
+        rows = rows.join(copies, of_many, "left_anti").withColumn("_mix_number", one).unionByName(_numbered(many))
+        one = F.col("_mix_number")
+    times = _times(queue_key(F.col("_mix_name"), one), F.col("_mix_plan.cuts"))
     rows = rows.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(0), times)))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with _mix_number: 1, 2, ... among those of one source and name.
+
+    Counted in each of the written table's partitions, then offset, so that no task numbers a
+    group as a whole."""
+    rows = materialize(rows.withColumn("_mix_row", F.monotonically_increasing_id()), "mix_repeated")
+    rows = rows.withColumn("_mix_part", F.shiftright("_mix_row", 33))
+    group = [F.col("_mix_plan.skey"), F.col("_mix_name")]
+    inside = F.row_number().over(Window.partitionBy(*group, "_mix_part").orderBy("_mix_row"))
+    counts = rows.groupBy(group[0].alias("s"), group[1].alias("m"), F.col("_mix_part").alias("p")).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("s", "m").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.struct("s", "m", "p", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")).alias("_mix_start"))
+    at = (group[0] == F.col("_mix_start.s")) & (group[1] == F.col("_mix_start.m")) & (F.col("_mix_part") == F.col("_mix_start.p"))
+    rows = rows.withColumn("_mix_inside", inside).join(starts, at)
+    rows = rows.withColumn("_mix_number", F.col("_mix_start.start") + F.col("_mix_inside"))
+    return rows.drop("_mix_row", "_mix_part", "_mix_inside", "_mix_start")

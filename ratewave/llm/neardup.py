@@ -104,8 +104,8 @@ def _shingles(texts: list[bytes]) -> list[np.ndarray]:
 
 
 def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n (set size), s1, s2 (signature), bands of every row; NULL and empty texts have
-    n = 0 and no bands."""
+    """doc_id, digest (of the text), n (set size), s1, s2 (signature), bands of every row; NULL
+    and empty texts have n = 0 and no bands."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches, "text", TEXT_SLICE):
@@ -116,16 +116,18 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             yield pa.RecordBatch.from_arrays(
                 [
                     column(part, "doc_id"),
+                    column(part, "digest"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([m[0] for m in marks], pa.int64()),
                     pa.array([m[1] for m in marks], pa.int64()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(bands))),
                 ],
-                names=["doc_id", "n", "s1", "s2", "bands"],
+                names=["doc_id", "digest", "n", "s1", "s2", "bands"],
             )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, bands array<long>")
+    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("digest"))
+    return rows.mapInArrow(run, "doc_id long, digest long, n long, s1 long, s2 long, bands array<long>")
 
 
 def _short(shingles: np.ndarray) -> np.ndarray:
@@ -278,11 +280,13 @@ def _open_pairs(mixed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(_compare_blocks(percent), "center long, member long").distinct()
 
 
-def link_classes(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def link_classes(members: DataFrame, texts: DataFrame, percent: int, links: DataFrame | None = None) -> DataFrame:
     """rep, comp of the classes that have a link to another; comp is the smallest rep reachable.
 
-    ``members``: (key, rep), the classes of each bucket with at least two."""
-    labels = links = tested = None
+    ``members``: (key, rep), the classes of each bucket with at least two.  ``links``: (a, b)
+    that hold anyway."""
+    tested = None
+    labels = None if links is None else components(links)
     for turn in range(STAR_ROUNDS + 1):
         if labels is None:
             now = members.withColumn("comp", F.col("rep"))
@@ -326,6 +330,40 @@ def link_classes(members: DataFrame, texts: DataFrame, percent: int) -> DataFram
     return labels
 
 
+def text_classes(rows: DataFrame, percent: int, by_id: bool) -> tuple[DataFrame, DataFrame]:
+    """(sketches, classes) of rows (doc_id, text): a row for each document, and a row (s1, s2,
+    first, comp) for each different set, with the smallest (doc_id, digest) that has it and the
+    number of its component.  ``by_id``: sets of one id are linked."""
+    sketches = materialize(sketch_documents(rows), "neardup_sketches")
+    usable = sketches.where("n > 0 AND doc_id IS NOT NULL")
+    first = F.min(F.struct("doc_id", "digest")).alias("first")
+    classes = usable.groupBy("s1", "s2").agg(first, F.first("bands").alias("bands"))
+    # a class's number: ids can't name classes, as one id may have several texts
+    classes = materialize(classes.withColumn("rep", F.monotonically_increasing_id()), "neardup_classes")
+    links = _links_by_id(usable, classes) if by_id else None
+    members = classes.select(F.explode("bands").alias("key"), "rep")
+    shared = members.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
+    members = materialize(members.join(shared.select("key"), "key"), "neardup_members")
+    wanted = classes.select("rep", "s1", "s2", "first.doc_id", "first.digest").join(members.select("rep").distinct(), "rep")
+    texts = rows.withColumn("digest", F.xxhash64("text")).join(wanted, ["doc_id", "digest"]).select("rep", "s1", "s2", "text")
+    texts = materialize(_with_registers(texts).dropDuplicates(["rep"]), "neardup_texts")
+    labels = link_classes(members, texts, percent, links)
+    numbered = classes.select("s1", "s2", "first", "rep").join(labels, "rep", "left")
+    return sketches, numbered.select("s1", "s2", "first", F.coalesce("comp", "rep").alias("comp"))
+
+
+def _links_by_id(usable: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """(a, b): classes of one id, linked to one of them; None without ids of several texts."""
+    sign = F.struct("s1", "s2")
+    several = usable.groupBy("doc_id").agg(F.min(sign).alias("lo"), F.max(sign).alias("hi")).where("lo <> hi").select("doc_id")
+    several = materialize(several, "neardup_ids")
+    if several.isEmpty():
+        return None
+    own = usable.join(several, "doc_id").select("doc_id", "s1", "s2").join(classes, ["s1", "s2"]).select("doc_id", "rep").distinct()
+    least = own.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    return materialize(own.join(least, "doc_id").where("a <> rep").select("a", F.col("rep").alias("b")), "neardup_id_links")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
 ) -> DataFrame:
@@ -339,24 +377,11 @@ def near_duplicates(
     table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketches = materialize(sketch_documents(rows), "neardup_sketches")
-    usable = sketches.where("n > 0 AND doc_id IS NOT NULL")
-    classes = materialize(
-        usable.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "neardup_classes"
-    )
-    members = classes.select(F.explode("bands").alias("key"), "rep")
-    shared = members.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
-    members = materialize(members.join(shared.select("key"), "key"), "neardup_members")
-    wanted = classes.select("rep", "s1", "s2").join(members.select("rep").distinct(), "rep")
-    texts = rows.join(wanted, rows["doc_id"] == wanted["rep"]).select("rep", "s1", "s2", "text")
-    texts = materialize(_with_registers(texts).dropDuplicates(["rep", "n"]), "neardup_texts")
-    labels = link_classes(members, texts, percent)
-    of_class = classes.select("s1", "s2", "rep").join(labels, "rep", "left").select(
-        "s1", "s2", F.coalesce("comp", "rep").alias("comp")
-    )
-    own = F.col("n") > 0
+    sketches, classes = text_classes(rows, percent, by_id=True)
+    names = classes.groupBy("comp").agg(F.min("first.doc_id").alias("id"))
+    of_class = classes.select("s1", "s2", "comp").join(names, "comp").select("s1", "s2", "id")
     out = sketches.select("doc_id", "n", "s1", "s2").join(of_class, ["s1", "s2"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.when(own, F.col("comp")).otherwise(F.col("doc_id")))
+    component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("id")).otherwise(F.col("doc_id")))
     return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -366,12 +391,19 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs``, all columns, that ``near_duplicates`` keeps: one of each group, of
-    repeated rows one; rows without an id all stay."""
-    found = near_duplicates(docs, id_col, text_col, percent)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    own = F.col(f"`{id_col}`").cast("long")
-    named = docs.where(own.isNotNull()).join(gone, own == F.col("_gone"), "left_anti")
-    order = Window.partitionBy(own).orderBy(F.col(f"`{text_col}`"))
-    named = named.withColumn("_copy", F.row_number().over(order)).where("_copy = 1").drop("_copy")
+    """The rows of ``docs``, all columns, but for near copies: of each group of linked texts the
+    one of the smallest id stays (of repeated rows of one id and text, one).  Texts are judged each
+    for itself, so two unlike texts of one id both stay; rows without an id all stay."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    sketches, classes = text_classes(rows, percent, by_id=False)
+    chosen = classes.groupBy("comp").agg(F.min("first").alias("chosen"))
+    of_class = classes.join(chosen, "comp").select("s1", "s2", "chosen")
+    mine = F.struct("doc_id", "digest")
+    out = sketches.where("n > 0 AND doc_id IS NOT NULL").join(of_class, ["s1", "s2"])
+    gone = out.where(mine != F.col("chosen")).select(mine.alias("_gone")).distinct()
+    own, digest = F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.col(f"`{text_col}`"))
+    named = docs.where(own.isNotNull()).withColumn("_digest", digest)
+    named = named.join(gone, (own == F.col("_gone.doc_id")) & (F.col("_digest") == F.col("_gone.digest")), "left_anti")
+    order = Window.partitionBy(own, "_digest").orderBy(F.lit(0))
+    named = named.withColumn("_copy", F.row_number().over(order)).where("_copy = 1").drop("_copy", "_digest")
     return named.unionByName(docs.where(own.isNull()))

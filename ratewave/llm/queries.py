@@ -37,11 +37,13 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op1_mix_sources"] = r"""
-WITH d AS (
+WITH r AS (
   SELECT doc_id, coalesce('s' || source, 'z') AS skey,
-         md5('mix-42:' || coalesce(doc_id::VARCHAR, '-')) || ':' || coalesce(doc_id::VARCHAR, '-') AS key,
+         md5('mix-42:' || coalesce(doc_id::VARCHAR, '-') || ':' || coalesce(md5(text), '-')) AS name,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents),
+d AS (
+  SELECT doc_id, skey, size, md5(name || ':' || row_number() OVER (PARTITION BY skey, name)) AS key FROM r),
 s AS (SELECT skey, sum(size)::BIGINT AS source_size FROM d GROUP BY skey),
 w AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY skey) - 1) % 3) + 1] AS weight,
              source_size * 2 AS ceiling FROM s),
@@ -55,10 +57,10 @@ v AS (
 t AS (SELECT skey, source_size, least(ceiling::DOUBLE, max(level) OVER () * weight) AS target FROM v),
 q AS (
   SELECT d.skey, d.key, d.size, t.source_size, t.target,
-         sum(d.size) OVER (PARTITION BY d.skey ORDER BY d.key)::BIGINT AS upto
+         sum(d.size) OVER (PARTITION BY d.skey ORDER BY d.key ROWS UNBOUNDED PRECEDING)::BIGINT AS upto
   FROM d JOIN t ON d.skey = t.skey WHERE d.size > 0),
 p AS (SELECT skey, key, size, pass, (pass * source_size + upto) / target AS finish FROM q, (VALUES (0), (1)) e(pass)),
-c AS (SELECT *, sum(size) OVER (ORDER BY finish, key, pass)::BIGINT AS running FROM p),
+c AS (SELECT *, sum(size) OVER (ORDER BY finish, key, pass ROWS UNBOUNDED PRECEDING)::BIGINT AS running FROM p),
 k AS (
   SELECT skey, pass, max(key) AS cut FROM c
   WHERE running <= (SELECT sum(source_size) FROM s) * 1.5::DOUBLE GROUP BY skey, pass)

@@ -288,8 +288,8 @@ def remove_repeats(
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     keyed = rows.withColumn("tie", F.coalesce(F.hash("text"), F.lit(0)))
-    # a row without an id has windows like any other
-    keyed = keyed.withColumn("own", F.coalesce(F.col("doc_id"), F.lit(-(2**63))))
+    # a row without an id has windows like any other, and is named by its text: 96 bits with the tie
+    keyed = keyed.withColumn("own", F.coalesce(F.col("doc_id"), F.xxhash64("text")))
     basis = keyed.where(F.col("text").isNotNull()).select(F.col("own").alias("doc_id"), "tie", "text")
     spans = repeated_spans(basis, window, gram, heavy)
 

@@ -58,6 +58,9 @@ def _score_block(k: int):
             order = np.argsort(ids, kind="stable")
             ids, postings = ids[order], np.ascontiguousarray(weights[order].T)
             q_ids, q_weights, _ = _dense(queries)
+            most = [np.abs(x.astype(np.float64)).max(initial=0) for x in (postings, q_weights)]
+            if most[0] * most[1] * max(q_weights.shape[1], 1) >= 2.0**63:
+                raise OverflowError("scores may be beyond 64 bits")
             for q, row in zip(q_ids, q_weights, strict=True):
                 scores = np.zeros(len(ids), dtype=np.int64)
                 for term in np.flatnonzero(row[: len(postings)]):
@@ -76,6 +79,11 @@ def _score_block(k: int):
     return run
 
 
+def _whole(x: Column) -> Column:
+    fits = F.abs(x) < F.lit(2.0**63)
+    return F.when(fits, F.floor(x).cast("long")).otherwise(F.raise_error(F.lit("a component beyond 64 bits")).cast("long"))
+
+
 def quantized(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
     """vec_id, weights: floor(scale * component) of every usable vector."""
     finite = F.forall(
@@ -85,7 +93,7 @@ def quantized(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> Data
         vectors.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & finite)
         .select(
             F.col(id_col).cast("long").alias("vec_id"),
-            F.transform(F.col(vec_col), lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("weights"),
+            F.transform(F.col(vec_col), lambda x: _whole(x.cast("double") * scale)).alias("weights"),
         )
     )
 
@@ -105,7 +113,8 @@ def exact_topk(
     vector has weight 0 in its missing dimensions; the empty vector scores 0.  Rows
     with the query's own id are not its candidates; other repeated rows are all
     candidates, and a query row given twice is answered once.  Ties go to the smaller
-    id.  An empty table gives no rows.  Scores are 64-bit integers.
+    id.  An empty table gives no rows.  Scores are 64-bit integers; vectors whose scores might be
+    beyond that raise an error.
     """
     rows = quantized(vectors, id_col, vec_col, scale)
     queries = rows.where(is_query).distinct()

@@ -12,6 +12,7 @@ from ratewave.models.als import (
     load_id_maps,
     load_model,
     predict,
+    prepare_item_factors,
     recommend,
     rmse_frame,
     save_model,
@@ -38,6 +39,7 @@ __all__ = [
     "load_model",
     "mean_baseline_rmse",
     "predict",
+    "prepare_item_factors",
     "recommend",
     "recommend_exact",
     "rmse_frame",

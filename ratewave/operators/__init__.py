@@ -10,7 +10,7 @@ from ratewave.operators.serving import (
     result_counters,
     top_trending,
 )
-from ratewave.operators.topk import topk_dot
+from ratewave.operators.topk import ItemBlocks, block_visits, prepare_items, topk_blocks, topk_dot
 from ratewave.operators.windows import (
     flatten_window,
     item_window_stats,
@@ -34,6 +34,10 @@ __all__ = [
     "recs_counters",
     "result_counters",
     "top_trending",
+    "ItemBlocks",
+    "block_visits",
+    "prepare_items",
+    "topk_blocks",
     "topk_dot",
     "flatten_window",
     "item_window_stats",

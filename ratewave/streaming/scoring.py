@@ -18,9 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewave.functions.scores import lag_millis, lag_seconds
-from ratewave.models.als import recommend, source_item_factors
-from ratewave.models.exact import item_factor_stats
-from ratewave.session import materialize
+from ratewave.models.als import prepare_item_factors, recommend
+from ratewave.operators.topk import ItemBlocks
 from ratewave.sources.files import read_result_dir
 from ratewave.streaming.sinks import write_batch_partition
 
@@ -43,8 +42,7 @@ def batch_recommendations(
     batch: DataFrame,
     k: int = 5,
     id_maps: dict[str, DataFrame] | None = None,
-    items: DataFrame | None = None,
-    item_stats: tuple[int, int] | None = None,
+    items: ItemBlocks | None = None,
 ) -> DataFrame:
     """Top-k for the distinct users seen in the batch (known users only).
 
@@ -52,7 +50,7 @@ def batch_recommendations(
     translated to the model's and the answer is in source ids.
     """
     users = batch.select("user_id").distinct()
-    return recommend(model, users, k, id_maps=id_maps, items=items, item_stats=item_stats)
+    return recommend(model, users, k, id_maps=id_maps, items=items)
 
 
 def make_batch_handler(
@@ -66,11 +64,8 @@ def make_batch_handler(
     """``foreachBatch`` callback writing ``metrics/`` and (with a model) ``recs/``."""
 
     # The model is fixed for the life of the query: its item factors are translated,
-    # written and measured once.
-    items = item_stats = None
-    if model is not None:
-        items = materialize(source_item_factors(model, id_maps or {}), "item_factors")
-        item_stats = item_factor_stats(items)
+    # packed and written once.
+    items = prepare_item_factors(model, id_maps) if model is not None else None
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -86,7 +81,7 @@ def make_batch_handler(
                 f"{out_dir}/metrics", batch_id, n_rows=1,
             )
             if model is not None:
-                recs = batch_recommendations(model, cached, k, id_maps, items, item_stats)
+                recs = batch_recommendations(model, cached, k, id_maps, items)
                 path = write_batch_partition(recs, f"{out_dir}/recs", batch_id, n_rows=row["n_events"])
                 if show_rows:  # what was written; computing it again would be a second top-k
                     read_result_dir(cached.sparkSession, path, recs.schema).show(show_rows, truncate=False)

@@ -279,3 +279,4 @@ FROM w, m WHERE NOT late OR window_end > mark
 GROUP BY window_start, window_end, item_id"""
 
 ORACLE_SQL["stream_restart"] = ORACLE_SQL["stream_item_window_final"]
+ORACLE_SQL["stream_item_window_panes"] = ORACLE_SQL["stream_item_window_final"]

@@ -7,6 +7,8 @@ root, waits for the end, and returns a batch read of what the sink wrote.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +64,12 @@ def q_stream_item_window_final_30s(spark: SparkSession, sf_dir: str) -> DataFram
     return rounded(read_result_dir(spark, f"{out}/trending", TRENDING_OUT).drop("batch_id"), DIGITS)
 
 
+def q_stream_item_window_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows merged from panes by two chained stateful aggregations."""
+    out = _final_run(spark, sf_dir, replace(WIDE_SPEC, panes=True), "panes")
+    return rounded(read_result_dir(spark, f"{out}/trending", TRENDING_OUT).drop("batch_id"), DIGITS)
+
+
 def q_stream_alerts_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _final_run(spark, sf_dir)
     return rounded(read_result_dir(spark, f"{out}/alerts", ALERTS_OUT).drop("batch_id"), DIGITS)
@@ -185,6 +193,7 @@ STREAM_QUERIES = {
     "served_top_trending": q_served_top_trending,
     "served_latest_alerts": q_served_latest_alerts,
     "stream_item_window_final": q_stream_item_window_final,
+    "stream_item_window_panes": q_stream_item_window_panes,
     "stream_item_window_final_30s": q_stream_item_window_final_30s,
     "stream_user_window_final": q_stream_user_window_final,
     "stream_alerts_final": q_stream_alerts_final,

@@ -45,6 +45,9 @@ class WindowSpec:
     size: str = "30 seconds"
     slide: str = "10 seconds"
     watermark: str = "1 minute"
+    #: Final windows from panes: fewer rows in state and shuffle; a late event counts only
+    #: while its pane (of slide width) is open.  Append mode only.
+    panes: bool = False
 
 
 REFERENCE_SPEC = WindowSpec()
@@ -55,14 +58,14 @@ WINDOW_TRIGGER = "10 seconds"
 RECS_TRIGGER = "5 seconds"
 
 
-def trending_stream(events: DataFrame, spec: WindowSpec) -> DataFrame:
+def trending_stream(events: DataFrame, spec: WindowSpec, final: bool = True) -> DataFrame:
     wm = with_event_watermark(events, "event_time", spec.watermark)
-    return flatten_window(trending(wm, spec.size, spec.slide))
+    return flatten_window(trending(wm, spec.size, spec.slide, panes=spec.panes and final))
 
 
-def user_stream(events: DataFrame, spec: WindowSpec) -> DataFrame:
+def user_stream(events: DataFrame, spec: WindowSpec, final: bool = True) -> DataFrame:
     wm = with_event_watermark(events, "event_time", spec.watermark)
-    return flatten_window(user_window_counts(wm, spec.size, spec.slide))
+    return flatten_window(user_window_counts(wm, spec.size, spec.slide, panes=spec.panes and final))
 
 
 def _fanout(
@@ -124,7 +127,7 @@ def start_window_updates(
 ) -> StreamingQuery:
     """Every window change: ``trending_updates/`` and ``alert_updates/``."""
     return start_query(
-        trending_stream(events, spec),
+        trending_stream(events, spec, final=False),
         name=name,
         sink="foreach_batch",
         mode="update",
@@ -163,7 +166,7 @@ def start_user_updates_console(
 ) -> StreamingQuery:
     """User-window changes printed on the driver (update mode, console)."""
     return start_query(
-        user_stream(events, spec),
+        user_stream(events, spec, final=False),
         name=name,
         sink="console",
         mode="update",

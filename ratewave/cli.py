@@ -81,17 +81,16 @@ def _recommend(spark, a) -> int:
 
 
 def _report(spark, a) -> int:
-    from ratewave.operators.serving import first_recs, latest_alerts, recs_counters, result_counters, top_trending
-    from ratewave.schemas import RECS_OUT, TRENDING_OUT
+    from ratewave.operators.serving import first_recs, top_trending
+    from ratewave.schemas import RECS_OUT
     from ratewave.sources.files import read_result_dir
+    from ratewave.streaming.summaries import latest_stored_alerts, stored_best, stored_counters, stored_recs_counters
 
-    trending = read_result_dir(spark, f"{a.out}/trending", TRENDING_OUT).drop("batch_id")
-    result_counters(trending).show(truncate=False)
-    recs = read_result_dir(spark, f"{a.out}/recs", RECS_OUT)
-    recs_counters(recs).show(truncate=False)
-    first_recs(recs, a.recs).show(a.recs, truncate=False)
-    top_trending(trending, a.top).show(a.top, truncate=False)
-    latest_alerts(trending, a.alerts).show(a.alerts, truncate=False)
+    stored_counters(spark, a.out).show(truncate=False)
+    stored_recs_counters(spark, a.out).show(truncate=False)
+    first_recs(read_result_dir(spark, f"{a.out}/recs", RECS_OUT), a.recs).show(a.recs, truncate=False)
+    top_trending(stored_best(spark, a.out), a.top).show(a.top, truncate=False)
+    latest_stored_alerts(spark, a.out, a.alerts).show(a.alerts, truncate=False)
     return 0
 
 

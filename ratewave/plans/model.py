@@ -36,7 +36,7 @@ from ratewave.operators.sampling import (
     split_part,
     unit_hash,
 )
-from ratewave.operators.serving import first_recs, recs_counters
+from ratewave.operators.serving import first_recs
 from ratewave.operators.topk import topk_dot
 from ratewave.schemas import RECS_OUT
 from ratewave.session import materialize, shared_dir
@@ -44,6 +44,7 @@ from ratewave.sources.files import id_frame, read_ratings_text, read_result_dir
 from ratewave.sources.tables import events_stream, events_to_ratings, ratings, read_table
 from ratewave.streaming.app import start_recommendations
 from ratewave.streaming.sinks import AVAILABLE_NOW, run_to_end
+from ratewave.streaming.summaries import stored_recs_counters
 
 DIGITS = 6
 # train/test split and its seed, Top-k length, the listed users of the spot check.
@@ -316,19 +317,19 @@ def q_topk_dot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("query_id", "item_id", "rank", F.round("score", DIGITS).alias("score"))
 
 
-def _streamed_recs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, object, dict]:
-    """(recommendations written per micro-batch of the streamed events, model, id maps)."""
+def _streamed_recs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, object, dict, str]:
+    """(recommendations written per micro-batch of the streamed events, model, id maps, the folder)."""
     _, model, maps = _model_on_all(spark, sf_dir)
     events = events_to_ratings(events_stream(spark, sf_dir))
     out = shared_dir(spark, "runs", "recs", unique=True)
     run_to_end(start_recommendations(events, out, model, TOP_K, AVAILABLE_NOW, id_maps=maps))
-    return read_result_dir(spark, f"{out}/recs", RECS_OUT), model, maps
+    return read_result_dir(spark, f"{out}/recs", RECS_OUT), model, maps, out
 
 
 def q_stream_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream the events; per batch, Top-5 for the batch's known users: each user's list, and
     whether its items and scores are those of the batch answer for that user."""
-    recs, model, maps = _streamed_recs(spark, sf_dir)
+    recs, model, maps, _ = _streamed_recs(spark, sf_dir)
     users = read_table(spark, sf_dir, "events").select("user_id").distinct()
     want = recommend(model, users, TOP_K, id_maps=maps).withColumnRenamed("recommendations", "want")
     pair = lambda c: F.transform(c, lambda r: F.struct(r["item_id"], F.round(r["rating"], 4)))
@@ -339,8 +340,8 @@ def q_stream_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_served_recs_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counter tiles over the stored recommendations."""
-    return recs_counters(_streamed_recs(spark, sf_dir)[0])
+    """Counter tiles over the stored recommendations, from each batch's count."""
+    return stored_recs_counters(spark, _streamed_recs(spark, sf_dir)[3])
 
 
 def q_served_first_recs(spark: SparkSession, sf_dir: str) -> DataFrame:

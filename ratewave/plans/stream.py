@@ -12,7 +12,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewave.operators.serving import best_per_key, latest_alerts, result_counters, top_trending
+from ratewave.operators.serving import best_per_key, top_trending
 from ratewave.operators.windows import rounded
 from ratewave.schemas import ALERTS_OUT, METRICS_OUT, TRENDING_OUT, TRENDING_SCHEMA
 from ratewave.schemas import USER_WINDOWS_OUT as USERS_OUT
@@ -28,6 +28,12 @@ from ratewave.streaming.app import (
     start_window_updates,
 )
 from ratewave.streaming.sinks import AVAILABLE_NOW, run_to_end
+from ratewave.streaming.summaries import (
+    latest_stored_alerts,
+    stored_best,
+    stored_counters,
+    stored_windows,
+)
 
 DIGITS = 6
 WIDE_SPEC = WindowSpec(size="6 hours", slide="2 hours", watermark="1 minute")
@@ -55,19 +61,19 @@ def _final_run(spark: SparkSession, sf_dir: str, spec: WindowSpec = WIDE_SPEC, n
 
 def q_stream_item_window_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _final_run(spark, sf_dir)
-    return rounded(read_result_dir(spark, f"{out}/trending", TRENDING_OUT).drop("batch_id"), DIGITS)
+    return rounded(stored_windows(spark, out).drop("batch_id"), DIGITS)
 
 
 def q_stream_item_window_final_30s(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed windows at the reference parameters: 30 s / 10 s, 1 minute watermark."""
     out = _final_run(spark, sf_dir, REFERENCE_SPEC, "final30")
-    return rounded(read_result_dir(spark, f"{out}/trending", TRENDING_OUT).drop("batch_id"), DIGITS)
+    return rounded(stored_windows(spark, out).drop("batch_id"), DIGITS)
 
 
 def q_stream_item_window_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed windows merged from panes by two chained stateful aggregations."""
     out = _final_run(spark, sf_dir, replace(WIDE_SPEC, panes=True), "panes")
-    return rounded(read_result_dir(spark, f"{out}/trending", TRENDING_OUT).drop("batch_id"), DIGITS)
+    return rounded(stored_windows(spark, out).drop("batch_id"), DIGITS)
 
 
 def q_stream_alerts_final(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,23 +111,22 @@ def q_batch_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_served_top_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Top 10 trending items, read back from the stream's stored windows."""
+    """Top 10 trending items of the stream's stored windows, from each batch's best rows."""
     out = _final_run(spark, sf_dir)
-    stored = read_result_dir(spark, f"{out}/trending", TRENDING_OUT).drop("batch_id")
-    return top_trending(rounded(stored, DIGITS), n=10)
+    return top_trending(rounded(stored_best(spark, out), DIGITS), n=10)
 
 
 def q_served_latest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest 20 alerts filtered from the stored windows (pushed to the scan)."""
+    """Latest 20 alerts of the stored windows, read backward by date (threshold pushed to the scan)."""
     out = _final_run(spark, sf_dir)
-    return rounded(latest_alerts(read_result_dir(spark, f"{out}/trending", TRENDING_OUT), n=20), DIGITS)
+    return rounded(latest_stored_alerts(spark, out, n=20), DIGITS)
 
 
 def q_served_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counter tiles (windows seen, distinct items, alerting windows) over
-    the stream's stored windows."""
-    out = _final_run(spark, sf_dir)
-    return result_counters(read_result_dir(spark, f"{out}/trending", TRENDING_OUT))
+    """Counter tiles (windows seen, distinct items, alerting windows) of the stream's stored
+    windows, merged from each batch's summary.  The table comes in four batches."""
+    start = lambda ev, out: start_final_windows(ev, out, WIDE_SPEC, AVAILABLE_NOW)
+    return stored_counters(spark, _in_ranges(spark, sf_dir, "counters", start))
 
 
 # The events are dealt to so many files by equal ranges of time; every tenth
@@ -182,7 +187,7 @@ def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     after each range: the answer of an uninterrupted one."""
     start = lambda ev, out: start_final_windows(ev, out, WIDE_SPEC, AVAILABLE_NOW)
     out = _in_ranges(spark, sf_dir, "restart", start)
-    return rounded(read_result_dir(spark, f"{out}/trending", TRENDING_OUT).drop("batch_id"), DIGITS)
+    return rounded(stored_windows(spark, out).drop("batch_id"), DIGITS)
 
 
 STREAM_QUERIES = {

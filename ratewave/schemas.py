@@ -40,6 +40,15 @@ BATCH_ID = T.StructField("batch_id", T.LongType())
 
 # Stored outputs of the streaming app (per-batch folders add ``batch_id``).
 TRENDING_OUT = T.StructType([*TRENDING_SCHEMA.fields, BATCH_ID])
+# Closed windows are also filed by the date of their end.
+WINDOWS_OUT = T.StructType([*TRENDING_OUT.fields, T.StructField("window_date", T.DateType())])
+# What the app keeps beside them, per batch.
+WINDOW_COUNTS_OUT = T.StructType([T.StructField("n_windows", T.LongType()), T.StructField("n_alerts", T.LongType()), BATCH_ID])
+ITEM_BITMAPS_OUT = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("items", T.BinaryType()), BATCH_ID])
+BEST_OUT = T.StructType(
+    [TRENDING_SCHEMA[c] for c in ("item_id", "trending_score", "window_start", "window_end", "avg_rating", "n_ratings")] + [BATCH_ID]
+)
+RECS_COUNTS_OUT = T.StructType([T.StructField("n_recs", T.LongType()), BATCH_ID])
 ALERTS_OUT = T.StructType(
     [
         T.StructField("type", T.StringType()),

@@ -38,6 +38,7 @@ from ratewave.streaming.sinks import (
     start_query,
     write_batch_partition,
 )
+from ratewave.streaming.summaries import DATE, dated, write_summaries
 
 
 @dataclass(frozen=True)
@@ -75,14 +76,21 @@ def _fanout(
     min_avg: float,
     min_n: int,
     console_rows: int = 0,
+    closed: bool = False,
 ):
+    """``closed``: the rows are final, so they are filed by date and summed up for readers."""
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             n = cached.count()
             if not n:
                 return
-            write_batch_partition(cached, f"{out_dir}/{rows_name}", batch_id, n_rows=n)
+            if closed:
+                write_batch_partition(dated(cached), f"{out_dir}/{rows_name}", batch_id, n_rows=n, partition_by=[DATE])
+                write_summaries(cached, out_dir, batch_id, min_avg, min_n)
+            else:
+                write_batch_partition(cached, f"{out_dir}/{rows_name}", batch_id, n_rows=n)
             alerts = threshold_alerts(cached, min_avg, min_n)
             write_batch_partition(alerts, f"{out_dir}/{alerts_name}", batch_id, n_rows=n)
             if console_rows:
@@ -103,7 +111,8 @@ def start_final_windows(
     min_n: int = DEFAULT_MIN_N,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Closed windows once each: ``trending/`` and ``alerts/`` by batch."""
+    """Closed windows once each: ``trending/`` and ``alerts/`` by batch, and the summaries that
+    readers merge (:mod:`ratewave.streaming.summaries`)."""
     return start_query(
         trending_stream(events, spec),
         name=name,
@@ -111,7 +120,7 @@ def start_final_windows(
         mode="append",
         checkpoint=f"{out_dir}/_checkpoints/final",
         trigger=trigger,
-        batch_fn=_fanout(out_dir, "trending", "alerts", min_avg, min_n),
+        batch_fn=_fanout(out_dir, "trending", "alerts", min_avg, min_n, closed=True),
     )
 
 

@@ -22,6 +22,7 @@ from ratewave.models.als import prepare_item_factors, recommend
 from ratewave.operators.topk import ItemBlocks
 from ratewave.sources.files import read_result_dir
 from ratewave.streaming.sinks import write_batch_partition
+from ratewave.streaming.summaries import write_recs_counts
 
 log = logging.getLogger("ratewave.streaming")
 
@@ -83,8 +84,10 @@ def make_batch_handler(
             if model is not None:
                 recs = batch_recommendations(model, cached, k, id_maps, items)
                 path = write_batch_partition(recs, f"{out_dir}/recs", batch_id, n_rows=row["n_events"])
+                written = read_result_dir(cached.sparkSession, path, recs.schema)
+                write_recs_counts(written, out_dir, batch_id)
                 if show_rows:  # what was written; computing it again would be a second top-k
-                    read_result_dir(cached.sparkSession, path, recs.schema).show(show_rows, truncate=False)
+                    written.show(show_rows, truncate=False)
         finally:
             cached.unpersist()
 

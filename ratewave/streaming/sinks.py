@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -97,6 +97,7 @@ def write_batch_partition(
     fmt: str = "parquet",
     n_rows: int | None = None,
     rows_per_file: int = ROWS_PER_FILE,
+    partition_by: Sequence[str] = (),
 ) -> str:
     """Put the rows of one batch at ``root/batch_id=<id>``, in place of any earlier ones:
     replaying a batch replaces its rows, where an append would duplicate them.
@@ -105,14 +106,14 @@ def write_batch_partition(
     finished folder is renamed, so no reader meets half a batch.  A batch without rows has
     no folder.  With ``n_rows`` (an upper bound the caller already knows) the finished rows
     are dealt to about ``rows_per_file`` rows per file; only the writing is that narrow, not
-    what makes the rows.
+    what makes the rows.  ``partition_by``: columns that become folders inside the batch's.
     """
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/batch_id={int(batch_id)}"
     if n_rows is not None:
         df = df.repartition(max(1, math.ceil(n_rows / rows_per_file)))
     new = f"{root.rstrip('/')}/_writing-{int(batch_id)}-{uuid.uuid4().hex}"
-    df.write.format(fmt).save(new)
+    df.write.format(fmt).partitionBy(*partition_by).save(new)
     remove_folder(spark, path)
     if spark.read.format(fmt).schema(df.schema).load(new).isEmpty():
         remove_folder(spark, new)

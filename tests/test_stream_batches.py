@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF01
 from ratewave.operators import best_per_key, flatten_window, rounded, trending
 from ratewave.schemas import TRENDING_OUT
+from ratewave.streaming.summaries import stored_windows
 from ratewave.sources.files import read_result_dir
 from ratewave.sources.tables import events_to_ratings, read_table
 from ratewave.streaming.app import start_final_windows, start_window_updates
@@ -54,7 +55,7 @@ def test_many_batches_equal_batch_result(spark, tmp_dir):
     wm = events_to_ratings(read_table(spark, SF01, "events")).agg(F.max("event_time")).first()[0]
     closed = batch.filter(F.col("window_end").cast("timestamp") <= F.lit(wm) - F.expr("INTERVAL 1 MINUTE"))
 
-    final = rounded(read_result_dir(spark, f"{out_f}/trending", TRENDING_OUT).drop("batch_id"), 6)
+    final = rounded(stored_windows(spark, out_f).drop("batch_id"), 6)
     assert final.count() == closed.count()
     assert final.exceptAll(closed).count() == 0
 

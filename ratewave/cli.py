@@ -21,7 +21,8 @@ from ratewave.streaming.app import RECS_TRIGGER, WINDOW_TRIGGER
 
 
 def _train(spark, a) -> int:
-    from ratewave.models.als import BASELINE, RETUNE, RMSE_GATE, gated_retune, save_model, with_int_ids
+    from ratewave.models.als import BASELINE, RETUNE, RMSE_GATE, gated_retune, with_int_ids
+    from ratewave.models.versions import publish_model
     from ratewave.operators.cleaning import clean_ratings
     from ratewave.operators.sampling import SPLIT_KEYS, hash_split, numbered_copies
     from ratewave.session import materialize
@@ -35,14 +36,13 @@ def _train(spark, a) -> int:
     model, report = gated_retune(train, test, BASELINE, [RETUNE], RMSE_GATE, keep_best=a.keep_best, **blocks)
     for row in report:
         print(json.dumps(row))
-    save_model(model, a.model, maps)
-    print(f"model saved to {a.model}")
+    print(f"model saved to {publish_model(model, a.model, maps)}")
     return 0
 
 
 def _stream(spark, a) -> int:
     from ratewave.functions.parse import parse_events
-    from ratewave.models.als import load_id_maps, load_model
+    from ratewave.models.versions import LatestModel
     from ratewave.sources.streams import read_event_files, read_kafka
     from ratewave.streaming.app import WindowSpec, start_app
 
@@ -53,13 +53,14 @@ def _stream(spark, a) -> int:
     else:
         raw = read_event_files(spark, a.files, max_files_per_trigger=a.max_files_per_trigger)
     events = parse_events(raw)
-    model = load_model(a.model) if a.model else None
-    id_maps = load_id_maps(spark, a.model) if a.model else None
+    latest = LatestModel(spark, a.model) if a.model else None
+    if latest:
+        latest.get()  # a folder without a model fails here, not in the first batch
     spec = WindowSpec(a.size, a.slide, a.watermark)
     trigger = "available_now" if a.available_now else a.trigger
     recs_trigger = "available_now" if a.available_now else a.recs_trigger
-    queries = start_app(events, a.out, model, spec, trigger, recs_trigger, console_rows=a.console_rows,
-                        id_maps=id_maps)
+    queries = start_app(events, a.out, None, spec, trigger, recs_trigger, console_rows=a.console_rows,
+                        latest=latest)
     if a.available_now:
         for q in queries.values():
             q.awaitTermination()
@@ -70,12 +71,14 @@ def _stream(spark, a) -> int:
 
 def _recommend(spark, a) -> int:
     from ratewave.models.als import load_id_maps, load_model
+    from ratewave.models.versions import current_model
     from ratewave.sources.files import id_frame
     from ratewave.streaming.scoring import batch_recommendations
 
-    maps = load_id_maps(spark, a.model)
+    path = current_model(spark, a.model)
+    maps = load_id_maps(spark, path)
     users = id_frame(spark, a.users)
-    recs = batch_recommendations(load_model(a.model), users, a.k, maps)
+    recs = batch_recommendations(load_model(path), users, a.k, maps)
     recs.orderBy("user_id").show(len(a.users), truncate=False)
     return 0
 

@@ -23,6 +23,7 @@ from ratewave.models.als import (
 )
 from ratewave.models.baseline import mean_baseline_rmse
 from ratewave.models.exact import recommend_exact
+from ratewave.models.versions import LatestModel, current_model, model_versions, publish_model
 
 __all__ = [
     "BASELINE",
@@ -42,6 +43,10 @@ __all__ = [
     "prepare_item_factors",
     "recommend",
     "recommend_exact",
+    "LatestModel",
+    "current_model",
+    "model_versions",
+    "publish_model",
     "rmse_frame",
     "save_model",
     "source_item_factors",

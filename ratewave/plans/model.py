@@ -22,11 +22,11 @@ from ratewave.models.als import (
     predict,
     recommend,
     rmse_frame,
-    save_model,
     to_source_pairs,
     with_int_ids,
 )
 from ratewave.models.baseline import mean_baseline_rmse
+from ratewave.models.versions import publish_model
 from ratewave.operators.cleaning import clean_ratings
 from ratewave.operators.sampling import (
     hash_split,
@@ -84,9 +84,12 @@ def portable_unit(seed: int) -> Column:
     return modular_unit_hash(PORTABLE_KEYS, seed)
 
 
-def portable_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dict]:
-    """(train, test, id maps): split on source ids, which another engine can do too."""
-    source = clean(spark, sf_dir).withColumn("_part", split_part(SPLIT, portable_unit(SPLIT_SEED)))
+def portable_split(spark: SparkSession, sf_dir: str, rating: Column | None = None) -> tuple[DataFrame, DataFrame, dict]:
+    """(train, test, id maps): split on source ids, which another engine can do too.  ``rating``:
+    in place of the table's."""
+    source = clean(spark, sf_dir)
+    source = source if rating is None else source.withColumn("rating", rating)
+    source = source.withColumn("_part", split_part(SPLIT, portable_unit(SPLIT_SEED)))
     table, maps = with_int_ids(materialize(source, "ratings"), ["user_id", "item_id"])
     return *(table.where(F.col("_part") == i).drop("_part") for i in (0, 1)), maps
 
@@ -204,6 +207,32 @@ def q_als_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_source_pairs(pred, maps)
 
 
+# Fixed values of the planted ratings: 3 plus or minus 1 plus or minus 0.5, by two signs of user
+# and item, so of rank 3; the RMSE that a fit must stay below (the mean alone has 1.1), and the
+# share of recommended items that must be of the best kind (chance: a quarter).
+PLANTED_RMSE, PLANTED_SHARE = 0.5, 0.75
+
+
+def planted_rating(user: Column, item: Column) -> Column:
+    sign = lambda c, k: F.when(F.floor(c / F.lit(k)) % 2 == 0, 1.0).otherwise(-1.0)
+    return F.lit(3.0) + sign(user, 1) * sign(item, 1) + F.lit(0.5) * sign(user, 2) * sign(item, 2)
+
+
+def q_als_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit of ratings of known low rank on the real user and item pairs: how many test pairs are
+    predicted, whether their RMSE is low, and whether the recommended items are those that the
+    users like best.  A fit that has learned nothing fails both."""
+    train, test, maps = portable_split(spark, sf_dir, planted_rating(F.col("user_id"), F.col("item_id")))
+    model = fit_als(train, BASELINE)
+    pred = rmse_frame(predict(model, test)).select("n_pairs", (F.col("rmse") < PLANTED_RMSE).cast("int").alias("rmse_is_low"))
+    of_users = {c: m for c, m in maps.items() if c == "user_id"}
+    recs = recommend(model, to_source_pairs(train.select("user_id").distinct(), of_users), TOP_K, id_maps=maps)
+    liked = recs.select("user_id", F.explode("recommendations.item_id").alias("item_id"))
+    best = F.avg((planted_rating(F.col("user_id"), F.col("item_id")) == 4.5).cast("int"))
+    share = liked.agg((best >= PLANTED_SHARE).cast("int"))
+    return pred.select("n_pairs", "rmse_is_low", share.scalar().alias("best_items_found"))
+
+
 def _model_on_all(spark: SparkSession, sf_dir: str):
     r, maps = clean_table_with_maps(spark, sf_dir)
     return r, fit_als(r, BASELINE), maps
@@ -281,7 +310,7 @@ def q_als_gated_retune(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded model predicts the same, and the evaluator and the plain aggregate agree."""
     train, test, maps = portable_split(spark, sf_dir)
     model, report = gated_retune(train, test, BASELINE, [RETUNE], RMSE_GATE)
-    path = save_model(model, shared_dir(spark, "models", "als", unique=True), maps)
+    path = publish_model(model, shared_dir(spark, "models", "als", unique=True), maps)
     again, again_maps = load_model(path), load_id_maps(spark, path)
     keys = ["user_id", "item_id", "timestamp", "rating"]
     before, after = (
@@ -363,6 +392,7 @@ MODEL_QUERIES = {
     "rmse_fixed": q_rmse_fixed,
     "als_predict": q_als_predict,
     "als_predict_coverage": q_als_predict_coverage,
+    "als_planted": q_als_planted,
     "als_recommend": q_als_recommend,
     "als_recommend_invariants": q_als_recommend_invariants,
     "als_gated_retune": q_als_gated_retune,

@@ -280,3 +280,10 @@ GROUP BY window_start, window_end, item_id"""
 
 ORACLE_SQL["stream_restart"] = ORACLE_SQL["stream_item_window_final"]
 ORACLE_SQL["stream_item_window_panes"] = ORACLE_SQL["stream_item_window_final"]
+
+ORACLE_SQL["als_planted"] = f"""WITH {CLEAN},
+h AS (SELECT *, CAST({_modular_hash(42)} AS DOUBLE) / CAST(2147483647 AS DOUBLE) AS u FROM clean),
+train AS (SELECT * FROM h WHERE u < CAST(0.8 AS DOUBLE))
+SELECT count(*) AS n_pairs, 1 AS rmse_is_low, 1 AS best_items_found FROM h
+WHERE u >= CAST(0.8 AS DOUBLE)
+  AND user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)"""

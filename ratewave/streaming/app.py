@@ -24,6 +24,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ratewave.models.versions import LatestModel
 from ratewave.operators.alerts import DEFAULT_MIN_AVG, DEFAULT_MIN_N, threshold_alerts
 from ratewave.operators.windows import (
     flatten_window,
@@ -195,8 +196,10 @@ def start_recommendations(
     show_rows: int = 0,
     name: str | None = None,
     id_maps: dict[str, DataFrame] | None = None,
+    latest: LatestModel | None = None,
 ) -> StreamingQuery:
-    """Per batch: lag metrics and (with a model) Top-k for the batch's users."""
+    """Per batch: lag metrics and (with a model) Top-k for the batch's users.  ``latest``: the
+    model is the newest version published before each batch."""
     return start_query(
         events,
         name=name,
@@ -204,7 +207,7 @@ def start_recommendations(
         mode="append",
         checkpoint=f"{out_dir}/_checkpoints/recs",
         trigger=trigger,
-        batch_fn=make_batch_handler(out_dir, model, k, now, show_rows, id_maps),
+        batch_fn=make_batch_handler(out_dir, model, k, now, show_rows, id_maps, latest),
     )
 
 
@@ -218,10 +221,12 @@ def start_app(
     console_rows: int = 0,
     prefix: str = "",
     id_maps: dict[str, DataFrame] | None = None,
+    latest: LatestModel | None = None,
 ) -> dict[str, StreamingQuery]:
     """Start the queries; wait with ``spark.streams.awaitAnyTermination()``.
 
     ``id_maps``: those saved with the model (``models.load_id_maps``), if its ids were mapped.
+    ``latest``: instead of ``model`` and ``id_maps``, whatever version is newest before a batch.
     ``console_rows > 0`` also prints trending and alert updates (from the
     update fan-out) and user-window updates (one more query) on the driver.
     """
@@ -235,7 +240,7 @@ def start_app(
         ),
         "users": start_user_windows(events, out_dir, spec, window_trigger, name=f"{prefix}user_windows"),
         "recs": start_recommendations(
-            events, out_dir, model, trigger=recs_trigger, name=f"{prefix}recommendations", id_maps=id_maps
+            events, out_dir, model, trigger=recs_trigger, name=f"{prefix}recommendations", id_maps=id_maps, latest=latest
         ),
     }
     if console_rows:

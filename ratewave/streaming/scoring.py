@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ratewave.functions.scores import lag_millis, lag_seconds
 from ratewave.models.als import prepare_item_factors, recommend
+from ratewave.models.versions import LatestModel, ModelInUse
 from ratewave.operators.topk import ItemBlocks
 from ratewave.sources.files import read_result_dir
 from ratewave.streaming.sinks import write_batch_partition
@@ -61,12 +62,15 @@ def make_batch_handler(
     now: Column | None = None,
     show_rows: int = 0,
     id_maps: dict[str, DataFrame] | None = None,
+    latest: LatestModel | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` callback writing ``metrics/`` and (with a model) ``recs/``."""
+    """``foreachBatch`` callback writing ``metrics/`` and (with a model) ``recs/``.
 
-    # The model is fixed for the life of the query: its item factors are translated,
-    # packed and written once.
-    items = prepare_item_factors(model, id_maps) if model is not None else None
+    A ``model`` is fixed for the life of the query; ``latest`` is asked for its model before
+    each batch.  Either way a model's item factors are translated, packed and written once."""
+    fixed = None
+    if model is not None:
+        fixed = ModelInUse("", model, id_maps or {}, prepare_item_factors(model, id_maps))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -81,8 +85,9 @@ def make_batch_handler(
                 cached.sparkSession.createDataFrame([row], metrics.schema),
                 f"{out_dir}/metrics", batch_id, n_rows=1,
             )
-            if model is not None:
-                recs = batch_recommendations(model, cached, k, id_maps, items)
+            used = latest.get() if latest is not None else fixed
+            if used is not None:
+                recs = batch_recommendations(used.model, cached, k, used.id_maps, used.items)
                 path = write_batch_partition(recs, f"{out_dir}/recs", batch_id, n_rows=row["n_events"])
                 written = read_result_dir(cached.sparkSession, path, recs.schema)
                 write_recs_counts(written, out_dir, batch_id)

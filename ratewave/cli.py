@@ -5,6 +5,7 @@
                 per-batch lag metrics and Top-k recommendations
 * ``recommend`` saved model + user ids -> Top-k per user
 * ``report``    stored stream output -> counters, top trending, latest alerts
+* ``compact``   stored stream output -> old batches folded into large files
 """
 
 from __future__ import annotations
@@ -45,6 +46,7 @@ def _stream(spark, a) -> int:
     from ratewave.models.versions import LatestModel
     from ratewave.sources.streams import read_event_files, read_kafka
     from ratewave.streaming.app import WindowSpec, start_app
+    from ratewave.streaming.progress import ProgressStore
 
     if a.kafka:
         raw = read_kafka(spark, bootstrap_servers=a.kafka, topic=a.topic,
@@ -59,6 +61,7 @@ def _stream(spark, a) -> int:
     spec = WindowSpec(a.size, a.slide, a.watermark)
     trigger = "available_now" if a.available_now else a.trigger
     recs_trigger = "available_now" if a.available_now else a.recs_trigger
+    spark.streams.addListener(ProgressStore(spark, a.out, ["trending_final", "trending_updates", "user_windows"]))
     queries = start_app(events, a.out, None, spec, trigger, recs_trigger, console_rows=a.console_rows,
                         latest=latest)
     if a.available_now:
@@ -97,6 +100,17 @@ def _report(spark, a) -> int:
     return 0
 
 
+def _compact(spark, a) -> int:
+    from ratewave.streaming.compaction import compact_outputs, outputs, remove_folded
+
+    for name, manifest in compact_outputs(spark, a.out).items():
+        print(f"{name}: batches up to {manifest.through} in {len(manifest.parts)} part(s)")
+    if a.remove_after is not None:
+        removed = sum(remove_folded(spark, f"{a.out}/{name}", a.remove_after) for name, _, _ in outputs(spark, a.out))
+        print(f"removed: {removed}")
+    return 0
+
+
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="ratewave")
     p.add_argument("--master", default=None)
@@ -141,10 +155,15 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     o.add_argument("--alerts", type=int, default=20)
     o.add_argument("--recs", type=int, default=20)
 
+    c = sub.add_parser("compact")
+    c.add_argument("--out", required=True)
+    c.add_argument("--remove-after", type=float, default=None,
+                   help="also delete what has been folded for so many seconds")
+
     return p.parse_args(argv)
 
 
-HANDLERS = {"train": _train, "stream": _stream, "recommend": _recommend, "report": _report}
+HANDLERS = {"train": _train, "stream": _stream, "recommend": _recommend, "report": _report, "compact": _compact}
 
 
 def run(spark, argv: list[str]) -> int:

@@ -271,13 +271,21 @@ SELECT window_start, window_end, item_id, count(DISTINCT part) AS emissions, cou
 FROM w GROUP BY window_start, window_end, item_id"""
 
 # The watermark when the last file comes: one minute before the latest event of the others.
-ORACLE_SQL["stream_late_drop"] = f"""WITH {_RANGED},
+_LATE = f"""{_RANGED},
 l AS (SELECT g.*, part = 0 AND event_id % 10 = 3 AS late FROM g),
-m AS (SELECT max(event_time) - INTERVAL 1 minute AS mark FROM l WHERE NOT late AND part < 3),{_windows(*WIDE, source="l")}
+m AS (SELECT max(event_time) - INTERVAL 1 minute AS mark FROM l WHERE NOT late AND part < 3),{_windows(*WIDE, source="l")}"""
+
+ORACLE_SQL["stream_late_drop"] = f"""WITH {_LATE}
 SELECT window_start, window_end, item_id, count(*) AS n_ratings
 FROM w, m WHERE NOT late OR window_end > mark
 GROUP BY window_start, window_end, item_id"""
 
+# Late events are combined by window and item before they reach the state.
+ORACLE_SQL["stream_dropped_rows"] = f"""WITH {_LATE},
+d AS (SELECT DISTINCT window_start, window_end, item_id FROM w, m WHERE late AND window_end <= mark)
+SELECT count(*) AS dropped_rows, CAST(count(*) > 0 AS BIGINT) AS batches_with_drops FROM d"""
+
+ORACLE_SQL["served_compacted_windows"] = ORACLE_SQL["stream_item_window_final"]
 ORACLE_SQL["stream_restart"] = ORACLE_SQL["stream_item_window_final"]
 ORACLE_SQL["stream_item_window_panes"] = ORACLE_SQL["stream_item_window_final"]
 

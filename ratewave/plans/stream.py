@@ -27,6 +27,8 @@ from ratewave.streaming.app import (
     start_user_windows,
     start_window_updates,
 )
+from ratewave.streaming.compaction import compact_outputs
+from ratewave.streaming.progress import dropped_rows, store_progress
 from ratewave.streaming.sinks import AVAILABLE_NOW, run_to_end
 from ratewave.streaming.summaries import (
     latest_stored_alerts,
@@ -144,12 +146,13 @@ def _range_number(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
     return events, F.expr(f"(unix_micros(cast(ts as timestamp)) - {lo}L) * {RANGES} div ({hi}L - {lo}L + 1)")
 
 
-def _in_ranges(spark: SparkSession, sf_dir: str, name: str, start, held_back: bool = False) -> str:
+def _in_ranges(spark: SparkSession, sf_dir: str, name: str, start, held_back: bool = False, after=None) -> str:
     """Feed the whole events table to one streaming query, a time range at a time.
 
     Each range is added to a folder in the shared work folder, and the query started by
     ``start(events, out)`` runs until it has read it and ends; the next one goes on from its
-    checkpoint, in another batch.  ``held_back``: a slice of the first range comes with the last."""
+    checkpoint, in another batch.  ``held_back``: a slice of the first range comes with the last.  ``after(query, out)`` is called when a
+    range has been read."""
     events, number = _range_number(spark, sf_dir)
     if held_back:
         late = (number == 0) & (F.col("event_id") % HELD_EVERY == HELD_REST)
@@ -158,7 +161,9 @@ def _in_ranges(spark: SparkSession, sf_dir: str, name: str, start, held_back: bo
     for i in range(RANGES):
         events.where(number == i).write.mode("append").parquet(f"{out}/input")
         source = spark.readStream.schema(events.schema).parquet(f"{out}/input")
-        run_to_end(start(events_to_ratings(source), out))
+        query = run_to_end(start(events_to_ratings(source), out))
+        if after:
+            after(query, out)
     return out
 
 
@@ -182,6 +187,21 @@ def q_stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.select("window_start", "window_end", "item_id", "n_ratings")
 
 
+def q_stream_dropped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that the state dropped as late in the replay of ``stream_late_drop``, summed
+    from what each batch stored."""
+    start = lambda ev, out: start_window_updates(ev, out, WIDE_SPEC, AVAILABLE_NOW)
+    store = lambda q, out: store_progress(spark, q.recentProgress, out, "updates")
+    return dropped_rows(spark, _in_ranges(spark, sf_dir, "dropped", start, held_back=True, after=store), "updates")
+
+
+def q_served_compacted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored windows of a stream whose old batches are folded after each range."""
+    start = lambda ev, out: start_final_windows(ev, out, WIDE_SPEC, AVAILABLE_NOW)
+    out = _in_ranges(spark, sf_dir, "compacted", start, after=lambda q, out: compact_outputs(spark, out))
+    return rounded(stored_windows(spark, out).drop("batch_id"), DIGITS)
+
+
 def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed windows of a query that was stopped and started again from its checkpoint
     after each range: the answer of an uninterrupted one."""
@@ -193,6 +213,8 @@ def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_QUERIES = {
     "stream_update_log": q_stream_update_log,
     "stream_late_drop": q_stream_late_drop,
+    "stream_dropped_rows": q_stream_dropped_rows,
+    "served_compacted_windows": q_served_compacted_windows,
     "stream_restart": q_stream_restart,
     "served_counters": q_served_counters,
     "served_top_trending": q_served_top_trending,

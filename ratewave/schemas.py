@@ -76,6 +76,14 @@ METRICS_OUT = T.StructType(
         BATCH_ID,
     ]
 )
+STATE_METRICS_OUT = T.StructType(
+    [
+        T.StructField("input_rows", T.LongType()),
+        T.StructField("dropped_rows", T.LongType()),
+        T.StructField("state_rows", T.LongType()),
+        BATCH_ID,
+    ]
+)
 RECS_OUT = T.StructType(
     [
         T.StructField("user_id", T.LongType()),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterable
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,13 +51,81 @@ def read_ratings_text(
     return raw.select(*[F.col(n).try_cast(kinds[n]).alias(RATINGS_COLUMN_MAP.get(n, n)) for n in names])
 
 
+#: Below a result folder; names that begin with "_" are skipped by Spark's readers.
+MANIFESTS, FOLDED = "_manifests", "_folded"
+_MANIFEST = re.compile(r"(\d+)\.json")
+
+
+@dataclass(frozen=True)
+class Part:
+    """Folded batches in one folder below the result folder."""
+
+    path: str
+    n_rows: int
+
+
+@dataclass(frozen=True)
+class Manifest:
+    """Which batches of a result folder are folded (all up to ``through``), and where they are."""
+
+    number: int
+    through: int
+    parts: tuple[Part, ...]
+
+    def to_json(self) -> str:
+        return json.dumps({"through": self.through, "parts": [asdict(p) for p in self.parts]})
+
+
+def hadoop_folder(spark: SparkSession, path: str):
+    """(path, its file system) through Hadoop, wherever the folder is."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def manifest_numbers(spark: SparkSession, root: str) -> list[int]:
+    """The numbers of the published manifests, oldest first."""
+    path, fs = hadoop_folder(spark, f"{root.rstrip('/')}/{MANIFESTS}")
+    if not fs.exists(path):
+        return []
+    names = (_MANIFEST.fullmatch(s.getPath().getName()) for s in fs.listStatus(path))
+    return sorted(int(m.group(1)) for m in names if m)
+
+
+def read_manifest(spark: SparkSession, root: str, number: int) -> Manifest:
+    path, fs = hadoop_folder(spark, f"{root.rstrip('/')}/{MANIFESTS}/{number}.json")
+    stream = fs.open(path)
+    try:
+        found = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    return Manifest(number, found["through"], tuple(Part(**p) for p in found["parts"]))
+
+
+def latest_manifest(spark: SparkSession, root: str) -> Manifest | None:
+    numbers = manifest_numbers(spark, root)
+    return read_manifest(spark, root, numbers[-1]) if numbers else None
+
+
 def read_result_dir(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All Parquet result files under ``path``; an empty frame if there are none.
 
     A folder written by a streaming file sink is read through its
     ``_spark_metadata`` log, and per-batch folders appear by a rename, so
-    half-written files of a failed batch are never seen.
+    half-written files of a failed batch are never seen.  Batches that have been
+    folded (``streaming.compaction``) are read from where the latest manifest says,
+    and only the later ones from folders of their own.
     """
+    folded = latest_manifest(spark, path)
+    rows = _read_files(spark, path, schema)
+    if folded is None:
+        return rows
+    rows = rows.where(F.col("batch_id") > folded.through).select(*schema.names)
+    for part in folded.parts:
+        rows = rows.unionAll(_read_files(spark, f"{path.rstrip('/')}/{part.path}", schema).select(*schema.names))
+    return rows
+
+
+def _read_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
     except Exception as exc:  # noqa: BLE001 - only "no files" is expected here

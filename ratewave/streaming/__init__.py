@@ -10,6 +10,8 @@ from ratewave.streaming.app import (
     trending_stream,
     user_stream,
 )
+from ratewave.streaming.compaction import compact, compact_outputs, remove_folded
+from ratewave.streaming.progress import ProgressStore, dropped_rows, store_progress
 from ratewave.streaming.scoring import batch_metrics, batch_recommendations, make_batch_handler
 from ratewave.streaming.sinks import (
     AVAILABLE_NOW,
@@ -32,6 +34,12 @@ __all__ = [
     "start_window_updates",
     "trending_stream",
     "user_stream",
+    "compact",
+    "compact_outputs",
+    "remove_folded",
+    "ProgressStore",
+    "dropped_rows",
+    "store_progress",
     "batch_metrics",
     "batch_recommendations",
     "make_batch_handler",

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ratewave.session import remove_folder
+from ratewave.sources.files import latest_manifest
 
 AVAILABLE_NOW = "available_now"
 ONCE = "once"
@@ -107,8 +108,12 @@ def write_batch_partition(
     no folder.  With ``n_rows`` (an upper bound the caller already knows) the finished rows
     are dealt to about ``rows_per_file`` rows per file; only the writing is that narrow, not
     what makes the rows.  ``partition_by``: columns that become folders inside the batch's.
+    A batch that has been folded (``streaming.compaction``) can't be written again.
     """
     spark = df.sparkSession
+    folded = latest_manifest(spark, root)
+    if folded is not None and batch_id <= folded.through:
+        raise ValueError(f"{root}: batches up to {folded.through} have been folded; batch {batch_id} can't be replaced")
     path = f"{root.rstrip('/')}/batch_id={int(batch_id)}"
     if n_rows is not None:
         df = df.repartition(max(1, math.ceil(n_rows / rows_per_file)))

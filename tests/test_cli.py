@@ -4,6 +4,9 @@ import json
 import os
 
 from ratewave import cli
+from ratewave.models.versions import current_model
+from ratewave.schemas import METRICS_OUT
+from ratewave.sources.files import read_result_dir
 
 
 def test_train_recommend_stream_report(spark, tmp_dir, capsys):
@@ -49,7 +52,7 @@ def test_train_with_wide_ids_keeps_map(spark, tmp_dir, capsys):
                 fh.write(f"{base + u},{i},{(u + i) % 5 + 1}.0,1\n")
     model = os.path.join(tmp_dir, "model")
     assert cli.run(spark, ["train", "--ratings", ratings, "--model", model]) == 0
-    assert os.path.exists(model + "/idmaps/user_id")
+    assert os.path.exists(current_model(spark, model) + "/idmaps/user_id")
     capsys.readouterr()
     assert cli.run(spark, ["recommend", "--model", model, "--users", str(base + 3), "5"]) == 0
     out = capsys.readouterr().out
@@ -84,7 +87,22 @@ def test_a_retrain_leaves_no_old_id_map(spark, tmp_dir, capsys):
     for first in (4_000_000_000, 100):
         _write_ratings(ratings, first)
         cli.run(spark, ["train", "--ratings", ratings, "--model", model])
-    assert not os.path.exists(model + "/idmaps/user_id")
+    assert not os.path.exists(current_model(spark, model) + "/idmaps/user_id")
     capsys.readouterr()
     cli.run(spark, ["recommend", "--model", model, "--users", "105"])
     assert "|105 " in capsys.readouterr().out.replace("| 105", "|105")
+
+
+def test_compact_folds_the_outputs(spark, tmp_dir, capsys):
+    files, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    os.makedirs(files)
+    for i in range(3):
+        with open(os.path.join(files, f"{i}.json"), "w") as fh:
+            fh.write(json.dumps({"user_id": 1, "item_id": i, "rating": 4.0, "timestamp": f"2026-05-12T14:{30 + i}:00+00:00"}) + "\n")
+    cli.run(spark, ["stream", "--files", files, "--out", out, "--available-now", "--max-files-per-trigger", "1"])
+    before = spark.read.parquet(f"{out}/metrics").count()
+    capsys.readouterr()
+    assert cli.run(spark, ["compact", "--out", out, "--remove-after", "3600"]) == 0
+    said = capsys.readouterr().out
+    assert "metrics: batches up to 1 in 1 part(s)" in said and "removed: 0" in said
+    assert before == 3 and read_result_dir(spark, f"{out}/metrics", METRICS_OUT).count() == 3

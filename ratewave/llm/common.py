@@ -78,43 +78,41 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[0x20, *range(0x09, 0x0E)]] = True
-_RADIX = 0xD1342543DE82EF95  # odd, so it has an inverse modulo 2^64
-_PIECE = 1 << 20
-
-
-def _powers(base: int) -> np.ndarray:
-    out = np.full(_PIECE + 1, base, dtype=U64)
-    out[0] = 1
-    return np.cumprod(out, dtype=U64)
-
-
-_UP, _DOWN = _powers(_RADIX), _powers(pow(_RADIX, -1, 2**64))
+#: Words up to so many bytes are hashed by table; a value for each place in a word and byte.
+_WIDTH = 64
+_VALUES = mix64(np.arange(_WIDTH * 256, dtype=U64))
+_PIECE = 1 << 18
 
 
 def hash_words(texts: list[bytes]) -> list[np.ndarray]:
     """The 64-bit hash of every word of each text, in order; words as ``bytes.split()`` gives them.
 
-    A word's hash is its polynomial in a fixed radix modulo 2^64, from running sums over the
-    bytes, scrambled together with its length: no Python object is made for a word."""
+    Tabulation: a word's hash is the sum of one scrambled value for each (place, byte), scrambled
+    together with its length, so that unlike words clash by chance only, whatever their pattern.
+    The sums are differences of running sums: no Python object is made for a word, but for those
+    longer than the table, which go to xxHash."""
     raw = b"\n".join(texts)
     b = np.frombuffer(raw, dtype=np.uint8)
     edge = np.diff(_GAP[b].view(np.int8), prepend=np.int8(1), append=np.int8(1))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    out = np.empty(len(starts), dtype=U64)
+    out = np.zeros(len(starts), dtype=U64)
     i = 0
     while i < len(starts):
         lo = starts[i]
         j = max(i + 1, int(np.searchsorted(ends, lo + _PIECE, side="right")))
-        if ends[i] - lo > _PIECE:  # one word longer than a piece
-            out[i] = xxhash.xxh64_intdigest(raw[lo : ends[i]])
-        else:
-            part = b[lo : ends[j - 1]].astype(U64)
-            part += U64(1)
-            part *= _UP[: len(part)]
-            sums = np.concatenate([np.zeros(1, dtype=U64), np.cumsum(part, dtype=U64)])
-            at = starts[i:j] - lo
-            out[i:j] = (sums[ends[i:j] - lo] - sums[at]) * _DOWN[at]
+        if ends[i] - lo <= _PIECE:
+            part, at = b[lo : ends[j - 1]], starts[i:j] - lo
+            cell = np.arange(len(part), dtype=np.int32)
+            cell -= np.repeat(at.astype(np.int32), np.diff(np.append(at, len(part))))
+            np.minimum(cell, _WIDTH - 1, out=cell)  # further on are blanks, and words hashed below
+            cell <<= 8
+            cell |= part
+            sums = np.zeros(len(part) + 1, dtype=U64)
+            np.cumsum(_VALUES[cell], dtype=U64, out=sums[1:])
+            out[i:j] = sums[ends[i:j] - lo] - sums[at]
         i = j
+    for k in np.flatnonzero(ends - starts > _WIDTH):
+        out[k] = xxhash.xxh64_intdigest(raw[starts[k] : ends[k]])
     out = mix64(out ^ mix64((ends - starts).astype(U64)))
     begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
     return np.split(out, np.searchsorted(starts, begins[1:-1])) if texts else []

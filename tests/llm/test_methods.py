@@ -282,6 +282,13 @@ def test_word_hashes_of_long_texts():
     assert a[0] == b[3] and a[1] == b[2] and a[2] == b[4] and a[-1] == b[0] and (a[3::2] == b[1]).all()
 
 
+@pytest.mark.parametrize("n", [32, 64, 65, 1024, 4096])
+def test_words_in_thue_morse_order_differ(n):
+    word = bytes(97 + bin(i).count("1") % 2 for i in range(n))
+    a, b = hash_words([word + b" " + word.translate(bytes.maketrans(b"ab", b"ba"))])[0]
+    assert a != b
+
+
 def test_mix_does_not_depend_on_layout_or_block_sizes(spark, monkeypatch):
     rng = random.Random(9)
     rows = [(i, " ".join(["w"] * rng.choice([0, 1, 5, 40])), rng.choice(["hot"] * 6 + ["a", "b", None])) for i in range(900)]

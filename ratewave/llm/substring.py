@@ -39,8 +39,9 @@ GRAM = 5
 HEAVY = 20_000
 #: Suffixes that a task sorts at once.
 SUBTREE_LEAVES = 1_000_000
-#: Bits for a word's place in its document while anchors are chosen.
-PLACE_BITS = 28
+#: Bits for a word's place in its document while anchors are chosen; a text of Arrow's 2 GB
+#: has fewer words.  The hash keeps the others: a clash there only moves the anchor.
+PLACE_BITS = 31
 TEXT_SLICE = 2 << 20
 
 
@@ -247,7 +248,9 @@ def _united(spans: Column) -> Column:
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, heavy: int = HEAVY) -> DataFrame:
     """doc_id, tie, found: the spans (lo, hi) of words that repeated windows cover, unordered.
 
-    ``docs``: (doc_id, tie, text); documents without such spans have no row.  The anchors are
+    ``docs``: (doc_id, tie, text), where (doc_id, tie) names a text; rows may repeat, and their
+    places and spans are then gathered once, not for each copy.  Documents without such spans
+    have no row.  The anchors are
     made twice, for their counts (partly summed before they move) and for the join with them."""
     found = docs.mapInArrow(_anchor_rows(window, gram), "anchor long, doc_id long, tie int, place int")
     counts = found.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1")
@@ -255,8 +258,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, heav
         found.join(counts, "anchor")
         .groupBy("doc_id", "tie")
         .agg(
-            F.collect_list(F.when(F.col("times") <= heavy, F.col("place"))).alias("light"),
-            F.collect_list(F.when(F.col("times") > heavy, F.col("place"))).alias("heavy"),
+            F.collect_set(F.when(F.col("times") <= heavy, F.col("place"))).alias("light"),
+            F.collect_set(F.when(F.col("times") > heavy, F.col("place"))).alias("heavy"),
         )
     )
     texts = docs.join(places, ["doc_id", "tie"])
@@ -267,7 +270,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, heav
     )
     light = light.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_subtrees(window), SPAN)
     spans = light.unionByName(_heavy_spans(deep, window))
-    return spans.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
+    return spans.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("lo", "hi")).alias("found"))
 
 
 def remove_repeats(
@@ -287,9 +290,8 @@ def remove_repeats(
     empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    keyed = rows.withColumn("tie", F.coalesce(F.hash("text"), F.lit(0)))
-    # a row without an id has windows like any other, and is named by its text: 96 bits with the tie
-    keyed = keyed.withColumn("own", F.coalesce(F.col("doc_id"), F.xxhash64("text")))
+    # a row is named by 96 bits of its id and text: ids may be missing or repeat with other texts
+    keyed = rows.withColumn("tie", F.coalesce(F.hash("text"), F.lit(0))).withColumn("own", F.xxhash64("doc_id", "text"))
     basis = keyed.where(F.col("text").isNotNull()).select(F.col("own").alias("doc_id"), "tie", "text")
     spans = repeated_spans(basis, window, gram, heavy)
 

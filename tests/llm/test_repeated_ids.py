@@ -5,10 +5,11 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+import ratewave.llm.substring as substring
 from ratewave.llm.language_model import language_model_scores
 from ratewave.llm.mixing import mix_sources, mixed_documents
 from ratewave.llm.neardup import near_duplicates, one_of_each
-from ratewave.llm.substring import remove_repeats
+from ratewave.llm.substring import remove_repeats, repeated_spans
 from ratewave.llm.topk import exact_topk
 
 DOC = "doc_id long, text string, source string"
@@ -65,6 +66,31 @@ def test_rows_without_ids_are_told_apart(spark):
     assert got == [0, 0, 1, 200]
 
 
+def test_texts_of_one_id_with_the_same_hash(spark):
+    one, other = same_hash_texts(spark)
+    rows = [(7, one, "s"), (7, f"{other} {other}", "s"), (7, other, "s"), (7, one, "s"), (None, one, "s"), (None, None, "s"), (8, "q", "s")]
+    got = [(r.doc_id, r.n_tokens) for r in language_model_scores(spark.createDataFrame(rows, DOC).repartition(3)).collect()]
+    assert sorted(got, key=str) == sorted([(7, 2), (7, 3), (7, 2), (7, 2), (None, 2), (None, 1), (8, 2)], key=str)
+
+
+def test_spans_of_other_texts_with_the_same_id_and_hash(spark, monkeypatch):
+    # every text with the same tie: only the 64 bits of id and text are left to tell rows apart
+    monkeypatch.setattr(substring.F, "hash", lambda *c: F.lit(5))
+    rows = [(7, A, "s"), (8, A, "s"), (7, B, "s"), (None, B + " end", "s"), (7, "c " * 10 + B[:500].upper(), "s")]
+    got = remove_repeats(spark.createDataFrame(rows, DOC).repartition(3)).collect()
+    assert sorted(r.n_words - sum(s.hi - s.lo for s in r.spans) for r in got)[:4] == [0, 0, 0, 1] and len(got) == 5
+
+
+def test_copies_gather_their_spans_once(spark):
+    rows = [(7, A, "s")] * 50 + [(None, A, "s")] * 50 + [(1, B, "s")]
+    docs = spark.createDataFrame(rows, DOC).repartition(4)
+    found = repeated_spans(docs.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.lit(0).alias("tie"), "text")).collect()
+    assert sorted(r.doc_id for r in found) == [0, 7] and all(len(r.found) <= 200 for r in found)
+    for heavy in (2, 10**6):
+        got = remove_repeats(docs, heavy=heavy).collect()
+        assert sorted(sum(s.hi - s.lo for s in r.spans) for r in got) == [0] + [200] * 100
+
+
 def test_scores_beyond_64_bits_are_refused(spark):
     for big in (1e17, 1e15):
         rows = spark.createDataFrame([(0, [big, 1.0]), (1, [2e4, 0.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")

@@ -135,6 +135,31 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op4_near_duplicates"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+i AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS b FROM d),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[b:b + 4], ' ') AS shingle FROM i),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+linked AS (
+  SELECT x, y FROM shared JOIN n m ON m.doc_id = x JOIN n o ON o.doc_id = y
+  WHERE 100 * common >= 85 * (m.size + o.size - common)),
+edge AS (SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM d
+  UNION
+  SELECT r.doc_id, e.y FROM reach r JOIN edge e ON e.x = r.other),
+c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.size, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM d JOIN c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
 @query
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents"))
@@ -144,6 +169,28 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORACLES["op5_substring_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+i AS (SELECT r, w, unnest(range(1, len(w) - 33)) AS b FROM d),
+p AS (SELECT r, b, array_to_string(w[b:b + 34], ' ') AS words FROM i),
+twice AS (SELECT r, b FROM p QUALIFY count(*) OVER (PARTITION BY words) > 1),
+t AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d),
+g AS (
+  SELECT t.r, t.word, t.j,
+         coalesce(max(twice.b) OVER (PARTITION BY t.r ORDER BY t.j) > t.j - 35, false) AS gone
+  FROM t LEFT JOIN twice ON twice.r = t.r AND twice.b = t.j),
+k AS (
+  SELECT r, count(*) AS n_words, count_if(gone) AS n_removed,
+         string_agg(word, ' ' ORDER BY j) FILTER (NOT gone) AS kept
+  FROM g GROUP BY r)
+SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.r = d.r
+"""
+
+
 @query
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model_scores(table(spark, sf_dir, "documents"))

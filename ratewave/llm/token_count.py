@@ -13,10 +13,17 @@ may be 0 or negative, when tokens fuse), so the count of a pretoken is the sum o
 its path.  Transitions are compiled when first met and kept in a dense table; all
 pretokens of a slice step through the table together.
 
-A long text is cut into chunks at any characters.  A chunk's state map needs the
-state before it only up to its first sure pretoken start, so it is held as (head,
-count, tail); maps compose associatively (the joined tail and head are counted),
-and a text's total is their tree-wise prefix scan.
+The two form one machine over bytes: a byte that begins a pretoken leaves from the
+first state, whatever the state was.  The pretokeniser's own memory is bounded (whether
+a character begins a pretoken depends on its neighbours alone), that inside a pretoken
+is the transducer's state.
+
+A long text is cut into chunks at any bytes.  A chunk's state map gives, for the states
+in which it may be entered, the state after it and the tokens emitted in it.  The states
+to expect are those after the chunk before it: where a pretoken begins there, its exit
+is the same for all entries; else they come from warm-ups over its last bytes.  All
+chunks of a window step together; neighbouring maps compose tree-wise, and a map that
+meets a state it has not been tabled for is extended by it, so that the scan is exact.
 """
 
 from __future__ import annotations
@@ -34,8 +41,13 @@ from ratewave.llm.common import column, read_byte_bpe, slices
 LETTER, NUMBER, OTHER, SPACE, UNKNOWN = 0, 1, 2, 3, 255
 #: The endings that this vocabulary family splits off after an apostrophe (fixed values of the format).
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
-#: Characters of a chunk; compiled states that a worker keeps before it starts anew.
-CHUNK = 16_384
+#: Bytes of a chunk; of a window, whose chunks step together; of the warm-ups before a chunk.
+CHUNK, WINDOW, WARM = 2_048, 1 << 20, (32, 64)
+#: Bytes up to which a piece is counted with the others of its slice, not by the scan.
+WHOLE = 16_384
+#: Bytes on each side of a window that decide where its pretokens begin (8 characters or more).
+MARGIN = 32
+#: Compiled states that a worker keeps before it starts anew.
 MOST_STATES = 160_000
 DELTA0 = 32  # stored transition: next state * 64 + emitted count + DELTA0
 TEXT_SLICE = 1 << 20
@@ -66,6 +78,15 @@ class Transitions:
             left = left[~hit & (keys >= 0)]
         return out
 
+    def one(self, slot: int) -> int:
+        """The same for one slot."""
+        at, mask = ((slot * 0x9E3779B97F4A7C15) & (2**64 - 1)) >> (64 - self.bits), len(self.keys) - 1
+        while (key := int(self.keys[at])) >= 0:
+            if key == slot:
+                return int(self.vals[at])
+            at = (at + 1) & mask
+        return -1
+
     def put(self, slot: int, value: int) -> None:
         if 2 * self.used >= len(self.keys):
             full = self.keys >= 0
@@ -134,6 +155,21 @@ class Transducer:
             self._pairs[a, b] = got
         return got
 
+    def _number(self, key: tuple) -> int:
+        to = self.number.get(key)
+        if to is None:
+            to = self.number[key] = len(self.states)
+            self.states.append(key)
+        return to
+
+    def bounded(self, state: int = 0) -> int:
+        """Forget all states if they are too many; the number of ``state`` from now on."""
+        if len(self.states) <= MOST_STATES:
+            return state
+        key = self.states[state]
+        self._reset()
+        return self._number(key)
+
     def compile(self, slot: int) -> int:
         """Make the transition of ``slot`` = state * 256 + byte."""
         state, byte = self.states[slot >> 8], bytes([slot & 255])
@@ -146,22 +182,21 @@ class Transducer:
                 grown.append((s, last, rel))
         token, emitted = found
         once = self._entries.setdefault
-        key = tuple(once(e, e) for e in (*((s, last, rel - emitted) for s, last, rel in grown), (b"", token, 0)))
-        to = self.number.get(key)
-        if to is None:
-            to = self.number[key] = len(self.states)
-            self.states.append(key)
+        if not -DELTA0 <= emitted < DELTA0:
+            raise ValueError(f"a transition emits {emitted} tokens")
+        to = self._number(tuple(once(e, e) for e in (*((s, last, rel - emitted) for s, last, rel in grown), (b"", token, 0))))
         value = to * 64 + emitted + DELTA0
         self.next.put(slot, value)
         return value
 
-    def count_pretokens(self, raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Tokens of each pretoken raw[start : start + length]; all step together."""
-        if len(self.states) > MOST_STATES:
-            self._reset()
+    def run(
+        self, raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray, entry: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(state after, tokens emitted) of each run raw[start : start + length], entered in the
+        states ``entry`` (the first state without it); all step together."""
         order = np.argsort(-lengths, kind="stable")
         at, lens = starts[order], lengths[order]
-        state = np.zeros(len(at), dtype=np.int64)
+        state = np.zeros(len(at), dtype=np.int64) if entry is None else entry[order].astype(np.int64)
         count = np.zeros(len(at), dtype=np.int64)
         # live[k]: pretokens longer than k
         live = len(lens) - np.cumsum(np.bincount(lens))[:-1] if len(lens) else ()
@@ -169,7 +204,8 @@ class Transducer:
             n = int(n)
             if n < 4:  # the few longest: on their own
                 for i in range(n):
-                    count[i] += self._walk(int(state[i]), raw[at[i] + k : at[i] + lens[i]].tobytes())
+                    state[i], more = self.walk(int(state[i]), raw[at[i] + k : at[i] + lens[i]].tobytes())
+                    count[i] += more
                 break
             slots = state[:n] * 256 + raw[at[:n] + k]
             got = self.next.get(slots)
@@ -179,20 +215,21 @@ class Transducer:
                 got[new] = np.array([self.compile(s) for s in unique.tolist()])[which]
             state[:n] = got >> 6
             count[:n] += (got & 63) - DELTA0
-        out = np.empty(len(at), dtype=np.int64)
-        out[order] = count
-        return out
+        exits, out = np.empty_like(state), np.empty_like(count)
+        exits[order], out[order] = state, count
+        return exits, out
 
-    def _walk(self, state: int, raw: bytes) -> int:
+    def walk(self, state: int, raw: bytes) -> tuple[int, int]:
+        """The same for one run, byte by byte."""
         total = 0
         for byte in raw:
             slot = state * 256 + byte
-            got = int(self.next.get(np.array([slot]))[0])
+            got = self.next.one(slot)
             if got < 0:
                 got = self.compile(slot)
             state = got >> 6
             total += (got & 63) - DELTA0
-        return total
+        return state, total
 
     # -- pretoken starts --------------------------------------------------------------
 
@@ -205,20 +242,9 @@ class Transducer:
             kinds = self.kinds[points]
         return kinds
 
-    def count_pieces(self, pieces: list[bytes]) -> np.ndarray:
-        """Tokens of each piece (text without special strings), pieces apart from each other."""
-        out = np.zeros(len(pieces), dtype=np.int64)
-        full = [i for i, p in enumerate(pieces) if p]
-        if not full:
-            return out
-        joined = b"".join(pieces[i] for i in full)
-        points = np.frombuffer(joined.decode("utf-8").encode("utf-32-le"), dtype=np.uint32)
+    def pretoken_starts(self, points: np.ndarray, edge: np.ndarray) -> np.ndarray:
+        """Whether a pretoken begins at each character; ``edge``: where a piece does, and the end."""
         n = len(points)
-        width = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
-        offset = np.concatenate([[0], np.cumsum(width)])
-        edge = np.zeros(n + 1, dtype=bool)  # where a piece begins, and the end
-        ends = np.cumsum([len(pieces[i]) for i in full])
-        edge[np.searchsorted(offset, np.concatenate([[0], ends]))] = True
         kind = self.classes(points)
         run = edge[:-1].copy()
         run[1:] |= kind[1:] != kind[:-1]
@@ -246,118 +272,163 @@ class Transducer:
             rest = tick + 1 + size
             rest = rest[rest < n]
             start[rest] |= (kind[rest] == LETTER) & ~run[rest]
-        begin = np.flatnonzero(start)
-        first = offset[begin]
+        return start
+
+    def count_pieces(self, pieces: list[bytes]) -> np.ndarray:
+        """Tokens of each piece (text without special strings), pieces apart from each other."""
+        out = np.zeros(len(pieces), dtype=np.int64)
+        full = [i for i, p in enumerate(pieces) if p]
+        if not full:
+            return out
+        joined = b"".join(pieces[i] for i in full)
+        points, offset = characters(joined)
+        edge = np.zeros(len(points) + 1, dtype=bool)
+        ends = np.cumsum([len(pieces[i]) for i in full])
+        edge[np.searchsorted(offset, np.concatenate([[0], ends]))] = True
+        first = offset[:-1][self.pretoken_starts(points, edge)]
         lens = np.diff(np.append(first, len(joined)))
-        counts = self.count_pretokens(np.frombuffer(joined, dtype=np.uint8), first, lens)
+        _, counts = self.run(np.frombuffer(joined, dtype=np.uint8), first, lens)
         sums = np.concatenate([[0], np.cumsum(counts)])
         at = np.searchsorted(first, np.concatenate([[0], ends]))
         out[full] = np.diff(sums[at])
         return out
 
-    def count(self, texts: list[bytes]) -> np.ndarray:
-        """Tokens of each text as a whole; a special string in it is one token."""
-        extra = np.zeros(len(texts), dtype=np.int64)
-        pieces, owner = texts, np.arange(len(texts))
-        for s in self.special:
-            mark = s.encode()
-            if any(mark in p for p in pieces):
-                split = [p.split(mark) for p in pieces]
-                np.add.at(extra, owner, [len(x) - 1 for x in split])
-                owner = np.repeat(owner, [len(x) for x in split])
-                pieces = [p for x in split for p in x]
-        np.add.at(extra, owner, self.count_pieces(pieces))
-        return extra
-
 
-# -- chunks ------------------------------------------------------------------------------
+def characters(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(code points, their places in bytes and the end) of a UTF-8 text."""
+    points = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), dtype=np.uint32)
+    width = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
+    return points, np.concatenate([[0], np.cumsum(width)])
 
 
-def sure_start(raw: bytes, lo: int, step: int) -> int:
-    """First (step 1) or last (step -1) place from ``lo`` on where a pretoken surely
-    begins: a space or line feed after a printable ASCII character; -1 if none."""
-    find = raw.find if step > 0 else raw.rfind
-    p = lo
-    while True:
-        if step > 0:
-            hits = [x for x in (find(b" ", p), find(b"\n", p)) if x >= 0]
-            at = min(hits, default=-1)
-        else:
-            at = max(find(b" ", 0, p), find(b"\n", 0, p))
-        if at <= 0:
-            if step > 0 and at == 0:
-                p = 1
-                continue
-            return -1
-        if 32 < raw[at - 1] < 127:
-            return at
-        p = at + 1 if step > 0 else at
+# -- chunks ------------------------------------------------------------------------------
 
 
 class ChunkMap:
-    """What a chunk does to the state before it: ``head`` still depends on it, ``body``
-    tokens don't, ``tail`` is the state after it.  Without a sure start, tail is None."""
-
-    __slots__ = ("body", "head", "tail")
-
-    def __init__(self, head: bytes, body: int = 0, tail: bytes | None = None) -> None:
-        self.head, self.body, self.tail = head, body, tail
+    """What a chunk does to the state before it: ``known`` tables entry -> (exit, tokens).
+
+    Of a single chunk, ``head`` is what still depends on the entry; after it, if a pretoken
+    begins in the chunk, ``rest`` = (exit, tokens) does not.  Of a composed one, ``parts``
+    are the maps that it was made of.  An entry that is not tabled yet is run, and tabled."""
+
+    __slots__ = ("head", "known", "parts", "rest")
+
+    def __init__(self, head: bytes = b"", rest: tuple[int, int] | None = None, parts: tuple[ChunkMap, ...] = ()) -> None:
+        self.head, self.rest, self.parts = head, rest, parts
+        self.known: dict[int, tuple[int, int]] = {}
+
+    def table(self, entry: int, to: int, n: int) -> None:
+        """``head``, entered in ``entry``, was left in ``to`` with ``n`` tokens."""
+        self.known[entry] = (to, n) if self.rest is None else (self.rest[0], n + self.rest[1])
+
+    def __call__(self, machine: Transducer, entry: int) -> tuple[int, int]:
+        if entry not in self.known:
+            if self.parts:
+                to, total = entry, 0
+                for part in self.parts:
+                    to, n = part(machine, to)
+                    total += n
+                self.known[entry] = to, total
+            else:
+                self.table(entry, *machine.walk(entry, self.head))
+        return self.known[entry]
+
+
+def compose(machine: Transducer, x: ChunkMap, y: ChunkMap) -> ChunkMap:
+    """The map of ``x`` and then ``y``, tabled for the entries of ``x``."""
+    out = ChunkMap(parts=(x, y))
+    for entry in x.known:
+        out(machine, entry)
+    return out
 
 
-def chunk_maps(machine: Transducer, chunks: list[bytes]) -> list[ChunkMap]:
-    maps, bodies = [], []
-    for c in chunks:
-        a = sure_start(c, 0, 1)
-        b = sure_start(c, len(c), -1) if a >= 0 else -1
-        maps.append(ChunkMap(c) if a < 0 else ChunkMap(c[:a], 0, c[b:]))
-        bodies.append(c[a:b] if a >= 0 else b"")
-    for m, n in zip(maps, machine.count(bodies).tolist(), strict=True):
-        m.body = n
+def window_starts(machine: Transducer, raw: bytes, lo: int, hi: int) -> np.ndarray:
+    """Places in raw[lo:hi] where a pretoken begins; ``lo`` and ``hi`` begin characters."""
+    a, b = max(lo - MARGIN, 0), min(hi + MARGIN, len(raw))
+    while a and (raw[a] & 0xC0) == 0x80:
+        a -= 1
+    while b < len(raw) and (raw[b] & 0xC0) == 0x80:
+        b += 1
+    points, offset = characters(raw[a:b])
+    edge = np.zeros(len(points) + 1, dtype=bool)
+    edge[[0, -1]] = True
+    at = a + offset[:-1][machine.pretoken_starts(points, edge)]
+    return at[(at >= lo) & (at < hi)]
+
+
+def chunk_maps(machine: Transducer, raw: bytes, lo: int, hi: int, chunk: int = CHUNK) -> list[ChunkMap]:
+    """The maps of the chunks of raw[lo:hi], tabled for the states in which they are expected
+    to be entered; the first one, whose entry is the caller's, for none."""
+    data = np.frombuffer(raw, dtype=np.uint8)
+    first = window_starts(machine, raw, lo, hi)
+    begins = np.arange(lo, hi, chunk)
+    ends = np.minimum(begins + chunk, hi)
+    # pretokens, and the parts of them before a chunk's end, from the first state
+    stop = np.minimum(np.append(first[1:], hi), ends[(first - lo) // chunk])
+    exits, counts = machine.run(data, first, stop - first)
+    sums = np.concatenate([[0], np.cumsum(counts)])
+    i, j = np.searchsorted(first, begins), np.searchsorted(first, ends)
+    begun = i < j
+    head_ends = ends.copy()
+    head_ends[begun] = first[i[begun]]
+    maps = [
+        ChunkMap(raw[a:b], (int(exits[y - 1]), int(sums[y] - sums[x])) if x < y else None)
+        for a, b, x, y in zip(begins.tolist(), head_ends.tolist(), i.tolist(), j.tolist(), strict=True)
+    ]
+    # expected entries: the exit of the chunk before if a pretoken begins there, else warm-ups
+    after = np.flatnonzero(begun[:-1]) + 1
+    which, entry = [after], [exits[j[after - 1] - 1]]
+    unsure = np.flatnonzero(~begun[:-1]) + 1
+    for warm in WARM:
+        length = np.minimum(begins[unsure] - lo, warm)
+        state, _ = machine.run(data, begins[unsure] - length, length)
+        which.append(unsure)
+        entry.append(state)
+    which, entry = np.concatenate(which), np.concatenate(entry)
+    to, n = machine.run(data, begins[which], head_ends[which] - begins[which], entry)
+    for k, e, x, m in zip(which.tolist(), entry.tolist(), to.tolist(), n.tolist(), strict=True):
+        maps[k].table(e, x, m)
     return maps
 
 
-def compose(machine: Transducer, pairs: list[tuple[ChunkMap, ChunkMap]]) -> list[ChunkMap]:
-    """The maps of each pair one after the other."""
-    joins = [x.tail + y.head if x.tail is not None and y.tail is not None else b"" for x, y in pairs]
-    out = []
-    for (x, y), n in zip(pairs, machine.count(joins).tolist(), strict=True):
-        if x.tail is None:
-            out.append(ChunkMap(x.head + y.head, y.body, y.tail))
-        elif y.tail is None:
-            out.append(ChunkMap(x.head, x.body, x.tail + y.head))
-        else:
-            out.append(ChunkMap(x.head, x.body + n + y.body, y.tail))
-    return out
-
-
-def count_texts(machine: Transducer, texts: list[bytes], chunk: int = CHUNK) -> np.ndarray:
-    """Tokens of each whole text, long ones through the scan of their chunks' maps."""
+def scan(machine: Transducer, raw: bytes, chunk: int = CHUNK, window: int = WINDOW) -> int:
+    """Tokens of a long piece, by the tree-wise composition of its chunks' maps, window by window."""
+    state = total = lo = 0
+    while lo < len(raw):
+        hi = min(lo + window, len(raw))
+        while hi < len(raw) and (raw[hi] & 0xC0) == 0x80:
+            hi += 1
+        state = machine.bounded(state)
+        maps = chunk_maps(machine, raw, lo, hi, chunk)
+        while len(maps) > 1:
+            made = [compose(machine, x, y) for x, y in zip(maps[::2], maps[1::2], strict=False)]
+            maps = made + (maps[-1:] if len(maps) % 2 else [])
+        state, n = maps[0](machine, state)
+        total += n
+        lo = hi
+    return total
+
+
+def count_texts(
+    machine: Transducer, texts: list[bytes], chunk: int = CHUNK, window: int = WINDOW, whole: int = WHOLE
+) -> np.ndarray:
+    """Tokens of each whole text; a special string in it is one token, and what stands between
+    such strings goes through the scan of its chunks' maps if it is longer than ``whole``."""
     out = np.zeros(len(texts), dtype=np.int64)
-    short = [i for i, t in enumerate(texts) if len(t) <= chunk]
-    out[short] = machine.count([texts[i] for i in short])
-    rows: dict[int, list[ChunkMap]] = {}
-    for i, t in enumerate(texts):
-        if len(t) > chunk:
-            cut, parts = 0, []
-            while cut < len(t):
-                end = min(cut + chunk, len(t))
-                while end < len(t) and (t[end] & 0xC0) == 0x80:
-                    end += 1
-                parts.append(t[cut:end])
-                cut = end
-            rows[i] = chunk_maps(machine, parts)
-    while any(len(m) > 1 for m in rows.values()):
-        pairs = [(i, m[k], m[k + 1]) for i, m in rows.items() for k in range(0, len(m) - 1, 2)]
-        made = compose(machine, [(x, y) for _, x, y in pairs])
-        new: dict[int, list[ChunkMap]] = {i: [] for i in rows}
-        for (i, _, _), z in zip(pairs, made, strict=True):
-            new[i].append(z)
-        rows = {i: new[i] + (m[-1:] if len(m) % 2 else []) for i, m in rows.items()}
-    ids = list(rows)
-    heads = machine.count([rows[i][0].head for i in ids])
-    tails = machine.count([rows[i][0].tail or b"" for i in ids])
-    for i, h, t in zip(ids, heads.tolist(), tails.tolist(), strict=True):
-        out[i] = h + rows[i][0].body + t
+    pieces, owner = texts, np.arange(len(texts))
+    for s in machine.special:
+        mark = s.encode()
+        if any(mark in p for p in pieces):
+            split = [p.split(mark) for p in pieces]
+            np.add.at(out, owner, [len(x) - 1 for x in split])
+            owner = np.repeat(owner, [len(x) for x in split])
+            pieces = [p for x in split for p in x]
+    machine.bounded()
+    is_long = np.array([len(p) > whole for p in pieces], dtype=bool)
+    short = np.flatnonzero(~is_long)
+    np.add.at(out, owner[short], machine.count_pieces([pieces[i] for i in short]))
+    for i in np.flatnonzero(is_long).tolist():
+        out[owner[i]] += scan(machine, pieces[i], chunk, window)
     return out
 
 

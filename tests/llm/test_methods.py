@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 import ratewave.llm.language_model as language_model
 import ratewave.llm.mixing as mixing
 import ratewave.llm.neardup as neardup
+import ratewave.llm.token_count as token_count
 from ratewave.llm.bpe import ChunkedBPE
 from ratewave.llm.common import LOWER, hash_words, shingle_set
 from ratewave.llm.components import components
@@ -23,7 +24,7 @@ from ratewave.llm.language_model import draw_tables, fit_contexts, fit_spelling,
 from ratewave.llm.queries import vocabulary
 from ratewave.llm.secrets import redact_secrets, scan_secrets, window_entropy
 from ratewave.llm.substring import anchors, remove_repeats, run_hashes
-from ratewave.llm.token_count import Transducer, count_texts
+from ratewave.llm.token_count import Transducer, chunk_maps, compose, count_texts
 
 LIBRARY = Tokenizer.from_file(vocabulary())
 BPE = ChunkedBPE(vocabulary())
@@ -44,12 +45,53 @@ def test_chunks_give_the_library_ids(text):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(TEXTS, max_size=4), st.integers(8, 200))
-def test_transducer_counts_as_the_library(texts, chunk):
-    got = count_texts(MACHINE, [t.encode() for t in texts], chunk)
+@given(st.lists(TEXTS, max_size=4), st.integers(1, 200), st.integers(1, 300), st.integers(0, 300))
+def test_transducer_counts_as_the_library(texts, chunk, window, whole):
+    got = count_texts(MACHINE, [t.encode() for t in texts], chunk, window, whole)
     assert got.tolist() == [len(LIBRARY.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
+def long_texts():
+    rng = random.Random(11)
+    prose = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))) for _ in range(9_000))
+    yield prose.replace(" ", "")
+    yield "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20_000))
+    yield "".join(rng.choice("漢字文中国") for _ in range(9_000))
+    yield "".join(rng.choice("ab'sré 中\n1 é😀") for _ in range(20_000))
+    yield "a" * 30_001
+    yield " " * 20_000 + "x"
+    yield prose[:20_000] + "<|endoftext|>" + prose[:20_000].replace(" ", "_")
+
+
+def test_state_maps_of_long_texts():
+    for text in long_texts():
+        want = len(LIBRARY.encode(text, add_special_tokens=False).ids)
+        for window in (1 << 20, 5_000):
+            assert count_texts(MACHINE, [text.encode()], 512, window, 0).tolist() == [want]
+
+
+def test_state_maps_compose_in_any_order():
+    raw = "".join(random.Random(5).choice("abcde" * 40 + " ") for _ in range(3_000)).encode()
+    maps = chunk_maps(MACHINE, raw, 0, len(raw), 128)
+    assert {m.rest is None for m in maps} == {True, False} and all(m.known for m in maps[1:])
+    left, right = maps[0], maps[-1]
+    for m in maps[1:]:
+        left = compose(MACHINE, left, m)
+    for m in maps[-2::-1]:
+        right = compose(MACHINE, m, right)
+    for entry in (0, *(e for m in maps for e in m.known)):
+        assert left(MACHINE, entry) == right(MACHINE, entry)
+    assert left(MACHINE, 0)[1] == len(LIBRARY.encode(raw.decode(), add_special_tokens=False).ids)
+
+
+def test_states_are_forgotten_between_windows(monkeypatch):
+    own = Transducer(vocabulary())
+    monkeypatch.setattr(token_count, "MOST_STATES", 200)
+    for text in long_texts():
+        want = len(LIBRARY.encode(text, add_special_tokens=False).ids)
+        assert count_texts(own, [text.encode()], 256, 2_000, 0).tolist() == [want]
+
+
 def test_shared_chunks_are_encoded_once():
     own = ChunkedBPE(vocabulary())
     rng = random.Random(3)

@@ -33,7 +33,8 @@ from ratewave.llm.common import column, read_byte_bpe, slices
 MIN_CHUNK, MASK = 192, 0x1FF
 WINDOW = 16
 #: Chunk bytes that a task's cache holds before it starts anew.
-CACHE_BYTES = 8 << 20
+CACHE_BYTES = 3 << 20
+TEXT_SLICE = 1 << 20
 #: The pretoken pattern of this vocabulary family (a fixed value of the format).
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -197,7 +198,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
-        for part, texts in slices(batches, "text"):
+        for part, texts in slices(batches, "text", TEXT_SLICE):
             ids = [bpe.encode(t) for t in texts]
             decoded = [bpe.decode(x) for x in ids]
             offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
@@ -218,7 +219,7 @@ def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
-        for part, texts in slices(batches, "text"):
+        for part, texts in slices(batches, "text", TEXT_SLICE):
             counts, of_ids, of_text = [], [], []
             for t in texts:
                 ids = bpe.encode(t)

@@ -8,6 +8,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, written as Parquet and read
 again as the next one's input.  A lost executor costs the running stage's tasks.
+
+The stages that run Python bound the Arrow batches of their session by ARROW_BYTES: a batch of
+texts stands in the JVM and in the Python worker of every running task, and workers stay.
 """
 
 from __future__ import annotations
@@ -23,14 +26,23 @@ from ratewave.llm.queries import vocabulary
 from ratewave.llm.secrets import redact_secrets
 from ratewave.llm.toxicity import drop_rejected, train
 
+#: Bytes of an Arrow batch; one longer text goes alone.
+ARROW_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Fitted on the labels, but for those whose crc32(doc_id) mod 5 is 0."""
+    small_batches(spark)
     model = train(docs, table(spark, sf_dir, "labels"), crc_of(F.col("doc_id"), 5) != 0)
     return drop_rejected(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return one_of_each(docs)
 
 
@@ -43,6 +55,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     found = encode_documents(docs, vocabulary())
     return found.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256")

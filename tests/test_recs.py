@@ -160,3 +160,13 @@ def test_predictions_map_back_to_source_ids(spark):
     pred = to_source_pairs(predict(model, dense), maps).collect()
     assert len(pred) == 200
     assert {r.user_id for r in pred} == {base + u for u in range(25)}
+
+
+def test_fit_lets_go_of_old_shuffles(spark):
+    """Checkpoints every other iteration; a factor goes to eight blocks at most."""
+    from ratewave.models import als
+
+    built = als.build_als(als.BASELINE, num_blocks=als.DEFAULT_BLOCKS)
+    assert built.getCheckpointInterval() <= 2
+    assert built.getNumUserBlocks() <= 8 and built.getNumItemBlocks() <= 8
+    assert (built.getRank(), built.getMaxIter(), built.getRegParam()) == (10, 10, 0.1)

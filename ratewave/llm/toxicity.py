@@ -1,4 +1,4 @@
-"""Toxicity: a convolutional text classifier trained in numpy.
+"""Toxicity: a convolutional text classifier trained in numpy, in shards.
 
 A word's embedding is the sum of two rows of one hashed table.  Filters of widths 1, 2
 and 3 run over the words, the largest response of each filter over the whole text is
@@ -7,14 +7,18 @@ words' class evidence in the training rows; everything is then trained by gradie
 descent (only the windows that won the pooling receive gradients).  Thresholds for a
 decision are calibrated by language on training rows kept apart from the fit.
 
-The fit uses a bounded sample of the labelled rows: at most ``most_docs`` documents of
-each class and ``most_words`` words together, in the order of a hash of the id.  It is
-the only sample: all rows are scored, over their whole texts.  The model is a few MB,
+All labelled rows take part, a text that occurs more than once once.  They are dealt by a hash into
+shards of about SHARD_WORDS words.  In each of ROUNDS rounds every shard is trained on by
+one task, from the same model, and what the tasks return is averaged: the layers over all shards,
+a row of the table over the shards that changed it.  One shard needs one round.  Word evidence and the
+errors of thresholds are counted by Spark over all shards.  The model is a few MB,
 whatever the input's size.
 """
 
 from __future__ import annotations
 
+import copy
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -25,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewave.llm.common import column, crc_of, slices
+from ratewave.llm.common import column, crc_of, materialize, slices
 
 WIDTHS = (1, 2, 3)
 FILTERS = 6  # of each width
@@ -34,10 +38,14 @@ BUCKETS = 1 << 20
 EPOCHS = 12
 BATCH = 32
 SEED = 7
-MOST_DOCS = 4_000
-MOST_WORDS = 8_000_000
+#: Words of a shard (8 bytes each), about, and the rounds in which more than one is trained.
+SHARD_WORDS = 1_250_000
+ROUNDS = 4
+#: Up to so many ids are broadcast to the scan of the texts; with more, Spark chooses the join.
+FEW_IDS = 1 << 20
 #: Every CALIBRATE-th training document (by hash) is kept from the fit, for the thresholds.
 CALIBRATE = 5
+GRID = np.linspace(0.3, 0.7, 41)
 TEXT_SLICE = 1 << 20
 
 #: A-Z to a-z; other ASCII but letters and digits separates words.
@@ -118,12 +126,41 @@ class ConvNet:
         return 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
 
 
-def _start(docs: list[np.ndarray], labels: np.ndarray, rng: np.random.Generator) -> ConvNet:
-    """Untrained net whose first embedding component is the words' class evidence."""
-    seen = np.zeros((2, BUCKETS), dtype=np.float32)
-    for d, y in zip(docs, labels, strict=True):
-        seen[int(y), np.unique(d)] += 1
-    n0, n1 = max((labels == 0).sum(), 1), max((labels == 1).sum(), 1)
+@dataclass
+class Training:
+    """A net and what its optimisers remember (Adam for the layers, AdaGrad for the table): where a round starts and ends."""
+
+    net: ConvNet
+    rng: np.random.Generator
+    first: list[np.ndarray]
+    second: list[np.ndarray]
+    bias_m: list[float]
+    table_g: np.ndarray  # squared gradients by row
+    step: int = 0
+
+    @property
+    def params(self) -> list[np.ndarray]:
+        return [*self.net.filters, *self.net.shifts, self.net.out]
+
+    def layers(self) -> np.ndarray:
+        """All but the table as one vector."""
+        parts = [p.ravel() for p in (*self.params, *self.first, *self.second)]
+        return np.concatenate([*parts, [self.net.bias, *self.bias_m, self.step]]).astype(np.float64)
+
+    def set_layers(self, flat: np.ndarray) -> None:
+        at = 0
+        for p in (*self.params, *self.first, *self.second):
+            p[...] = flat[at : at + p.size].reshape(p.shape)
+            at += p.size
+        self.net.bias, self.bias_m, self.step = float(flat[at]), [float(x) for x in flat[at + 1 : at + 3]], round(flat[at + 3])
+
+
+def start(seen: np.ndarray, sizes: tuple[int, int], seed: int = SEED) -> Training:
+    """An untrained net whose first embedding component is the words' class evidence.  ``seen``: in how
+    many documents of each class a table row occurs (2 x BUCKETS); ``sizes``: the documents of each class."""
+    rng = np.random.default_rng(seed)
+    seen = seen.astype(np.float32)
+    n0, n1 = (np.int64(max(n, 1)) for n in sizes)
     odds = np.log((seen[1] + 0.5) / (n1 + 1)) - np.log((seen[0] + 0.5) / (n0 + 1))
     both = seen.sum(axis=0)
     table = rng.normal(0, 0.02, (BUCKETS, DIM)).astype(np.float32)
@@ -133,21 +170,23 @@ def _start(docs: list[np.ndarray], labels: np.ndarray, rng: np.random.Generator)
     for f in filters:
         f[:, 0, :] = np.abs(f[:, 0, :]) + 0.3
     out = np.full(len(WIDTHS) * FILTERS, 0.3, dtype=np.float64)
-    return ConvNet(table, filters, [np.zeros(FILTERS, dtype=np.float32) for _ in WIDTHS], out, -2.0)
-
-
-def fit(docs: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> ConvNet:
-    """Train on documents given as arrays (places x 2) of table rows; none may be empty."""
-    rng = np.random.default_rng(seed)
-    net = _start(docs, labels, rng)
-    weight = np.where(labels == 1, len(labels) / (2 * max(labels.sum(), 1)), len(labels) / (2 * max((labels == 0).sum(), 1)))
+    net = ConvNet(table, filters, [np.zeros(FILTERS, dtype=np.float32) for _ in WIDTHS], out, -2.0)
     params = [*net.filters, *net.shifts, net.out]
-    m1, m2 = [np.zeros(p.shape) for p in params], [np.zeros(p.shape) for p in params]
-    bias_m = [0.0, 0.0]
-    table_g = np.full(BUCKETS, 1e-3, dtype=np.float32)  # squared gradients by row
-    step = 0
-    for epoch in range(epochs):
-        slow = 1 - 0.9 * epoch / max(epochs - 1, 1)
+    zeros = lambda: [np.zeros(p.shape) for p in params]
+    return Training(net, rng, zeros(), zeros(), [0.0, 0.0], np.full(BUCKETS, 1e-3, dtype=np.float32))
+
+
+def descend(
+    state: Training, docs: list[np.ndarray], labels: np.ndarray, by_class: np.ndarray, epochs: Iterable[int], total: int = EPOCHS
+) -> None:
+    """The given ones of ``total`` epochs over documents given as arrays (places x 2) of table rows; none
+    may be empty.  ``by_class``: the weights of the two classes."""
+    net, rng, table_g, bias_m = state.net, state.rng, state.table_g, state.bias_m
+    weight = by_class[labels]
+    params, m1, m2 = state.params, state.first, state.second
+    step = state.step
+    for epoch in epochs:
+        slow = 1 - 0.9 * epoch / max(total - 1, 1)
         order = rng.permutation(len(docs))
         for lo in range(0, len(order), BATCH):
             step += 1
@@ -194,25 +233,180 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed:
                 np.add.at(g, where, np.repeat(part, 2, axis=0))
                 table_g[ids] += (g * g).sum(axis=1)
                 net.table[ids] -= (0.05 * slow * g / np.sqrt(table_g[ids])[:, None]).astype(np.float32)
-    return net
+    state.bias_m, state.step = bias_m, step
 
 
-def calibrate(scores: np.ndarray, labels: np.ndarray, langs: list[str]) -> dict[str, float]:
+def calibrate(counts: dict[str, np.ndarray]) -> dict[str, float]:
     """Per language the threshold in [0.3, 0.7] with the fewest errors (the middle of the
-    best range; 0.5 where a class is missing)."""
+    best range; 0.5 where a class is missing).  ``counts``: by class and number of GRID's
+    values that a score reaches (2 x len(GRID) + 1)."""
     out = {}
-    for lang in sorted(set(langs)):
-        own = np.array([x == lang for x in langs])
-        s, y = scores[own], labels[own]
-        if not (y == 1).any() or not (y == 0).any():
+    for lang, (zero, one) in sorted(counts.items()):
+        if not one.any() or not zero.any():
             out[lang] = 0.5
             continue
-        grid = np.linspace(0.3, 0.7, 41)
-        errors = np.array([((s >= t) != (y == 1)).sum() for t in grid])
-        out[lang] = float(np.median(grid[errors == errors.min()]))
+        errors = np.cumsum(one)[:-1] + np.cumsum(zero[::-1])[::-1][1:]
+        out[lang] = float(np.median(GRID[errors == errors.min()]))
     return out
 
 
+def _digest(raw: bytes) -> bytes:
+    return xxhash.xxh128_digest(raw)
+
+
+def _raw_words(texts: list[bytes]) -> list[bytes]:
+    """The table rows (int32 pairs) of each text's words."""
+    index = _Index()
+    places = [[index[w] for w in words_of(t)] for t in texts]
+    table = hashed(index).astype(np.int32) if index else np.zeros((0, 2), np.int32)
+    return [table[p].tobytes() if p else b"" for p in places]
+
+
+def _named(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, y, lang, text -> rank (an order by a hash), held, digest and number of the words; texts without words go."""
+    for part, texts in slices(batches, "text", TEXT_SLICE):
+        raw = _raw_words(texts)
+        ids = column(part, "doc_id").to_pylist()
+        rank = [xxhash.xxh64_intdigest(f"{i}:{len(w)}") - 2**63 for i, w in zip(ids, raw, strict=True)]
+        held = [xxhash.xxh64_intdigest(f"calibrate {i}") % CALIBRATE == 0 for i in ids]
+        out = pa.RecordBatch.from_arrays(
+            [
+                *(column(part, c) for c in ("doc_id", "y", "lang")),
+                pa.array(rank, pa.int64()),
+                pa.array(held, pa.bool_()),
+                pa.array([_digest(w) for w in raw], pa.binary()),
+                pa.array([len(w) // 8 for w in raw], pa.int64()),
+            ],
+            names=["doc_id", "y", "lang", "rank", "held", "digest", "n"],
+        )
+        yield out.filter(pa.array([bool(w) for w in raw], pa.bool_()))
+
+
+def _worded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose text has the words of ``digest``, with the words."""
+    names = ["held", "shard", "y", "lang", "last", "digest"]
+    for part, texts in slices(batches, "text", TEXT_SLICE):
+        raw, digest = _raw_words(texts), column(part, "digest")
+        out = pa.RecordBatch.from_arrays([*(column(part, c) for c in names), pa.array(raw, pa.binary())], names=[*names, "words"])
+        yield out.filter(pa.array([_digest(w) == d for w, d in zip(raw, digest.to_pylist(), strict=True)], pa.bool_()))
+
+
+SHARD_ROW = "held boolean, shard int, words binary, sizes binary, ys binary, langs array<string>"
+
+
+def _packed(rows: pa.Table) -> pa.Table:
+    """One row of all documents of a shard, from the last rank to the first; of a row that is there twice, one."""
+    order = sorted(zip(rows["last"].to_pylist(), rows["digest"].to_pylist(), range(rows.num_rows), strict=True), reverse=True)
+    use = [i for k, (_, d, i) in enumerate(order) if not k or d != order[k - 1][1]]
+    words, ys, langs = (rows[c].take(pa.array(use)).to_pylist() for c in ("words", "y", "lang"))
+    return pa.table(
+        {
+            "held": pa.array([rows["held"][0].as_py()], pa.bool_()),
+            "shard": pa.array([rows["shard"][0].as_py()], pa.int32()),
+            "words": pa.array([b"".join(words)], pa.binary()),
+            "sizes": pa.array([np.array([len(w) // 8 for w in words], dtype=np.int64).tobytes()], pa.binary()),
+            "ys": pa.array([np.array(ys, dtype=np.int64).tobytes()], pa.binary()),
+            "langs": pa.array([langs], pa.list_(pa.string())),
+        }
+    )
+
+
+def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray], np.ndarray, list[str | None]]]:
+    """(number, documents, labels, languages) of each packed row."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            words, sizes, ys = (np.frombuffer(column(batch, c)[i].as_buffer(), dtype=t) for c, t in (("words", np.int32), ("sizes", np.int64), ("ys", np.int64)))
+            docs = np.split(words.reshape(-1, 2), np.cumsum(sizes)[:-1])
+            yield column(batch, "shard")[i].as_py(), docs, ys, column(batch, "langs")[i].as_py()
+
+
+def _evidence(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many documents of each class a table row occurs: one row for each table row of the task."""
+    seen = np.zeros((2, BUCKETS), dtype=np.int32)
+    for _, docs, ys, _ in _shards(batches):
+        for d, y in zip(docs, ys.tolist(), strict=True):
+            seen[y, np.unique(d)] += 1
+    ids = np.flatnonzero(seen.any(axis=0))
+    yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), *(pa.array(x[ids]) for x in seen)], names=["row", "n0", "n1"])
+
+
+#: What a shard returns.
+ROUND_ROW = f"row int, {', '.join(f'c{k} float' for k in range(DIM))}, squares float, layer double"
+
+
+def _trained(shared: Broadcast, by_class: np.ndarray, epochs: range, alone: bool):
+    """Each shard trained on from the shared state: the changed rows of the table, and the layers' values
+    as rows -1, -2, ..."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        old = shared.value
+        names = ["row", *(f"c{k}" for k in range(DIM)), "squares", "layer"]
+        for number, docs, ys, _ in _shards(batches):
+            new = copy.deepcopy(old)
+            if not alone:
+                new.rng = np.random.default_rng([SEED, epochs.start, number])
+            descend(new, docs, ys, by_class, epochs)
+            ids = np.flatnonzero((new.net.table != old.net.table).any(axis=1) | (new.table_g != old.table_g))
+            columns = [ids.astype(np.int32), *new.net.table[ids].T, new.table_g[ids]]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(len(ids), pa.float64())], names=names)
+            flat = new.layers()
+            row = pa.array(-1 - np.arange(len(flat), dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([row, *[pa.nulls(len(flat), pa.float32())] * (DIM + 1), pa.array(flat)], names=names)
+
+    return run
+
+
+def _reached(shared: Broadcast):
+    """Scores of kept-apart documents, counted by language, class and the number of GRID's values they reach."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = shared.value
+        for _, docs, ys, langs in _shards(batches):
+            pooled = [net.responses(d, np.arange(len(d)), np.zeros(1, dtype=np.int64))[0][0] for d in docs]
+            s = np.array([1 / (1 + np.exp(-np.clip(np.maximum(x, 0) @ net.out + net.bias, -40, 40))) for x in pooled])
+            k = np.searchsorted(GRID, s, side="right")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x or "" for x in langs], pa.string()), pa.array(ys.astype(np.int32)), pa.array(k.astype(np.int32))], names=["lang", "y", "k"]
+            )
+
+    return run
+
+
+def labelled_shards(
+    docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text_col: str, lang_col: str, label_col: str, shard_words: int
+) -> tuple[DataFrame, dict[tuple[bool, int], int]] | float:
+    """(the packed shards of all labelled rows with words, the documents by (held, label)).  Without rows
+    of both classes: the share of label 1 (0.0 without any)."""
+    y = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y"))
+    y = y.where(usable & F.col("doc_id").isNotNull() & F.col("y").isin(0, 1)).groupBy("doc_id").agg(F.max("y").alias("y"))
+    found = {r.y: r.n for r in y.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if len(found) < 2:
+        return float(max(found, default=0))
+    few = lambda df, n: F.broadcast(df) if n <= FEW_IDS else df
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    labelled = rows.join(few(y, sum(found.values())), "doc_id").select("doc_id", "y", "lang", "text")
+    kind = labelled.schema["doc_id"].dataType.simpleString()
+    named = labelled.mapInArrow(_named, f"doc_id {kind}, y int, lang string, rank long, held boolean, digest binary, n long")
+    # copies would weigh their rare words: of equal word lists the first by rank
+    first = F.min(F.struct("rank", "doc_id", "y", "lang", "held", "n")).alias("first")
+    chosen = named.groupBy("digest").agg(first, F.max("rank").alias("last")).select("digest", "last", "first.*")
+    chosen = materialize(chosen, "toxicity_rows")
+    sums = chosen.groupBy("held", "y").agg(F.count("*").alias("docs"), F.sum("n").alias("words")).collect()
+    if len({r.y for r in sums if not r.held}) < 2:  # too few to keep some apart
+        chosen = chosen.withColumn("held", F.lit(False))
+        sums = chosen.groupBy("held", "y").agg(F.count("*").alias("docs"), F.sum("n").alias("words")).collect()
+    sizes = {(r.held, r.y): r.docs for r in sums}
+    if len({k for h, k in sizes if not h}) < 2:
+        return float(max((k for _, k in sizes), default=0))
+    count = [math.ceil(sum(r.words for r in sums if r.held == h) / shard_words) or 1 for h in (False, True)]
+    shard = F.pmod(F.xxhash64("digest"), F.when(F.col("held"), count[1]).otherwise(count[0])).cast("int").alias("shard")
+    chosen = chosen.select("doc_id", "y", "lang", "last", "held", "digest", shard)
+    words = rows.select("doc_id", "text").join(few(chosen, sum(sizes.values())), "doc_id").mapInArrow(
+        _worded, "held boolean, shard int, y int, lang string, last long, digest binary, words binary"
+    )
+    return materialize(words.groupBy("held", "shard").applyInArrow(_packed, SHARD_ROW), "toxicity_shards"), sizes
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -221,77 +415,49 @@ def train(
     text_col: str = "text",
     lang_col: str = "lang",
     label_col: str = "toxic",
-    most_docs: int = MOST_DOCS,
-    most_words: int = MOST_WORDS,
+    shard_words: int = SHARD_WORDS,
 ) -> ConvNet | float:
     """A net fitted on the rows of ``labels`` (id, label 0 / 1) that meet ``usable``, a condition
     on their ``doc_id``.  Without rows of both classes: the share of label 1 (0.0 without any).
 
-    The sampled ids (at most 2 * ``most_docs``) are broadcast to the scan of ``docs``; the
-    driver receives the sampled documents' hashed words, at most ``most_words``.
+    Texts stay in tasks; the driver receives at most the table (BUCKETS rows) in each round.
     """
-    y = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y"))
-    y = y.where(usable & F.col("doc_id").isNotNull() & F.col("y").isin(0, 1)).groupBy("doc_id").agg(F.max("y").alias("y"))
-    rank = F.xxhash64(F.lit(SEED), "doc_id")
-    found = {r.y: r.n for r in y.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    picked = []
-    for label, n in sorted(found.items(), reverse=True):
-        # a share of the hash range holds somewhat more than the bound; the order cuts it there
-        low = F.lit(int(-(2**63) + 2**64 * min(1.0, 1.2 * most_docs / n)) - 1)
-        rows = y.where((F.col("y") == label) & (rank <= low)).orderBy(rank).limit(most_docs)
-        picked += [(r.doc_id, r.y) for r in rows.collect()]
-    classes = {c for _, c in picked}
-    if len(classes) < 2:
-        return float(max(classes, default=0))
+    found = labelled_shards(docs, labels, usable, id_col, text_col, lang_col, label_col, shard_words)
+    if isinstance(found, float):
+        return found
+    packed, sizes = found
+    main, held = packed.where(~F.col("held")), packed.where("held")
+    n = tuple(sizes.get((False, k), 0) for k in (0, 1))
+    by_class = np.array([sum(n) / (2 * max(k, 1)) for k in n])
+    counted = main.mapInArrow(_evidence, "row int, n0 int, n1 int").groupBy("row").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
+    seen = np.zeros((2, BUCKETS))
+    seen[:, counted["row"].to_numpy()] = counted["n0"].to_numpy(), counted["n1"].to_numpy()
+    state = start(seen, n)
     spark = docs.sparkSession
-    ids = spark.createDataFrame(picked, y.schema)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    rows = rows.join(F.broadcast(ids), "doc_id").select("doc_id", "y", "lang", "text")
-
-    def hash_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches, "text", TEXT_SLICE):
-            index = _Index()
-            places = [[index[w] for w in words_of(t)] for t in texts]
-            table = hashed(index).astype(np.int32) if index else np.zeros((0, 2), np.int32)
-            raw = [table[p].tobytes() if p else b"" for p in places]
-            yield pa.RecordBatch.from_arrays(
-                [column(part, "doc_id"), column(part, "y"), column(part, "lang"), pa.array(raw, pa.binary())],
-                names=["doc_id", "y", "lang", "words"],
-            )
-
-    # which of the sampled documents fit into the word bound: sizes first, then only those
-    sizes = {}
-    for r in rows.select("doc_id", F.octet_length("text").alias("n")).collect():
-        sizes[r.doc_id] = sizes.get(r.doc_id, 0) + (r.n or 0) // 4 + 1
-    by_class = [[d for d, c in picked if c == k] for k in (1, 0)]
-    kept, total = [], 0
-    for pair in zip(*[[*x, *[None] * (max(map(len, by_class)) - len(x))] for x in by_class], strict=True):
-        for d in pair:
-            if d in sizes and total + sizes[d] <= most_words:
-                kept.append((d,))
-                total += sizes[d]
-    keep = spark.createDataFrame(kept or [(picked[0][0],)], f"doc_id {y.schema['doc_id'].dataType.simpleString()}")
-    found = rows.join(F.broadcast(keep), "doc_id").mapInArrow(
-        hash_words, f"doc_id {y.schema['doc_id'].dataType.simpleString()}, y int, lang string, words binary"
-    )
-    got = found.toArrow()
-    order = np.argsort([xxhash.xxh64_intdigest(f"{i}:{len(w)}") for i, w in zip(got["doc_id"].to_pylist(), got["words"].to_pylist(), strict=True)], kind="stable")
-    ids_l, ys, langs, raw = (got[c].take(pa.array(order)).to_pylist() for c in ("doc_id", "y", "lang", "words"))
-    bags = [np.frombuffer(w, dtype=np.int32).reshape(-1, 2) for w in raw]
-    use = list({raw[i]: i for i in reversed(range(len(raw))) if raw[i]}.values())  # copies would weigh their rare words
-    held = [i for i in use if xxhash.xxh64_intdigest(f"calibrate {ids_l[i]}") % CALIBRATE == 0]
-    main = [i for i in use if i not in set(held)]
-    labels_of = np.array(ys, dtype=np.int64)
-    if len(set(labels_of[main].tolist())) < 2:
-        held, main = [], use
-        if len(set(labels_of[main].tolist())) < 2:
-            return float(labels_of[main].mean()) if main else 0.0
-    net = fit([bags[i] for i in main], labels_of[main])
-    scores = []
-    for i in held:
-        pooled, _ = net.responses(bags[i], np.arange(len(bags[i])), np.zeros(1, dtype=np.int64))
-        scores.append(1 / (1 + np.exp(-np.clip(np.maximum(pooled[0], 0) @ net.out + net.bias, -40, 40))))
-    net.thresholds = calibrate(np.array(scores), labels_of[held], [langs[i] or "" for i in held]) if held else {}
+    alone = main.count() == 1
+    rounds = 1 if alone else ROUNDS
+    means = [F.avg(c).cast("float").alias(c) for c in (*(f"c{k}" for k in range(DIM)), "squares")]
+    for r in range(rounds):
+        shared = spark.sparkContext.broadcast(state)  # 21 MB
+        epochs = range(r * EPOCHS // rounds, (r + 1) * EPOCHS // rounds)
+        got = main.mapInArrow(_trained(shared, by_class, epochs, alone), ROUND_ROW)
+        got = got.groupBy("row").agg(*means, F.avg("layer").alias("layer")).toArrow()
+        row = got["row"].to_numpy()
+        at, layers = row[row >= 0], row < 0
+        for k in range(DIM):
+            state.net.table[at, k] = got[f"c{k}"].to_numpy()[row >= 0]
+        state.table_g[at] = got["squares"].to_numpy()[row >= 0]
+        state.set_layers(got["layer"].to_numpy()[layers][np.argsort(-row[layers])])
+        shared.destroy()
+    net = state.net
+    if any(h for h, _ in sizes):
+        shared = spark.sparkContext.broadcast(net)
+        counts: dict[str, np.ndarray] = {}
+        reached = held.mapInArrow(_reached(shared), "lang string, y int, k int").groupBy("lang", "y", "k").agg(F.count("*").alias("n"))
+        for x in reached.collect():  # at most 84 rows for each language
+            counts.setdefault(x.lang, np.zeros((2, len(GRID) + 1), dtype=np.int64))[x.y, x.k] = x.n
+        net.thresholds = calibrate(counts)
+        shared.destroy()
     return net
 
 

@@ -5,13 +5,15 @@ and 3 run over the words, the largest response of each filter over the whole tex
 kept, and a logistic layer turns the responses into a score.  The table starts from the
 words' class evidence in the training rows; everything is then trained by gradient
 descent (only the windows that won the pooling receive gradients).  Thresholds for a
-decision are calibrated by language on training rows kept apart from the fit.
+decision are calibrated by language on all training rows, by cross-fitting: the rows are dealt into
+two folds, and each fold is scored by a net that was fitted on the other one alone.  The net that
+scores documents is fitted on both.
 
 All labelled rows take part, a text that occurs more than once once.  They are dealt by a hash into
 shards of about SHARD_WORDS words.  In each of ROUNDS rounds every shard is trained on by
 one task, from the same model, and what the tasks return is averaged: the layers over all shards,
-a row of the table over the shards that changed it.  One shard needs one round.  Word evidence and the
-errors of thresholds are counted by Spark over all shards.  The model is a few MB,
+a row of the table over the shards that changed it.  What fits into one shard needs one round.  Word
+evidence and the errors of thresholds are counted by Spark over all shards.  The model is a few MB,
 whatever the input's size.
 """
 
@@ -43,8 +45,6 @@ SHARD_WORDS = 1_250_000
 ROUNDS = 4
 #: Up to so many ids are broadcast to the scan of the texts; with more, Spark chooses the join.
 FEW_IDS = 1 << 20
-#: Every CALIBRATE-th training document (by hash) is kept from the fit, for the thresholds.
-CALIBRATE = 5
 GRID = np.linspace(0.3, 0.7, 41)
 TEXT_SLICE = 1 << 20
 
@@ -90,26 +90,25 @@ class ConvNet:
         documents begin at ``starts``.  Windows that reach past the end of a document see
         nothing there.  Documents must have words.
         """
-        n = len(which)
-        vecs = self.table[rows[:, 0]] + self.table[rows[:, 1]]
+        n, gap = len(which), WIDTHS[-1] - 1
         ends = np.append(starts[1:], n)
-        doc = np.repeat(np.arange(len(starts)), ends - starts)
-        left = ends[doc] - np.arange(n)  # words from here to the document's end
+        vecs = self.table.take(rows[:, 0], axis=0) + self.table.take(rows[:, 1], axis=0)
+        # gap empty places follow each document, so that no window reaches into the next one
+        lo = starts + gap * np.arange(len(starts))
+        hi = lo + (ends - starts)
+        place = np.full(n + gap * len(starts), len(vecs))
+        place[np.arange(n) + np.repeat(lo - starts, ends - starts)] = which
+        padded = np.concatenate([vecs, np.zeros((1, DIM), dtype=np.float32)]).take(place, axis=0)
+        spans = list(zip(lo.tolist(), hi.tolist(), strict=True))
         pooled, won = [], []
         for width, w, b in zip(WIDTHS, self.filters, self.shifts, strict=True):
-            total = np.tile(b.astype(np.float32), (n, 1))
-            for k in range(width):
-                part = (vecs @ w[k])[which[k:]]
-                if k:
-                    part = part * (left[: n - k] > k)[:, None]
-                total[: n - k] += part
-            best = np.maximum.reduceat(total, starts, axis=0)
-            pooled.append(best)
-            if winners:
-                at, f = np.nonzero(total == best[doc])
-                first = np.empty(best.shape, dtype=np.int64)
-                first[doc[at[::-1]], f[::-1]] = at[::-1]
-                won.append(first)
+            total = w[0].T @ padded.T  # filters x places
+            total += b.astype(np.float32)[:, None]
+            for k in range(1, width):
+                total[:, :-k] += (w[k].T @ padded.T)[:, k:]
+            first = np.stack([total[:, x:y].argmax(axis=1) for x, y in spans])
+            pooled.append(total[np.arange(FILTERS)[None, :], first + lo[:, None]])
+            won.append(first + starts[:, None])
         return np.concatenate(pooled, axis=1), np.concatenate(won, axis=1) if winners else None
 
     def score(self, texts: list[bytes]) -> np.ndarray:
@@ -263,12 +262,12 @@ def _raw_words(texts: list[bytes]) -> list[bytes]:
 
 
 def _named(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, y, lang, text -> rank (an order by a hash), held, digest and number of the words; texts without words go."""
+    """doc_id, y, lang, text -> rank (an order by a hash), held (the fold, by another), digest and number of the words; texts without words go."""
     for part, texts in slices(batches, "text", TEXT_SLICE):
         raw = _raw_words(texts)
         ids = column(part, "doc_id").to_pylist()
         rank = [xxhash.xxh64_intdigest(f"{i}:{len(w)}") - 2**63 for i, w in zip(ids, raw, strict=True)]
-        held = [xxhash.xxh64_intdigest(f"calibrate {i}") % CALIBRATE == 0 for i in ids]
+        held = [xxhash.xxh64_intdigest(f"calibrate {i}") % 2 == 1 for i in ids]
         out = pa.RecordBatch.from_arrays(
             [
                 *(column(part, c) for c in ("doc_id", "y", "lang")),
@@ -311,19 +310,19 @@ def _packed(rows: pa.Table) -> pa.Table:
     )
 
 
-def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray], np.ndarray, list[str | None]]]:
-    """(number, documents, labels, languages) of each packed row."""
+def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bool, int, list[np.ndarray], np.ndarray, list[str | None]]]:
+    """(fold, number, documents, labels, languages) of each packed row."""
     for batch in batches:
         for i in range(batch.num_rows):
             words, sizes, ys = (np.frombuffer(column(batch, c)[i].as_buffer(), dtype=t) for c, t in (("words", np.int32), ("sizes", np.int64), ("ys", np.int64)))
             docs = np.split(words.reshape(-1, 2), np.cumsum(sizes)[:-1])
-            yield column(batch, "shard")[i].as_py(), docs, ys, column(batch, "langs")[i].as_py()
+            yield column(batch, "held")[i].as_py(), column(batch, "shard")[i].as_py(), docs, ys, column(batch, "langs")[i].as_py()
 
 
 def _evidence(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many documents of each class a table row occurs: one row for each table row of the task."""
     seen = np.zeros((2, BUCKETS), dtype=np.int32)
-    for _, docs, ys, _ in _shards(batches):
+    for _, _, docs, ys, _ in _shards(batches):
         for d, y in zip(docs, ys.tolist(), strict=True):
             seen[y, np.unique(d)] += 1
     ids = np.flatnonzero(seen.any(axis=0))
@@ -335,16 +334,20 @@ ROUND_ROW = f"row int, {', '.join(f'c{k} float' for k in range(DIM))}, squares f
 
 
 def _trained(shared: Broadcast, by_class: np.ndarray, epochs: range, alone: bool):
-    """Each shard trained on from the shared state: the changed rows of the table, and the layers' values
-    as rows -1, -2, ..."""
+    """Each shard trained on from the shared state (``alone``: a task's shards as one): the changed rows of
+    the table, and the layers' values as rows -1, -2, ..."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         old = shared.value
         names = ["row", *(f"c{k}" for k in range(DIM)), "squares", "layer"]
-        for number, docs, ys, _ in _shards(batches):
+        shards = ((held, number, docs, ys) for held, number, docs, ys, _ in _shards(batches))
+        if alone:
+            parts = sorted(shards, key=lambda x: x[:2])
+            shards = [(False, 0, [d for x in parts for d in x[2]], np.concatenate([x[3] for x in parts]))] if parts else []
+        for held, number, docs, ys in shards:
             new = copy.deepcopy(old)
             if not alone:
-                new.rng = np.random.default_rng([SEED, epochs.start, number])
+                new.rng = np.random.default_rng([SEED, epochs.start, number, int(held)])
             descend(new, docs, ys, by_class, epochs)
             ids = np.flatnonzero((new.net.table != old.net.table).any(axis=1) | (new.table_g != old.table_g))
             columns = [ids.astype(np.int32), *new.net.table[ids].T, new.table_g[ids]]
@@ -357,11 +360,11 @@ def _trained(shared: Broadcast, by_class: np.ndarray, epochs: range, alone: bool
 
 
 def _reached(shared: Broadcast):
-    """Scores of kept-apart documents, counted by language, class and the number of GRID's values they reach."""
+    """Scores of documents that the net was not fitted on, counted by language, class and the number of GRID's values they reach."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
-        for _, docs, ys, langs in _shards(batches):
+        for _, _, docs, ys, langs in _shards(batches):
             pooled = [net.responses(d, np.arange(len(d)), np.zeros(1, dtype=np.int64))[0][0] for d in docs]
             s = np.array([1 / (1 + np.exp(-np.clip(np.maximum(x, 0) @ net.out + net.bias, -40, 40))) for x in pooled])
             k = np.searchsorted(GRID, s, side="right")
@@ -375,8 +378,8 @@ def _reached(shared: Broadcast):
 def labelled_shards(
     docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text_col: str, lang_col: str, label_col: str, shard_words: int
 ) -> tuple[DataFrame, dict[tuple[bool, int], int]] | float:
-    """(the packed shards of all labelled rows with words, the documents by (held, label)).  Without rows
-    of both classes: the share of label 1 (0.0 without any)."""
+    """(the packed shards of all labelled rows with words, the documents by (held, label)); ``held`` tells
+    the folds apart.  Without rows of both classes: the share of label 1 (0.0 without any)."""
     y = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y"))
     y = y.where(usable & F.col("doc_id").isNotNull() & F.col("y").isin(0, 1)).groupBy("doc_id").agg(F.max("y").alias("y"))
     found = {r.y: r.n for r in y.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -392,7 +395,7 @@ def labelled_shards(
     chosen = named.groupBy("digest").agg(first, F.max("rank").alias("last")).select("digest", "last", "first.*")
     chosen = materialize(chosen, "toxicity_rows")
     sums = chosen.groupBy("held", "y").agg(F.count("*").alias("docs"), F.sum("n").alias("words")).collect()
-    if len({r.y for r in sums if not r.held}) < 2:  # too few to keep some apart
+    if len({(r.held, r.y) for r in sums}) < 4:  # a fold has no rows of a class: too few to tell them apart
         chosen = chosen.withColumn("held", F.lit(False))
         sums = chosen.groupBy("held", "y").agg(F.count("*").alias("docs"), F.sum("n").alias("words")).collect()
     sizes = {(r.held, r.y): r.docs for r in sums}
@@ -407,6 +410,36 @@ def labelled_shards(
     return materialize(words.groupBy("held", "shard").applyInArrow(_packed, SHARD_ROW), "toxicity_shards"), sizes
 
 
+def _fit(packed: DataFrame, n: tuple[int, int], shard_words: int) -> ConvNet:
+    """A net fitted on packed shards that hold ``n`` documents of each class."""
+    by_class = np.array([sum(n) / (2 * max(k, 1)) for k in n])
+    counted = packed.mapInArrow(_evidence, "row int, n0 int, n1 int").groupBy("row").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
+    seen = np.zeros((2, BUCKETS))
+    seen[:, counted["row"].to_numpy()] = counted["n0"].to_numpy(), counted["n1"].to_numpy()
+    del counted
+    state = start(seen, n)
+    del seen
+    size = packed.agg(F.count("*").alias("shards"), F.sum(F.length("words")).alias("bytes")).first()
+    alone = size.shards == 1 or size.bytes <= 8 * shard_words
+    if alone:  # at most one shard's words, in both folds
+        packed = packed.coalesce(1)
+    rounds = 1 if alone else ROUNDS
+    means = [F.avg(c).cast("float").alias(c) for c in (*(f"c{k}" for k in range(DIM)), "squares")]
+    for r in range(rounds):
+        shared = packed.sparkSession.sparkContext.broadcast(state)  # 21 MB
+        epochs = range(r * EPOCHS // rounds, (r + 1) * EPOCHS // rounds)
+        got = packed.mapInArrow(_trained(shared, by_class, epochs, alone), ROUND_ROW)
+        got = got.groupBy("row").agg(*means, F.avg("layer").alias("layer")).toArrow()
+        row = got["row"].to_numpy()
+        at, layers = row[row >= 0], row < 0
+        for k in range(DIM):
+            state.net.table[at, k] = got[f"c{k}"].to_numpy()[row >= 0]
+        state.table_g[at] = got["squares"].to_numpy()[row >= 0]
+        state.set_layers(got["layer"].to_numpy()[layers][np.argsort(-row[layers])])
+        shared.destroy()
+    return state.net
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -417,8 +450,8 @@ def train(
     label_col: str = "toxic",
     shard_words: int = SHARD_WORDS,
 ) -> ConvNet | float:
-    """A net fitted on the rows of ``labels`` (id, label 0 / 1) that meet ``usable``, a condition
-    on their ``doc_id``.  Without rows of both classes: the share of label 1 (0.0 without any).
+    """A net fitted on all rows of ``labels`` (id, label 0 / 1) that meet ``usable``, a condition
+    on their ``doc_id``, with thresholds from the cross-fitted scores of the same rows.  Without rows of both classes: the share of label 1 (0.0 without any).
 
     Texts stay in tasks; the driver receives at most the table (BUCKETS rows) in each round.
     """
@@ -426,38 +459,18 @@ def train(
     if isinstance(found, float):
         return found
     packed, sizes = found
-    main, held = packed.where(~F.col("held")), packed.where("held")
-    n = tuple(sizes.get((False, k), 0) for k in (0, 1))
-    by_class = np.array([sum(n) / (2 * max(k, 1)) for k in n])
-    counted = main.mapInArrow(_evidence, "row int, n0 int, n1 int").groupBy("row").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
-    seen = np.zeros((2, BUCKETS))
-    seen[:, counted["row"].to_numpy()] = counted["n0"].to_numpy(), counted["n1"].to_numpy()
-    state = start(seen, n)
-    spark = docs.sparkSession
-    alone = main.count() == 1
-    rounds = 1 if alone else ROUNDS
-    means = [F.avg(c).cast("float").alias(c) for c in (*(f"c{k}" for k in range(DIM)), "squares")]
-    for r in range(rounds):
-        shared = spark.sparkContext.broadcast(state)  # 21 MB
-        epochs = range(r * EPOCHS // rounds, (r + 1) * EPOCHS // rounds)
-        got = main.mapInArrow(_trained(shared, by_class, epochs, alone), ROUND_ROW)
-        got = got.groupBy("row").agg(*means, F.avg("layer").alias("layer")).toArrow()
-        row = got["row"].to_numpy()
-        at, layers = row[row >= 0], row < 0
-        for k in range(DIM):
-            state.net.table[at, k] = got[f"c{k}"].to_numpy()[row >= 0]
-        state.table_g[at] = got["squares"].to_numpy()[row >= 0]
-        state.set_layers(got["layer"].to_numpy()[layers][np.argsort(-row[layers])])
-        shared.destroy()
-    net = state.net
+    net = _fit(packed, tuple(sum(sizes.get((h, k), 0) for h in (False, True)) for k in (0, 1)), shard_words)
     if any(h for h, _ in sizes):
-        shared = spark.sparkContext.broadcast(net)
+        spark = docs.sparkSession
         counts: dict[str, np.ndarray] = {}
-        reached = held.mapInArrow(_reached(shared), "lang string, y int, k int").groupBy("lang", "y", "k").agg(F.count("*").alias("n"))
-        for x in reached.collect():  # at most 84 rows for each language
-            counts.setdefault(x.lang, np.zeros((2, len(GRID) + 1), dtype=np.int64))[x.y, x.k] = x.n
+        for fold in (False, True):
+            own, other = (packed.where(F.col("held") == h) for h in (fold, not fold))
+            shared = spark.sparkContext.broadcast(_fit(own, tuple(sizes[fold, k] for k in (0, 1)), shard_words))
+            reached = other.mapInArrow(_reached(shared), "lang string, y int, k int").groupBy("lang", "y", "k").agg(F.count("*").alias("n"))
+            for x in reached.collect():  # at most 84 rows for each language
+                counts.setdefault(x.lang, np.zeros((2, len(GRID) + 1), dtype=np.int64))[x.y, x.k] += x.n
+            shared.destroy()
         net.thresholds = calibrate(counts)
-        shared.destroy()
     return net
 
 

@@ -58,3 +58,41 @@ def test_thresholds_from_counts():
     errors = [((scores >= t) != (labels == 1)).sum() for t in X.GRID]
     assert cut["de"] == 0.5 and cut["en"] == pytest.approx(np.median(X.GRID[np.array(errors) == min(errors)]))
     assert not ((scores >= cut["en"]) != (labels == 1)).any()
+
+
+def test_thresholds_count_every_row_by_a_net_fitted_without_it(spark, monkeypatch):
+    rows = [(i, f"w{i} {'vile' if i % 2 else 'nice'} w{i % 7}", "en" if i % 3 else "de") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _, _ in rows], "doc_id long, toxic int")
+    fit, counts, fitted = X._fit, [], []
+
+    def watched(packed, n, shard_words):
+        fitted.append((n, {r.held for r in packed.collect()}))
+        return fit(packed, n, shard_words)
+
+    monkeypatch.setattr(X, "_fit", watched)
+    monkeypatch.setattr(X, "calibrate", lambda c: counts.append(c) or {})
+    for shard_words in (X.SHARD_WORDS, 200):
+        counts.clear(), fitted.clear()
+        X.train(docs, labels, F.lit(True), shard_words=shard_words)
+        assert {lang: c.sum(axis=1).tolist() for lang, c in counts[0].items()} == {"de": [50, 50], "en": [100, 100]}
+        (whole, both), (zero, first), (one, second) = fitted
+        assert whole == (150, 150) and both == {False, True}  # the net that scores: fitted on all rows
+        assert (first, second) == ({False}, {True}) and tuple(np.add(zero, one)) == whole
+
+
+def test_responses_are_those_of_plain_loops():
+    rng = np.random.default_rng(3)
+    net = X.start(rng.integers(0, 9, (2, X.BUCKETS)), (5, 5)).net
+    docs = [rng.integers(0, X.BUCKETS, (n, 2)) for n in (1, 2, 3, 40)]
+    docs[3][20:] = docs[3][:20]  # equal windows: the first one wins
+    lens = np.array([len(d) for d in docs])
+    starts = np.cumsum(lens) - lens
+    pooled, won = net.responses(np.concatenate(docs), np.arange(lens.sum()), starts, winners=True)
+    for i, d in enumerate(docs):
+        vecs = net.table[d].sum(axis=1)
+        for j, (width, w, b) in enumerate(zip(X.WIDTHS, net.filters, net.shifts, strict=True)):
+            windows = np.array([sum(vecs[p + k] @ w[k] for k in range(width) if p + k < len(d)) + b for p in range(len(d))])
+            cols = slice(j * X.FILTERS, (j + 1) * X.FILTERS)
+            np.testing.assert_allclose(pooled[i, cols], windows.max(axis=0), rtol=1e-4, atol=1e-6)
+            np.testing.assert_allclose(windows[won[i, cols] - starts[i], np.arange(X.FILTERS)], windows.max(axis=0), rtol=1e-4, atol=1e-6)
